@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import path_exists
+
 _LOG_SCHEMA = T.StructType([
     T.StructField("version", T.LongType(), False),
     T.StructField("batch_id", T.LongType(), True),
@@ -31,10 +33,9 @@ class SnapshotTable:
 
     # -- log -----------------------------------------------------------------
     def _log(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(_LOG_SCHEMA).parquet(f"{self.root}/_log")
-        except Exception:  # no version published yet
+        if not path_exists(self.spark, f"{self.root}/_log"):   # no version published yet
             return None
+        return self.spark.read.schema(_LOG_SCHEMA).parquet(f"{self.root}/_log")
 
     def current_version(self) -> int:
         log = self._log()
