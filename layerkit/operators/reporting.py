@@ -54,6 +54,7 @@ class RunLog:
         self.spark, self.path, self.root_task = spark, path.rstrip("/"), root_task
         self.run_group_id = run_group_id or uuid.uuid4().hex
         self._last = None
+        self._seq = 0
 
     def log_step(self, task_name: str, rows_processed: int) -> None:
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
@@ -63,9 +64,10 @@ class RunLog:
         row = [(self.run_group_id, self.root_task, task_name, now, int(rows_processed))]
         from decimal import Decimal
         row = [(a, b, c, d, Decimal(e)) for a, b, c, d, e in row]
+        self._seq += 1
         # one file per logged step, written under the run's folder: a retried step rewrites it
         (self.spark.createDataFrame(row, RUN_LOG_SCHEMA).coalesce(1).write.mode("overwrite")
-         .parquet(f"{self.path}/run={self.run_group_id}/step={task_name}"))
+         .parquet(f"{self.path}/run={self.run_group_id}/step={self._seq:04d}"))
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(RUN_LOG_SCHEMA).option("recursiveFileLookup", "true").parquet(self.path)

@@ -88,3 +88,26 @@ class SnapshotTable:
         if not self.exists():
             return self._write(df, "full", batch_id, None)
         return self._write(df, "append", batch_id, None)
+
+
+class AppendTable:
+    """Append-only table fed by micro-batches: each batch is written to its own folder
+    ``batch_id=<n>`` in overwrite mode, so a replayed batch replaces its own rows instead of
+    adding them twice. Readers (batch or streaming) read the table folder."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    def exists(self) -> bool:
+        return path_exists(self.spark, self.root)
+
+    def append(self, df: DataFrame, *, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{self.root}/batch_id={batch_id:010d}")
+
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(self.root).drop("batch_id")
+
+    def stream(self, schema: T.StructType) -> DataFrame:
+        """Change stream: rows of batches written since the consumer's checkpoint."""
+        return self.spark.readStream.schema(schema).parquet(self.root)

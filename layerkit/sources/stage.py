@@ -13,6 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Text forms of time values in staged files: full microsecond precision (fixed values)
+TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+_TIME_OPTS = {"timestampFormat": TS_FORMAT, "timestampNTZFormat": TS_NTZ_FORMAT}
+
+
 @dataclass(frozen=True)
 class FileFormat:
     """Reusable reader options (a named file format)."""
@@ -24,12 +30,12 @@ class FileFormat:
         mode = {"abort": "FAILFAST", "skip": "DROPMALFORMED", "continue": "PERMISSIVE"}[on_error]
         # enforceSchema binds columns by position and ignores the header text
         return FileFormat("csv", {"header": str(skip_header).lower(), "sep": delimiter,
-                                  "mode": mode, "enforceSchema": "true"})
+                                  "mode": mode, "enforceSchema": "true", **_TIME_OPTS})
 
     @staticmethod
     def json(multi_line: bool = False, on_error: str = "abort") -> "FileFormat":
         mode = {"abort": "FAILFAST", "skip": "DROPMALFORMED", "continue": "PERMISSIVE"}[on_error]
-        return FileFormat("json", {"multiLine": str(multi_line).lower(), "mode": mode})
+        return FileFormat("json", {"multiLine": str(multi_line).lower(), "mode": mode, **_TIME_OPTS})
 
 
 # Column layout of one order line file (fixed values: names and order of the staged columns)
@@ -117,7 +123,7 @@ def land(df: DataFrame, stage_path: str, fmt: FileFormat = FileFormat.csv(), *,
          partition_by: list[str] | None = None) -> None:
     """Place rows as files into a stage (the upload side; used to build fixtures from tables)."""
     path = stage_path.rstrip("/") + ("/" + sub_path.strip("/") if sub_path else "")
-    w = df.write.mode("append")
+    w = df.write.mode("append").options(**_TIME_OPTS)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt.kind == "csv":

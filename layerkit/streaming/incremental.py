@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,14 +40,22 @@ def consume(stream: DataFrame, on_batch: Callable[[DataFrame, int], None], check
                          p.get("durationMs", {}).get("triggerExecution", 0)) for p in prog]}
 
 
-def incremental_map(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], target: SnapshotTable,
+def incremental_map(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], target,
                     checkpoint_path: str) -> dict:
-    """Dynamic table over a map-only / stream-static plan: each batch is transformed and appended."""
+    """Dynamic table over a map-only / stream-static plan: each batch is transformed and appended
+    (``target``: ``AppendTable`` or ``SnapshotTable``). The report counts the appended rows
+    with an ``Observation`` on the write (no second pass)."""
+    appended = []
+
     def on_batch(df: DataFrame, batch_id: int) -> None:
         if df.isEmpty():      # new-data gate
             return
-        target.append(transform(df), batch_id=batch_id)
-    return consume(stream, on_batch, checkpoint_path)
+        obs = Observation(f"appended_{batch_id}")
+        target.append(transform(df).observe(obs, F.count(F.lit(1)).alias("n")), batch_id=batch_id)
+        appended.append(int(obs.get["n"]))
+    rep = consume(stream, on_batch, checkpoint_path)
+    rep["appended"] = sum(appended)
+    return rep
 
 
 def additive_merge(current: DataFrame | None, delta: DataFrame, keys: list[str], sum_cols: list[str]) -> DataFrame:
