@@ -27,26 +27,35 @@ _LOG_SCHEMA = T.StructType([
 
 
 class SnapshotTable:
+    """Versioned table. The log (one row per published version, small and bounded by the
+    number of writes) is read once into the object and kept in step with its own writes;
+    ``refresh()`` re-reads it when another writer may have published."""
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._entries: list[tuple] | None = None
 
     # -- log -----------------------------------------------------------------
-    def _log(self) -> DataFrame | None:
+    def refresh(self) -> "SnapshotTable":
         if not path_exists(self.spark, f"{self.root}/_log"):   # no version published yet
-            return None
-        return self.spark.read.schema(_LOG_SCHEMA).parquet(f"{self.root}/_log")
+            self._entries = []
+        else:
+            log = self.spark.read.schema(_LOG_SCHEMA).parquet(f"{self.root}/_log")
+            self._entries = sorted((r.version, r.batch_id, r.kind) for r in log.select("version", "batch_id", "kind").collect())
+        return self
+
+    def _log_entries(self) -> list[tuple]:
+        if self._entries is None:
+            self.refresh()
+        return self._entries
 
     def current_version(self) -> int:
-        log = self._log()
-        if log is None:
-            return 0
-        v = log.agg(F.max("version")).first()[0]  # one scalar
-        return int(v or 0)
+        e = self._log_entries()
+        return e[-1][0] if e else 0
 
     def has_batch(self, batch_id: int) -> bool:
-        log = self._log()
-        return bool(log is not None and not log.filter(F.col("batch_id") == batch_id).isEmpty())
+        return any(b == batch_id for _, b, _ in self._log_entries())
 
     def version_path(self, v: int) -> str:
         return f"{self.root}/data/v{v:05d}"
@@ -57,15 +66,13 @@ class SnapshotTable:
 
     def read(self, version: int | None = None) -> DataFrame:
         """Rows of a version: its last full image plus the append deltas logged after it."""
-        log = self._log()
-        if log is None:
+        entries = self._log_entries()
+        if not entries:
             raise FileNotFoundError(f"no published version in {self.root}")
         v = version or self.current_version()
-        # the log has one row per version: small and bounded by the number of writes
-        rows = log.filter(F.col("version") <= v).select("version", "kind").collect()
-        full = max([r.version for r in rows if r.kind == "full"], default=1)
-        paths = [self.version_path(r.version) for r in sorted(rows) if r.version >= full]
-        return self.spark.read.parquet(*paths)
+        upto = [e for e in entries if e[0] <= v]
+        full = max([e[0] for e in upto if e[2] == "full"], default=1)
+        return self.spark.read.parquet(*[self.version_path(e[0]) for e in upto if e[0] >= full])
 
     def _write(self, df: DataFrame, kind: str, batch_id, partition_by) -> int:
         if batch_id is not None and self.has_batch(batch_id):
@@ -77,6 +84,7 @@ class SnapshotTable:
         w.parquet(self.version_path(v))
         row = [(v, batch_id, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), kind)]
         self.spark.createDataFrame(row, _LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.root}/_log")
+        self._entries.append((v, batch_id, kind))
         return v
 
     def publish(self, df: DataFrame, *, batch_id: int | None = None, partition_by: list[str] | None = None) -> int:
