@@ -111,7 +111,27 @@ def load_audit(spark, sf):
             .agg(F.sum("row_count").alias("rows_loaded")))
 
 
-@query("stage_listing", covers="S13 S10")
+@query("purge_load", covers="S10 S4", sql=f"select {ORDERS_COLS_SQL} from orders")
+def purge_load(spark, sf):
+    """``copy ... purge = true``: staged files are removed once their rows are committed; the
+    stage is empty after the load, the target holds every row once."""
+    area = scratch_path(spark, "purge_load")
+    fmt = FileFormat.csv()
+    ingest = FileIngest(spark, f"{area}/stage", f"{area}/orders_raw", f"{area}/_ckpt", fmt, ORDERS_CSV_SCHEMA,
+                        purge=True)
+    rows = _orders_rows(spark, sf)
+    split = F.lit(D.BATCH_SPLIT).cast("date")
+    land(rows.filter(F.col("order_date") < split), ingest.stage_path, fmt)
+    ingest.run()
+    land(rows.filter(F.col("order_date") >= split), ingest.stage_path, fmt)
+    ingest.run()
+    left = stage_listing(spark, ingest.stage_path).filter(F.col("name").endswith(".csv")).count()
+    if left:
+        raise RuntimeError(f"{left} staged files were not purged")
+    return ingest.read().select(*ORDERS_CSV_SCHEMA.names)
+
+
+@query("stage_listing", covers="S13")
 def stage_listing_q(spark, sf):
     area = scratch_path(spark, "stage_listing")
     land(_orders_rows(spark, sf), f"{area}/stage", FileFormat.csv(), partition_by=["status"])

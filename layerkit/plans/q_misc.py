@@ -89,7 +89,7 @@ def protected_view_engineer(spark, sf):
                           masks={"c_name": ADDRESS_ROLES}, columns=["c_custkey", "c_name", "c_mktsegment"])
 
 
-@query("clustered_filter", covers="L1 L9 A2 P5", sql=FILTERED_SUM_SQL)
+@query("clustered_filter", covers="L1 A2 P5", sql=FILTERED_SUM_SQL)
 def clustered_filter(spark, sf):
     """The filtered sum over a copy of the sales table clustered by store id: files hold
     narrow store ranges, so the equality filter skips most files/row groups."""

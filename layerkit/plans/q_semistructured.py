@@ -11,6 +11,7 @@ from ..operators.grouping import bounded_chunks
 from ..operators.semistructured import (K_CUSTOMER, K_ORDER_DATE, csv_text_to_rows, flatten_items,
                                         flatten_partner_orders, keyed_document_columns, review_payload_rows, vget)
 from ..session import scratch_path
+from ..sources.snapshot import AppendTable
 from ..sources.stage import FileFormat, read_stage
 from ..sources.tables import table
 from . import domain as D
@@ -88,7 +89,10 @@ def csv_text_to_rows_q(spark, sf):
              .agg(F.concat(F.lit(EMAIL_ORDER_HEADER + "\n"),
                            F.array_join(F.transform(F.collect_list(line), lambda x: F.concat(F.lit("  "), x)), "\n"))
                   .alias("completion")))
-    return csv_text_to_rows(texts, "completion", EMAIL_ORDER_SCHEMA)
+    # the procedure appends the extracted rows to the collected-orders table and returns them
+    collected = AppendTable(spark, scratch_path(spark, "collected_orders_from_email"))
+    collected.append(csv_text_to_rows(texts, "completion", EMAIL_ORDER_SCHEMA), batch_id=0)
+    return collected.read()
 
 
 REVIEWS_PER_PAYLOAD = 8

@@ -3,10 +3,12 @@ table, dynamic flatten / join / aggregate, and the chained pipeline with its run
 
 from __future__ import annotations
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.changes import has_changes, insert_images, snapshot_diff
+from ..operators.changes import insert_images, snapshot_diff
+from ..operators.history import current_rows, validity_intervals
 from ..operators.reporting import RunLog, run_summary_message
 from ..operators.semistructured import flatten_items, flatten_partner_orders, keyed_document_columns
 from ..session import scratch_path
@@ -16,6 +18,7 @@ from ..sources.tables import table
 from ..streaming.incremental import change_stream, consume, incremental_aggregate, incremental_map
 from ..streaming.ingest import FileIngest, stream_stage
 from . import domain as D
+from .q_changes import CHANGE_FROM, INITIAL_FROM
 from .q_relational import STAR_SQL, normalize_orders, partner_dim, product_dim
 from .q_semistructured import SERVICE_ITEMS_SQL, land_json
 from .registry import query
@@ -168,29 +171,55 @@ _ORDERS_TBL_SCHEMA = T.StructType([
     T.StructField("quantity", T.LongType())])
 
 
+def _append_observed(table_, df, batch_id) -> int:
+    obs = Observation(f"rows_{batch_id}")
+    table_.append(df.observe(obs, F.count(F.lit(1)).alias("n")), batch_id=batch_id)
+    return int(obs.get["n"])
+
+
+def version_dimension(history: AppendTable, prev, curr, keys, seq: int) -> int:
+    """Task body ``insert into DWH.<dim>_TBL select ... from <dim>_STREAM where action = 'INSERT'``:
+    the change rows of the staging dimension are diffed once and their INSERT images appended
+    (with the change sequence used to order equal-date versions). Returns the rows inserted."""
+    images = insert_images(snapshot_diff(prev, curr, keys)).withColumn("change_seq", F.lit(seq))
+    return _append_observed(history, images, seq)
+
+
 def run_pipeline(spark, sf, area):
-    """The chained steps of one scheduled run: copy -> (if new data) flatten -> (if changes)
-    version the product and partner tables -> normalize -> summarise; every step is logged."""
+    """The chained steps of one scheduled run: copy -> (if new data) flatten -> version the
+    product and partner tables from their change rows -> normalize -> summarise over the
+    current product versions; every step is logged with its row count."""
     log = RunLog(spark, f"{area}/mgmt/pipeline_log", "PIPELINE_START_TASK")
     stg = layered_flatten(spark, sf, area, log)
-    # product / partner dimensions: a new staging image vs. the warehouse copy -> insert images
-    prev_prod = table(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_size")
-    curr_prod = prev_prod.withColumn("p_type", F.when(F.col("p_size") >= 45, F.concat(F.lit("PROMO "), F.col("p_type")))
-                                     .otherwise(F.col("p_type")))
-    prod_changes = snapshot_diff(prev_prod, curr_prod, ["p_partkey"])
-    n_prod = insert_images(prod_changes).count() if has_changes(prod_changes) else 0
-    log.log_step("INSERT_PRODUCT_TASK", n_prod)
-    prev_part = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    part_changes = snapshot_diff(prev_part, prev_part, ["c_custkey"])
-    n_partner = insert_images(part_changes).count() if has_changes(part_changes) else 0
-    log.log_step("INSERT_PARTNER_TASK", n_partner)
+
+    initial = F.lit(INITIAL_FROM).cast("date")
+    prod_v1 = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"),
+        F.col("p_type").alias("category"), "p_size", initial.alias("valid_from"))
+    changed = F.col("p_size") >= 45
+    prod_v2 = (prod_v1.withColumn("category", F.when(changed, F.concat(F.lit("PROMO "), F.col("category")))
+                                  .otherwise(F.col("category")))
+               .withColumn("valid_from", F.when(changed, F.lit(CHANGE_FROM).cast("date")).otherwise(F.col("valid_from"))))
+    products = AppendTable(spark, f"{area}/dwh/product_tbl")
+    products.append(prod_v1.withColumn("change_seq", F.lit(0)), batch_id=0)           # initial copy
+    log.log_step("INSERT_PRODUCT_TASK", version_dimension(products, prod_v1, prod_v2, ["product_id"], 1))
+
+    part_v1 = table(spark, sf, "customer").select(F.col("c_custkey").alias("partner_id"),
+                                                  F.col("c_name").alias("partner_name"), "c_mktsegment",
+                                                  initial.alias("valid_from"))
+    partners = AppendTable(spark, f"{area}/dwh/partner_tbl")
+    partners.append(part_v1.withColumn("change_seq", F.lit(0)), batch_id=0)
+    log.log_step("INSERT_PARTNER_TASK", version_dimension(partners, part_v1, part_v1, ["partner_id"], 1))
+
+    current = current_rows(validity_intervals(products.read(), ["product_id"], "valid_from", ["change_seq"]),
+                           from_col="valid_from").select("product_id", "product_name", "category")
     orders_tbl = normalize_orders(stg.read(), partner_dim(spark, sf), product_dim(spark, sf))
-    cur = (product_dim(spark, sf).join(curr_prod, F.col("product_id") == F.col("p_partkey"))
-           .select("product_id", "product_name", F.col("p_type").alias("category")))
     summary = SnapshotTable(spark, f"{area}/mgmt/orders_summary")
+    obs = Observation("summary_rows")
     summary.publish(summary_view(orders_tbl.groupBy("delivery_date", "product_id")
-                                 .agg(F.sum("quantity").alias("total_quantity")), cur))
-    log.log_step("ORDERS_SUMMARY_TASK", summary.read().count())
+                                 .agg(F.sum("quantity").alias("total_quantity")), current)
+                    .observe(obs, F.count(F.lit(1)).alias("n")))
+    log.log_step("ORDERS_SUMMARY_TASK", int(obs.get["n"]))
     return summary, log
 
 

@@ -65,16 +65,36 @@ class FileIngest:
     schema: T.StructType | None = None
     variant_col: str | None = None
     load_ts: object = None
+    purge: bool = False
 
     def source(self) -> DataFrame:
+        # purge = true: the source removes files of committed batches itself (cleanSource);
+        # files of the last batch are removed by ``purge_loaded`` right after the commit.
         return stream_stage(self.spark, self.stage_path, self.schema, self.fmt,
-                            variant_col=self.variant_col, load_ts=self.load_ts)
+                            variant_col=self.variant_col, load_ts=self.load_ts,
+                            clean_source="delete" if self.purge else None)
+
+    def purge_loaded(self) -> int:
+        """Delete staged files whose rows are in the target (``purge = true``). The file list is
+        one row per file (a grouped scan of the target), not per row."""
+        names = [r[0] for r in self.read().select("source_file_name").distinct().collect()]
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        n = 0
+        for name in names:
+            p = jvm.org.apache.hadoop.fs.Path(self.stage_path.rstrip("/") + "/" + name)
+            fs = p.getFileSystem(conf)
+            if fs.exists(p) and fs.delete(p, False):
+                n += 1
+        return n
 
     def run(self) -> int:
         """Load files not loaded before into the target (Parquet file sink, exactly once). Returns rows."""
         w = (self.source().writeStream.format("parquet").outputMode("append")
              .option("checkpointLocation", self.checkpoint_path))
         q = _run(w, start_path=self.target_path)
+        if self.purge:
+            self.purge_loaded()
         return rows_in(q.recentProgress)
 
     def run_each(self, on_batch) -> int:

@@ -29,3 +29,11 @@ def test_clustering_gives_disjoint_files(spark, tmp_area):
     cluster_by(df, path, ["k"], num_files=8)
     r = layout_report(spark, path, "k").first()
     assert r.total_files >= 2 and r.max_depth <= 2
+
+
+def test_reused_result_is_released(spark):
+    from layerkit.operators.reuse import reused
+    df = spark.range(1000).selectExpr("id % 7 as k").groupBy("k").count()
+    with reused(df) as r:
+        assert r.is_cached and r.count() == 7 and r.agg({"count": "sum"}).first()[0] == 1000
+    assert not df.is_cached
