@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..operators.upsert import latest_per_key, load_with_status, observed_upsert, upsert
 from ..session import scratch_path
+from ..sources.partitioned import PartitionedTable
 from ..sources.snapshot import SnapshotTable
 from ..sources.stage import FileFormat, create_external_view, land, read_stage, stage_listing
 from ..sources.tables import table
@@ -147,24 +148,26 @@ LINE_SCHEMA = T.StructType([
 
 
 def order_line_pipeline(spark, sf, area):
-    """Chapter-2 flow: two deliveries of order-line CSV files -> copy (each file once) -> merge
-    into the keyed target after each delivery -> full-refresh summary. Returns (target, summary)."""
+    """Batch order pipeline: two deliveries of order-line CSV files -> copy (each file once) -> merge
+    into the keyed target after each delivery -> full-refresh summary. Returns (target, summary).
+
+    The target is partitioned by delivery month (derived from the key), so a delivery only
+    reads and rewrites the months it touches."""
     fmt = FileFormat.csv()
     lines = D.order_lines(spark, sf)
     ingest = FileIngest(spark, f"{area}/stage", f"{area}/orders_stg", f"{area}/_ckpt_copy", fmt, LINE_SCHEMA)
-    target = SnapshotTable(spark, f"{area}/customer_orders")
+    target = PartitionedTable(spark, f"{area}/customer_orders", "delivery_month",
+                              F.date_format("delivery_date", "yyyy-MM"))
     summary = SnapshotTable(spark, f"{area}/summary_orders")
 
     def merge_batch(batch, batch_id):
         if batch.isEmpty():
             return
         batch = batch.select(*LINE_SCHEMA.names, "source_file_name", "load_ts")
-        tgt = target.read() if target.exists() else spark.createDataFrame([], batch.schema)
-        merged = upsert(tgt, batch, ORDER_LINE_KEYS, ["quantity", "source_file_name", "load_ts"],
-                        update_exprs={"load_ts": F.current_timestamp()},
-                        insert_exprs={"load_ts": F.current_timestamp()},
-                        on_duplicate="latest", order_cols=["order_date", "quantity"])
-        target.publish(merged, batch_id=batch_id)
+        target.merge(batch, ORDER_LINE_KEYS, ["quantity", "source_file_name", "load_ts"],
+                     update_exprs={"load_ts": F.current_timestamp()},
+                     insert_exprs={"load_ts": F.current_timestamp()},
+                     on_duplicate="latest", order_cols=["order_date", "quantity"])
 
     split = F.lit(D.BATCH_SPLIT).cast("date")
     land(lines.filter(F.col("order_date") < split), ingest.stage_path, fmt)
