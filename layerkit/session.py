@@ -59,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for cluster runs")
         root = tempfile.mkdtemp(prefix="layerkit-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)

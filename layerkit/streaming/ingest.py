@@ -97,6 +97,12 @@ class FileIngest:
             self.purge_loaded()
         return rows_in(q.recentProgress)
 
+    def start_continuous(self, processing_time: str = "1 minute"):
+        """The pipe form: keep loading new files every ``processing_time``; returns the running query."""
+        w = (self.source().writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", self.checkpoint_path))
+        return _run(w, available_now=False, processing_time=processing_time, start_path=self.target_path)
+
     def run_each(self, on_batch) -> int:
         """Same, but each micro-batch goes to ``on_batch(df, batch_id)`` (e.g. append + merge)."""
         w = self.source().writeStream.foreachBatch(on_batch).option("checkpointLocation", self.checkpoint_path)

@@ -71,3 +71,17 @@ def test_incremental_equals_full_after_each_batch(spark, tmp_area):
                               dst, f"{tmp_area}/ck")
         assert rep["appended"] == 3
         assert sorted(dst.read().collect()) == sorted(src.read().filter("v % 2 = 0").collect())
+
+
+def test_continuous_pipe_picks_up_new_files(spark, local_dir, tmp_area):
+    stage = os.path.join(local_dir, "pipe")
+    csv_file(stage, "a.csv", ["A,2023-07-07,2023-07-10,Bagel,1"])
+    ing = FileIngest(spark, stage, f"{tmp_area}/t", f"{tmp_area}/ck", FileFormat.csv(), ORDER_LINE_SCHEMA)
+    q = ing.start_continuous("1 second")
+    try:
+        q.processAllAvailable()
+        csv_file(stage, "b.csv", ["B,2023-07-07,2023-07-10,Roll,2"])
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sorted(r.customer for r in ing.read().collect()) == ["A", "B"]

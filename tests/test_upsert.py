@@ -94,3 +94,14 @@ def test_partitioned_merge_rewrites_only_touched_partitions(spark, tmp_area):
     assert before == after                     # the untouched month kept its files
     got = sorted((r.customer, r.quantity, r.order_date) for r in t.read().collect())
     assert got == [("A", 1, D(2023, 7, 1)), ("B", 5, D(2023, 8, 1)), ("C", 3, D(2023, 8, 2))]
+
+
+def test_load_with_status_reports_failure_and_success(spark):
+    from layerkit.operators.upsert import load_with_status
+    tgt = spark.createDataFrame([("A", D(2023, 1, 1), D(2023, 1, 2), "x", 1, "f")], SCHEMA)
+    good = spark.createDataFrame([("A", D(2023, 1, 1), D(2023, 1, 2), "x", 2, "g"),
+                                  ("B", D(2023, 1, 1), D(2023, 1, 2), "x", 3, "g")], SCHEMA)
+    sink = lambda df: df.write.format("noop").mode("overwrite").save()
+    assert load_with_status(sink, tgt, good, KEYS, ["quantity"]) == "Load Complete. 2 rows affected"
+    msg = load_with_status(sink, tgt, good.unionByName(good), KEYS, ["quantity"])
+    assert msg.startswith("Load failed with error message:")
