@@ -49,12 +49,16 @@ def check_unique(df: DataFrame, keys: list[str]) -> None:
 def merge_frame(target: DataFrame, source: DataFrame, keys: list[str], update_cols: list[str], *,
                 update_exprs: dict[str, Column] | None = None,
                 insert_exprs: dict[str, Column] | None = None,
-                on_duplicate: str = "error", order_cols: list[str] | None = None) -> DataFrame:
+                on_duplicate: str = "error", order_cols: list[str] | None = None,
+                combine: dict | None = None) -> DataFrame:
     """Merged rows (target schema) plus ``_merge_action``.
 
     ``update_exprs`` / ``insert_exprs`` override the value taken from the source for the
     update / insert branch; they may use source columns by their plain names.
+    ``combine[c](target_value, source_value)`` gives the updated value from both sides
+    (e.g. ``lambda t, s: t + s`` merges additive sums).
     """
+    combine = combine or {}
     update_exprs = update_exprs or {}
     insert_exprs = insert_exprs or {}
     if on_duplicate == "latest":
@@ -85,6 +89,8 @@ def merge_frame(target: DataFrame, source: DataFrame, keys: list[str], update_co
     t_in, s_in = F.col("__t_present").isNotNull(), F.col("__s_present").isNotNull()
 
     def upd(c):
+        if c in combine:
+            return combine[c](F.col(c), F.col(f"__s_{c}"))
         if c in update_exprs:
             return F.col(f"__u_{c}")
         return F.col(f"__s_{c}")

@@ -249,9 +249,10 @@ def load_with_status_q(spark, sf):
 select p_partkey, p_name, p_brand, case when p_size = 7 then 'DISCONTINUED' else p_type end as p_type,
        p_size, p_retailprice from part""")
 def update_where(spark, sf):
-    """``update part set p_type = 'DISCONTINUED' where p_size = 7`` published as a new version."""
-    snap = SnapshotTable(spark, scratch_path(spark, "update_where"))
-    snap.publish(table(spark, sf, "part"))
-    cur = snap.read()
-    snap.publish(cur.withColumn("p_type", F.when(F.col("p_size") == 7, F.lit("DISCONTINUED")).otherwise(F.col("p_type"))))
-    return snap.read()
+    """``update part set p_type = 'DISCONTINUED' where p_size = 7`` on a table partitioned by size
+    band: only the partitions holding matching rows are rewritten."""
+    t = PartitionedTable(spark, scratch_path(spark, "update_where"), "size_band",
+                         F.floor(F.col("p_size") / 10).cast("int"))
+    t.publish(table(spark, sf, "part"))
+    t.update_where(F.col("p_size") == 7, {"p_type": F.lit("DISCONTINUED")})
+    return t.read().drop("size_band")

@@ -12,6 +12,7 @@ from ..operators.history import current_rows, validity_intervals
 from ..operators.reporting import RunLog, run_summary_message
 from ..operators.semistructured import flatten_items, flatten_partner_orders, keyed_document_columns
 from ..session import scratch_path
+from ..sources.partitioned import PartitionedTable
 from ..sources.snapshot import AppendTable, SnapshotTable
 from ..sources.stage import FileFormat, land
 from ..sources.tables import table
@@ -152,7 +153,8 @@ def dynamic_aggregate(spark, sf):
     area = scratch_path(spark, "dynamic_aggregate")
     stg_path = f"{area}/stg_lines"
     orders_tbl = AppendTable(spark, f"{area}/orders_tbl")
-    summary = SnapshotTable(spark, f"{area}/orders_summary_tbl")
+    summary = PartitionedTable(spark, f"{area}/orders_summary_tbl", "delivery_month",
+                               F.date_format("delivery_date", "yyyy-MM"))
     keys = ["delivery_date", "product_id"]
     for land_batch in _staged_lines_in_two_batches(spark, sf, stg_path):
         land_batch()
@@ -162,7 +164,7 @@ def dynamic_aggregate(spark, sf):
         incremental_aggregate(orders_tbl.stream(_ORDERS_TBL_SCHEMA),
                               lambda df: df.groupBy(*keys).agg(F.sum("quantity").alias("total_quantity")),
                               keys, ["total_quantity"], summary, f"{area}/_ckpt/agg")
-    return summary_view(summary.read(), product_versions(spark, sf))
+    return summary_view(summary.read().drop("delivery_month"), product_versions(spark, sf))
 
 
 _ORDERS_TBL_SCHEMA = T.StructType([

@@ -55,3 +55,27 @@ class PartitionedTable:
         ranged.drop(ACTION).write.partitionBy(self.partition_col).parquet(stage)
         self._overwrite_partitions(self.spark.read.parquet(stage))
         return {k: int(v) for k, v in obs.get.items()}
+
+    def update_where(self, cond: Column, assignments: dict[str, Column]) -> int:
+        """``update T set c = expr where cond``: only partitions holding matching rows are rewritten.
+        Returns the number of rows updated."""
+        t = self.read()
+        touched = [r[0] for r in t.filter(cond).select(self.partition_col).distinct().collect()]
+        if not touched:
+            return 0
+        part = t.filter(F.col(self.partition_col).isin(touched))
+        obs = Observation("partition_update")
+        hit = cond.alias("__hit")
+        upd = part.select("*", hit).observe(obs, F.count(F.when(F.col("__hit"), 1)).alias("updated"))
+        upd = upd.select(*[(F.when(F.col("__hit"), e).otherwise(F.col(c)) if (e := assignments.get(c)) is not None
+                            else F.col(c)).alias(c) for c in t.columns])
+        stage = scratch_path(self.spark, "update_stage")
+        upd.write.partitionBy(self.partition_col).parquet(stage)
+        self._overwrite_partitions(self.spark.read.parquet(stage))
+        return int(obs.get["updated"])
+
+    def publish(self, df: DataFrame) -> None:
+        """Create / replace the whole table (``create table as select``)."""
+        (df.withColumn(self.partition_col, self.partition_of)
+         .repartitionByRange(self.partition_col).write.mode("overwrite")
+         .partitionBy(self.partition_col).parquet(self.path))

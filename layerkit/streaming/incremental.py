@@ -65,16 +65,23 @@ def additive_merge(current: DataFrame | None, delta: DataFrame, keys: list[str],
 
 
 def incremental_aggregate(stream: DataFrame, delta_of: Callable[[DataFrame], DataFrame],
-                          keys: list[str], sum_cols: list[str], target: SnapshotTable, checkpoint_path: str) -> dict:
+                          keys: list[str], sum_cols: list[str], target, checkpoint_path: str) -> dict:
     """Dynamic aggregate table kept at fact grain keys (e.g. date x product id).
 
     ``delta_of(batch)`` gives the batch's partial sums by ``keys``; they are merged additively.
-    Descriptive dimension columns (name, category of the *current* version) are joined when
-    the summary is read (``summary_view``), so a dimension change needs no re-aggregation of facts.
+    With a ``PartitionedTable`` target the delta is merged into the touched partitions only
+    (matched keys add, new keys insert); with a ``SnapshotTable`` the summary is re-aggregated
+    with the delta and published as a new version. Descriptive dimension columns (name, category
+    of the *current* version) are joined when the summary is read, so a dimension change needs
+    no re-aggregation of facts.
     """
     def on_batch(df: DataFrame, batch_id: int) -> None:
         if df.isEmpty():
             return
-        current = target.read() if target.exists() else None
-        target.publish(additive_merge(current, delta_of(df), keys, sum_cols), batch_id=batch_id)
+        delta = delta_of(df)
+        if hasattr(target, "merge"):
+            target.merge(delta, keys, sum_cols, combine={c: (lambda t, s: t + s) for c in sum_cols})
+        else:
+            current = target.read() if target.exists() else None
+            target.publish(additive_merge(current, delta, keys, sum_cols), batch_id=batch_id)
     return consume(stream, on_batch, checkpoint_path)

@@ -105,3 +105,18 @@ def test_load_with_status_reports_failure_and_success(spark):
     assert load_with_status(sink, tgt, good, KEYS, ["quantity"]) == "Load Complete. 2 rows affected"
     msg = load_with_status(sink, tgt, good.unionByName(good), KEYS, ["quantity"])
     assert msg.startswith("Load failed with error message:")
+
+
+def test_additive_combine_and_partition_update(spark, tmp_area):
+    from layerkit.sources.partitioned import PartitionedTable
+    sch = "day date, product_id bigint, total bigint"
+    t = PartitionedTable(spark, f"{tmp_area}/s", "m", F.date_format("day", "yyyy-MM"))
+    add = {"total": lambda a, b: a + b}
+    t.merge(spark.createDataFrame([(D(2023, 1, 1), 1, 5), (D(2023, 2, 1), 1, 7)], sch), ["day", "product_id"],
+            ["total"], combine=add)
+    t.merge(spark.createDataFrame([(D(2023, 1, 1), 1, 3), (D(2023, 1, 1), 2, 1)], sch), ["day", "product_id"],
+            ["total"], combine=add)
+    got = sorted((r.day, r.product_id, r.total) for r in t.read().collect())
+    assert got == [(D(2023, 1, 1), 1, 8), (D(2023, 1, 1), 2, 1), (D(2023, 2, 1), 1, 7)]
+    assert t.update_where(F.col("product_id") == 2, {"total": F.lit(0).cast("bigint")}) == 1
+    assert sorted(r.total for r in t.read().collect()) == [0, 7, 8]
