@@ -84,3 +84,12 @@ def run_summary_message(log: DataFrame, run_group_id: str | Column | None = None
     ordered = F.array_sort(F.collect_list(F.struct(F.col("log_ts"), F.col("task_name"), line.alias("line"))))
     return (rows.groupBy("run_group_id")
             .agg(F.array_join(F.transform(ordered, lambda x: x["line"]), "").alias("message")))
+
+
+def run_summary_message_sql(spark: SparkSession, log: DataFrame, run_group_id: str) -> DataFrame:
+    """The same text with ``listagg ... within group (order by log_ts, task_name)`` in Spark SQL."""
+    log.createOrReplaceTempView("pipeline_log")
+    return spark.sql("""
+        select listagg('Task: ' || task_name || ' Rows processed: ' || cast(rows_processed as string) || '\\n', '')
+                 within group (order by log_ts, task_name) as message
+        from pipeline_log where run_group_id = :run""", args={"run": run_group_id})

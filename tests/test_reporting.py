@@ -37,3 +37,14 @@ def test_reused_result_is_released(spark):
     with reused(df) as r:
         assert r.is_cached and r.count() == 7 and r.agg({"count": "sum"}).first()[0] == 1000
     assert not df.is_cached
+
+
+def test_run_summary_message_sql_form(spark, tmp_area):
+    from layerkit.operators.reporting import run_summary_message_sql
+    log = RunLog(spark, f"{tmp_area}/log2", "ROOT")
+    log.log_step("A", 3)
+    log.log_step("B", 4)
+    df = log.read()
+    assert (run_summary_message_sql(spark, df, log.run_group_id).first().message
+            == run_summary_message(df, log.run_group_id).first().message
+            == "Task: A Rows processed: 3\nTask: B Rows processed: 4\n")
