@@ -32,6 +32,9 @@ def build_session(master: str | None = None, app_name: str = "layerkit",
         "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
         "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+        # AQE sizes post-shuffle partitions by bytes, not by the core count
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.parquet.filterPushdown": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.streaming.schemaInference": "false",
@@ -82,3 +85,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def size_shuffle_partitions(spark: SparkSession, input_bytes: int, target_bytes: int = 256 * 1024 * 1024) -> int:
+    """Set the initial shuffle partition count from the input size (AQE then coalesces small
+    partitions and splits skewed ones). At 100 TB and 256 MB per partition this is ~400k; the
+    floor is twice the default parallelism so every core has work."""
+    floor = 2 * spark.sparkContext.defaultParallelism
+    n = max(floor, -(-int(input_bytes) // int(target_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    return n

@@ -8,6 +8,7 @@ stops - the batch form; ``processing_time`` keeps it running - the continuous fo
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -74,10 +75,15 @@ class FileIngest:
                             variant_col=self.variant_col, load_ts=self.load_ts,
                             clean_source="delete" if self.purge else None)
 
-    def purge_loaded(self) -> int:
-        """Delete staged files whose rows are in the target (``purge = true``). The file list is
-        one row per file (a grouped scan of the target), not per row."""
-        names = [r[0] for r in self.read().select("source_file_name").distinct().collect()]
+    def purge_loaded(self, since=None) -> int:
+        """Delete staged files whose rows are in the target (``purge = true``). With ``since`` only
+        rows loaded at or after that time are looked at (a pushed-down filter on ``load_ts``: the
+        files written by earlier runs are skipped by their statistics). The file list is one row
+        per file, not per row."""
+        loaded = self.read()
+        if since is not None:
+            loaded = loaded.filter(F.col("load_ts") >= F.lit(since))
+        names = [r[0] for r in loaded.select("source_file_name").distinct().collect()]
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         n = 0
@@ -92,9 +98,10 @@ class FileIngest:
         """Load files not loaded before into the target (Parquet file sink, exactly once). Returns rows."""
         w = (self.source().writeStream.format("parquet").outputMode("append")
              .option("checkpointLocation", self.checkpoint_path))
+        started = _dt.datetime.now(_dt.timezone.utc) - _dt.timedelta(seconds=1)
         q = _run(w, start_path=self.target_path)
         if self.purge:
-            self.purge_loaded()
+            self.purge_loaded(since=started if self.load_ts is None else None)
         return rows_in(q.recentProgress)
 
     def start_continuous(self, processing_time: str = "1 minute"):

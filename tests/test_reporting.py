@@ -48,3 +48,14 @@ def test_run_summary_message_sql_form(spark, tmp_area):
     assert (run_summary_message_sql(spark, df, log.run_group_id).first().message
             == run_summary_message(df, log.run_group_id).first().message
             == "Task: A Rows processed: 3\nTask: B Rows processed: 4\n")
+
+
+def test_shuffle_partitions_sized_from_input(spark):
+    from layerkit.session import size_shuffle_partitions
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffle_partitions(spark, 100 * 2 ** 40) == 409600
+        assert size_shuffle_partitions(spark, 10) == 2 * spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
