@@ -56,6 +56,23 @@ def flatten_partner_orders(raw: DataFrame, variant_col: str = "customer_orders",
                        F.col(K_GOOD).alias("baked_good_type"), F.col(K_QUANTITY).alias("quantity"), *keep)
 
 
+def partner_document_schema(quantity_type: str = "decimal(38,0)") -> T.StructType:
+    """Declared shape of a partner order document (typed read: nested columns can be pruned)."""
+    return T.StructType.fromDDL("`%s` string, `%s` date, `%s` %s"
+                                % (K_CUSTOMER, K_ORDER_DATE, K_ORDERS, partner_orders_type(quantity_type)))
+
+
+def flatten_partner_orders_typed(docs: DataFrame, keep: tuple[str, ...] = ("source_file_name", "load_ts")) -> DataFrame:
+    """The same two-level flatten over documents read with the declared schema (no variant)."""
+    keep = [c for c in keep if c in docs.columns]
+    lvl1 = docs.select(F.col(K_CUSTOMER).alias("customer"), F.col(K_ORDER_DATE).alias("order_date"),
+                       F.inline(F.col(K_ORDERS)), *keep)
+    lvl2 = lvl1.select("customer", "order_date", F.col(K_DELIVERY_DATE).alias("delivery_date"),
+                       F.inline(F.col(K_ORDERS_BY_DAY)), *keep)
+    return lvl2.select("customer", "order_date", "delivery_date",
+                       F.col(K_GOOD).alias("baked_good_type"), F.col(K_QUANTITY).alias("quantity"), *keep)
+
+
 def service_items_type(quantity_type: str = "int") -> str:
     return "array<struct<`%s`: string, `%s`: %s>>" % (K_ITEM, K_QUANTITY, quantity_type)
 

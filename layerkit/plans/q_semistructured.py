@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from ..functions.text import ORDER_PROMPT_TEMPLATE, prompt_build, sentiment_tag
 from ..operators.grouping import bounded_chunks
 from ..operators.semistructured import (K_CUSTOMER, K_ORDER_DATE, csv_text_to_rows, flatten_items,
-                                        flatten_partner_orders, keyed_document_columns, review_payload_rows, vget)
+                                        flatten_partner_orders, flatten_partner_orders_typed, keyed_document_columns,
+                                        partner_document_schema, review_payload_rows, vget)
 from ..session import scratch_path
 from ..sources.snapshot import AppendTable
 from ..sources.stage import FileFormat, read_stage
@@ -31,6 +32,15 @@ def json_variant_flatten(spark, sf):
     return flatten_partner_orders(raw, quantity_type="bigint").drop("source_file_name", "load_ts")
 
 
+@query("json_typed_flatten", covers="S11 N3 J7 P4", sql=D.ORDER_LINES_SQL)
+def json_typed_flatten(spark, sf):
+    """The same documents read with their declared nested schema instead of a variant."""
+    area = scratch_path(spark, "json_typed_flatten")
+    land_json(D.partner_order_docs(D.order_lines(spark, sf, with_ids=True)), f"{area}/stage")
+    docs = read_stage(spark, f"{area}/stage", partner_document_schema("bigint"), FileFormat.json(), with_file=False)
+    return flatten_partner_orders_typed(docs)
+
+
 SERVICE_ITEMS_SQL = """
 select cast(o.o_orderkey as varchar) as order_id, o.o_orderdate as order_datetime,
        p.p_name as baked_good_type, cast(l.l_quantity as integer) as quantity

@@ -73,3 +73,13 @@ def test_review_payload_rows(spark):
     out = review_payload_rows(spark.createDataFrame([(search, reviews)], "search_json string, reviews_json string"))
     assert sorted(tuple(r) for r in out.collect()) == [("b1", "Bakery One", "ann", "Great bread", 5),
                                                        ("b1", "Bakery One", "bo", "fine", 3)]
+
+
+def test_typed_and_variant_flatten_agree(spark, local_dir):
+    from layerkit.operators.semistructured import flatten_partner_orders_typed, partner_document_schema
+    write(local_dir, "Orders_2023-08-11.json", partner_doc())
+    raw = read_stage(spark, local_dir, None, FileFormat.json(multi_line=True), variant_col="customer_orders")
+    typed = read_stage(spark, local_dir, partner_document_schema(), FileFormat.json(multi_line=True))
+    a = sorted(tuple(r) for r in flatten_partner_orders(raw).drop("load_ts").collect())
+    b = sorted(tuple(r) for r in flatten_partner_orders_typed(typed).drop("load_ts").collect())
+    assert a == b and len(a) == 9
