@@ -147,7 +147,7 @@ LINE_SCHEMA = T.StructType([
     T.StructField("quantity", T.LongType())])
 
 
-def order_line_pipeline(spark, sf, area):
+def order_line_flow(spark, sf, area):
     """Batch order pipeline: two deliveries of order-line CSV files -> copy (each file once) -> merge
     into the keyed target after each delivery -> full-refresh summary. Returns (target, summary).
 
@@ -187,7 +187,7 @@ latest as (select customer, delivery_date, baked_good_type,
 @query("orders_summary", covers="A1 S19 S4 J8 T12", sql=_LATEST_SQL + """
 select delivery_date, baked_good_type, cast(sum(w.q) as bigint) as total_quantity from latest group by all""")
 def orders_summary(spark, sf):
-    _, summary = order_line_pipeline(spark, sf, scratch_path(spark, "orders_summary"))
+    _, summary = order_line_flow(spark, sf, scratch_path(spark, "orders_summary"))
     return summary.read()
 
 

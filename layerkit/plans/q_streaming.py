@@ -187,7 +187,7 @@ def version_dimension(history: AppendTable, prev, curr, keys, seq: int) -> int:
     return _append_observed(history, images, seq)
 
 
-def run_pipeline(spark, sf, area):
+def run_layered_flow(spark, sf, area):
     """The chained steps of one scheduled run: copy -> (if new data) flatten -> version the
     product and partner tables from their change rows -> normalize -> summarise over the
     current product versions; every step is logged with its row count."""
@@ -225,7 +225,7 @@ def run_pipeline(spark, sf, area):
     return summary, log
 
 
-PIPELINE_SQL = f"""with o as ({STAR_SQL}),
+LAYERED_RUN_SQL = f"""with o as ({STAR_SQL}),
 cur as (select d.product_id, d.product_name,
                case when p.p_size >= 45 then 'PROMO ' || p.p_type else p.p_type end as category
         from (select p_name as product_name, min(p_partkey) as product_id from part group by p_name) d
@@ -235,9 +235,9 @@ from o left join cur on o.product_id = cur.product_id
 group by all"""
 
 
-@query("pipeline_end_to_end", covers="T12 L4 T7", sql=PIPELINE_SQL)
-def pipeline_end_to_end(spark, sf):
-    summary, _ = run_pipeline(spark, sf, scratch_path(spark, "pipeline"))
+@query("layered_run_end_to_end", covers="T12 L4 T7", sql=LAYERED_RUN_SQL)
+def layered_run_end_to_end(spark, sf):
+    summary, _ = run_layered_flow(spark, sf, scratch_path(spark, "layered_run"))
     return summary.read()
 
 
@@ -250,7 +250,7 @@ d as (select count(distinct l.l_orderkey) filter (where cast(o.o_orderdate as da
              count(distinct l.l_orderkey) filter (where cast(o.o_orderdate as date) >= date '{D.BATCH_SPLIT}') as d2
       from lineitem l join orders o on l.l_orderkey = o.o_orderkey),
 pr as (select count(*) as n from part where p_size >= 45),
-pipe as ({PIPELINE_SQL})
+pipe as ({LAYERED_RUN_SQL})
 select 'Task: COPY_ORDERS_TASK Rows processed: ' || d1 || chr(10) ||
        'Task: INSERT_ORDERS_STG_TASK Rows processed: ' || l1 || chr(10) ||
        'Task: COPY_ORDERS_TASK Rows processed: ' || d2 || chr(10) ||
@@ -261,5 +261,5 @@ select 'Task: COPY_ORDERS_TASK Rows processed: ' || d1 || chr(10) ||
 from b, d, pr""")
 def run_summary_message_q(spark, sf):
     """Finalizer text of one run: a line per logged step, in log order."""
-    _, log = run_pipeline(spark, sf, scratch_path(spark, "run_summary"))
+    _, log = run_layered_flow(spark, sf, scratch_path(spark, "run_summary"))
     return run_summary_message(log.read(), log.run_group_id).select("message")
