@@ -46,6 +46,8 @@ def validity_intervals(df: DataFrame, keys: list[str], from_col: str, tie_cols:
         nxt = firsts[i + 1][1] if i + 1 < len(firsts) else None
         next_first[pid] = None if nxt is None else (nxt[:nk], nxt[nk])
 
+    # one entry per partition: shipped once per executor as a broadcast variable
+    next_first_bc = spark.sparkContext.broadcast(next_first)
     from_type = df.schema[from_col].dataType
     out_schema = T.StructType(list(df.schema.fields) + [T.StructField(to_col, from_type, True)])
     cols = df.columns
@@ -71,7 +73,7 @@ def validity_intervals(df: DataFrame, keys: list[str], from_col: str, tie_cols:
                 yield body[cols + [to_col]]
         if carry is not None:
             pid = int(carry["__pid"].iloc[0])
-            nf = next_first.get(pid)
+            nf = next_first_bc.value.get(pid)
             val = None
             if nf is not None:
                 nkeys, nfrom = nf
