@@ -69,3 +69,22 @@ def test_validity_intervals_hot_key_matches_window(spark):
     assert sorted(got.collect()) == sorted(want.collect())
     # contiguity: per key, each interval ends where the next begins; the last is open
     assert got.filter(F.col("valid_to") == F.lit(OPEN_END)).count() == 300
+
+
+def test_diff_apply_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    rows = st.dictionaries(st.integers(0, 6), st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 2)),
+                           max_size=6)
+
+    @settings(max_examples=8, deadline=None)
+    @given(rows, rows)
+    def check(p, c):
+        mk = lambda d: spark.createDataFrame([(k, v[0], v[1]) for k, v in d.items()], "k int, s string, n int")
+        prev, curr = mk(p), mk(c)
+        ch = snapshot_diff(prev, curr, ["k"])
+        assert sorted(apply_changes(prev, ch, ["k"]).collect()) == sorted(curr.collect())
+        n_upd = sum(1 for k in p if k in c and p[k] != c[k])
+        assert ch.filter("_is_update").count() == 2 * n_upd
+    check()

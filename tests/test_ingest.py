@@ -85,3 +85,21 @@ def test_continuous_pipe_picks_up_new_files(spark, local_dir, tmp_area):
     finally:
         q.stop()
     assert sorted(r.customer for r in ing.read().collect()) == ["A", "B"]
+
+
+def test_incremental_aggregate_equals_full_recompute(spark, tmp_area):
+    from pyspark.sql import functions as F
+
+    from layerkit.sources.partitioned import PartitionedTable
+    from layerkit.streaming.incremental import incremental_aggregate
+    schema = T.StructType([T.StructField("day", T.DateType()), T.StructField("pid", T.LongType()),
+                           T.StructField("q", T.LongType())])
+    facts = AppendTable(spark, f"{tmp_area}/facts")
+    summary = PartitionedTable(spark, f"{tmp_area}/summary", "m", F.date_format("day", "yyyy-MM"))
+    for b in range(3):
+        rows = [(dt.date(2023, 1 + (i + b) % 3, 1 + i % 5), i % 4, i + b) for i in range(20)]
+        facts.append(spark.createDataFrame(rows, schema), batch_id=b)
+        incremental_aggregate(facts.stream(schema), lambda df: df.groupBy("day", "pid").agg(F.sum("q").alias("q")),
+                              ["day", "pid"], ["q"], summary, f"{tmp_area}/ck")
+        full = facts.read().groupBy("day", "pid").agg(F.sum("q").alias("q"))
+        assert sorted(summary.read().drop("m").collect()) == sorted(full.collect())
