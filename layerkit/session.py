@@ -32,15 +32,17 @@ def build_session(master: str | None = None, app_name: str = "layerkit",
         "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
         "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
-        # AQE sizes post-shuffle partitions by bytes, not by the core count
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.parquet.filterPushdown": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.streaming.schemaInference": "false",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master is None or not master.startswith("local"):
+        # on a shared cluster AQE sizes post-shuffle partitions by bytes (advisory size), not by
+        # the core count: fewer, fuller tasks. Locally, parallelism first keeps all cores busy.
+        conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
