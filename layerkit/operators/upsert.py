@@ -65,8 +65,8 @@ def merge_frame(target: DataFrame, source: DataFrame, keys: list[str], update_co
         source = latest_per_key(source, keys, order_cols or [])
     elif on_duplicate == "error":
         check_unique(source, keys)
-    else:
-        raise ValueError("on_duplicate must be 'error' or 'latest'")
+    elif on_duplicate != "unique":   # "unique": the caller guarantees one row per key (e.g. an aggregate)
+        raise ValueError("on_duplicate must be 'error', 'latest' or 'unique'")
 
     tcols = target.columns
     s_only = [c for c in source.columns]

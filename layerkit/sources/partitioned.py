@@ -10,6 +10,7 @@ and re-running the same merge rewrites the same partitions with the same rows.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,8 +37,15 @@ class PartitionedTable:
 
     def merge(self, source: DataFrame, keys: list[str], update_cols: list[str], **kw) -> dict:
         """Upsert ``source`` (same columns as the table, without the partition column)."""
-        src = source.withColumn(self.partition_col, self.partition_of)
-        if not self.exists():
+        src = source.withColumn(self.partition_col, self.partition_of).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return self._merge(src, keys, update_cols, **kw)
+        finally:
+            src.unpersist()
+
+    def _merge(self, src: DataFrame, keys: list[str], update_cols: list[str], **kw) -> dict:
+        first = not self.exists()
+        if first:   # empty target: the join folds away (empty relation) and nothing is read back
             merged = merge_frame(src.limit(0), src, keys + [self.partition_col], update_cols, **kw)
         else:
             # the touched partition values: one row per partition, not per source row
@@ -52,8 +60,13 @@ class PartitionedTable:
         ranged = merged.repartitionByRange(self.partition_col, *keys).observe(
             obs, F.count(F.when(F.col(ACTION) == "update", 1)).alias("updated"),
             F.count(F.when(F.col(ACTION) == "insert", 1)).alias("inserted"))
-        ranged.drop(ACTION).write.partitionBy(self.partition_col).parquet(stage)
-        self._overwrite_partitions(self.spark.read.parquet(stage))
+        if first:
+            ranged.drop(ACTION).write.partitionBy(self.partition_col).parquet(self.path)
+        else:
+            out = ranged.drop(ACTION)
+            out.write.partitionBy(self.partition_col).parquet(stage)
+            # known schema: no footer reads to infer it again
+            self._overwrite_partitions(self.spark.read.schema(out.schema).parquet(stage))
         return {k: int(v) for k, v in obs.get.items()}
 
     def update_where(self, cond: Column, assignments: dict[str, Column]) -> int:

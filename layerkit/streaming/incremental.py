@@ -80,7 +80,8 @@ def incremental_aggregate(stream: DataFrame, delta_of: Callable[[DataFrame], Dat
             return
         delta = delta_of(df)
         if hasattr(target, "merge"):
-            target.merge(delta, keys, sum_cols, combine={c: (lambda t, s: t + s) for c in sum_cols})
+            target.merge(delta, keys, sum_cols, combine={c: (lambda t, s: t + s) for c in sum_cols},
+                         on_duplicate="unique")   # the delta is an aggregate by ``keys``
         else:
             current = target.read() if target.exists() else None
             target.publish(additive_merge(current, delta, keys, sum_cols), batch_id=batch_id)
