@@ -118,4 +118,4 @@ class AppendTable:
 
     def stream(self, schema: T.StructType) -> DataFrame:
         """Change stream: rows of batches written since the consumer's checkpoint."""
-        return self.spark.readStream.schema(schema).parquet(self.root)
+        return self.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000).parquet(self.root)

@@ -22,9 +22,14 @@ from ..sources.snapshot import SnapshotTable
 from .ingest import _run, rows_in
 
 
-def change_stream(spark: SparkSession, table_path: str, schema: T.StructType) -> DataFrame:
-    """Rows appended to a Parquet table since the consumer's checkpoint."""
-    return spark.readStream.schema(schema).parquet(table_path)
+def change_stream(spark: SparkSession, table_path: str, schema: T.StructType,
+                  max_files_per_trigger: int | None = 1000) -> DataFrame:
+    """Rows appended to a Parquet table since the consumer's checkpoint (a backlog is consumed in
+    batches of at most ``max_files_per_trigger`` files)."""
+    r = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.parquet(table_path)
 
 
 def consume(stream: DataFrame, on_batch: Callable[[DataFrame, int], None], checkpoint_path: str,

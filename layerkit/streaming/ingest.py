@@ -67,12 +67,15 @@ class FileIngest:
     variant_col: str | None = None
     load_ts: object = None
     purge: bool = False
+    # bounds one micro-batch: a backlog of many files is loaded as a sequence of batches
+    max_files_per_trigger: int | None = 1000
 
     def source(self) -> DataFrame:
         # purge = true: the source removes files of committed batches itself (cleanSource);
         # files of the last batch are removed by ``purge_loaded`` right after the commit.
         return stream_stage(self.spark, self.stage_path, self.schema, self.fmt,
                             variant_col=self.variant_col, load_ts=self.load_ts,
+                            max_files_per_trigger=self.max_files_per_trigger,
                             clean_source="delete" if self.purge else None)
 
     def purge_loaded(self, since=None) -> int:
