@@ -256,3 +256,13 @@ def update_where(spark, sf):
     t.publish(table(spark, sf, "part"))
     t.update_where(F.col("p_size") == 7, {"p_type": F.lit("DISCONTINUED")})
     return t.read().drop("size_band")
+
+
+@query("stage_folders", covers="S13", sql="select distinct 'status=' || o_orderstatus as folder from orders")
+def stage_folders(spark, sf):
+    """Directory-table view of a stage: the folders that hold staged files."""
+    area = scratch_path(spark, "stage_folders")
+    land(_orders_rows(spark, sf), f"{area}/stage", FileFormat.csv(), partition_by=["status"])
+    listing = stage_listing(spark, f"{area}/stage")
+    return (listing.filter(F.col("name").endswith(".csv"))
+            .select(F.regexp_extract("name", r"/(status=[^/]+)/[^/]+$", 1).alias("folder")).distinct())

@@ -151,3 +151,22 @@ def refresh_history(spark, sf):
     rows = [(int(b), str(t), int(n), int(d)) for b, t, n, d in hist]
     return (spark.createDataFrame(rows, "batch_id bigint, refreshed_at string, input_rows bigint, duration_ms bigint")
             .orderBy(F.col("batch_id").desc()))
+
+
+@query("layout_file_totals", covers="L1 L2", sql="""
+select count(*) as total_rows, min(l_suppkey) as min_key, max(l_suppkey) as max_key from lineitem""")
+def layout_file_totals(spark, sf):
+    """The per-file key ranges of the clustered copy account for every row and the whole key range."""
+    from ..operators.layout import file_key_ranges
+    path = scratch_path(spark, "layout_totals")
+    cluster_by(table(spark, sf, "lineitem"), path, ["l_suppkey"])
+    r = file_key_ranges(spark, path, "l_suppkey")
+    return r.agg(F.sum("rows").cast("bigint").alias("total_rows"), F.min("min_key").alias("min_key"),
+                 F.max("max_key").alias("max_key"))
+
+
+@query("refresh_history_totals", covers="T11", sql="select count(*) as input_rows from events")
+def refresh_history_totals(spark, sf):
+    """Input rows over all refreshes of a dynamic table equal the rows appended to its source."""
+    h = refresh_history(spark, sf)
+    return h.agg(F.sum("input_rows").cast("bigint").alias("input_rows"))
