@@ -119,6 +119,11 @@ def create_external_view(spark: SparkSession, name: str, stage_path: str, schema
     return spark.table(name)
 
 
+def refresh_external_view(spark: SparkSession, name: str) -> None:
+    """``alter external table ... refresh``: list the stage again so new files are seen."""
+    spark.catalog.refreshTable(name)
+
+
 def land(df: DataFrame, stage_path: str, fmt: FileFormat = FileFormat.csv(), *, sub_path: str | None = None,
          partition_by: list[str] | None = None) -> None:
     """Place rows as files into a stage (the upload side; used to build fixtures from tables)."""

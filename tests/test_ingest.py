@@ -103,3 +103,14 @@ def test_incremental_aggregate_equals_full_recompute(spark, tmp_area):
                               ["day", "pid"], ["q"], summary, f"{tmp_area}/ck")
         full = facts.read().groupBy("day", "pid").agg(F.sum("q").alias("q"))
         assert sorted(summary.read().drop("m").collect()) == sorted(full.collect())
+
+
+def test_external_view_refresh_sees_new_files(spark, local_dir):
+    from layerkit.sources.stage import create_external_view, refresh_external_view
+    stage = os.path.join(local_dir, "ext")
+    csv_file(stage, "a.csv", ["A,2023-07-07,2023-07-10,Bagel,1"])
+    v = create_external_view(spark, "orders_ext_t", stage, ORDER_LINE_SCHEMA, FileFormat.csv())
+    assert v.count() == 1
+    csv_file(stage, "b.csv", ["B,2023-07-07,2023-07-10,Roll,2"])
+    refresh_external_view(spark, "orders_ext_t")
+    assert spark.table("orders_ext_t").count() == 2
