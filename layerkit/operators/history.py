@@ -15,7 +15,7 @@ from __future__ import annotations
 import datetime as _dt
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,9 +24,31 @@ from ..session import ensure_checkpoint_dir, shuffle_partitions
 OPEN_END = _dt.date(9999, 12, 31)
 
 
+# Largest number of versions of one key that a per-key window may put into one task
+MAX_WINDOW_GROUP_ROWS = 1_000_000
+
+
 def validity_intervals(df: DataFrame, keys: list[str], from_col: str, tie_cols: list[str],
-                       to_col: str = "valid_to", open_end=OPEN_END,
-                       num_partitions: int | None = None) -> DataFrame:
+                       to_col: str = "valid_to", open_end=OPEN_END, num_partitions: int | None = None,
+                       max_window_group_rows: int | None = MAX_WINDOW_GROUP_ROWS) -> DataFrame:
+    """``valid_to = nvl(lead(valid_from) over (partition by keys order by valid_from, ties), open_end)``.
+
+    The size of the largest key group is measured first (a partially aggregated count per key,
+    one scalar to the driver). When it is at most ``max_window_group_rows`` the plain per-key
+    window is used (every group provably fits a task); otherwise the range-partitioned form below
+    spreads the hot keys. ``max_window_group_rows=None`` always takes the range-partitioned form.
+    """
+    if max_window_group_rows is not None:
+        largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        if largest <= max_window_group_rows:
+            w = Window.partitionBy(*keys).orderBy(from_col, *tie_cols)
+            from_type = df.schema[from_col].dataType
+            return df.withColumn(to_col, F.coalesce(F.lead(from_col).over(w), F.lit(open_end).cast(from_type)))
+    return _intervals_range_partitioned(df, keys, from_col, tie_cols, to_col, open_end, num_partitions)
+
+
+def _intervals_range_partitioned(df: DataFrame, keys, from_col, tie_cols, to_col, open_end,
+                                 num_partitions) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     order = list(keys) + [from_col] + list(tie_cols)

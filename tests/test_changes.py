@@ -48,8 +48,12 @@ def _history(spark):
     return spark.createDataFrame(h, "product_id int, category string, valid_from date, seq int")
 
 
-def test_validity_intervals_and_ties(spark):
-    iv = validity_intervals(_history(spark), ["product_id"], "valid_from", ["seq"])
+import pytest
+
+
+@pytest.mark.parametrize("bound", [None, 1000])
+def test_validity_intervals_and_ties(spark, bound):
+    iv = validity_intervals(_history(spark), ["product_id"], "valid_from", ["seq"], max_window_group_rows=bound)
     p3 = sorted((r.valid_from, r.valid_to, r.category) for r in iv.filter("product_id = 3").collect())
     assert p3 == [(D(2023, 6, 1), D(2023, 8, 8), "Bread"), (D(2023, 8, 8), OPEN_END, "Pastry")]
     p5 = sorted((r.seq, r.valid_to) for r in iv.filter("product_id = 5").collect())
@@ -63,7 +67,7 @@ def test_validity_intervals_hot_key_matches_window(spark):
     rows = [(0, D(2020, 1, 1) + dt.timedelta(days=i % 400), i) for i in range(3000)]
     rows += [(k, D(2021, 1, 1) + dt.timedelta(days=k), 0) for k in range(1, 300)]
     df = spark.createDataFrame(rows, "k int, vf date, seq int")
-    got = validity_intervals(df, ["k"], "vf", ["seq"], num_partitions=16)
+    got = validity_intervals(df, ["k"], "vf", ["seq"], num_partitions=16, max_window_group_rows=None)
     w = Window.partitionBy("k").orderBy("vf", "seq")
     want = df.withColumn("valid_to", F.coalesce(F.lead("vf").over(w), F.lit(OPEN_END)))
     assert sorted(got.collect()) == sorted(want.collect())
@@ -88,3 +92,14 @@ def test_diff_apply_property(spark):
         n_upd = sum(1 for k in p if k in c and p[k] != c[k])
         assert ch.filter("_is_update").count() == 2 * n_upd
     check()
+
+
+def test_hot_key_takes_the_range_partitioned_form(spark):
+    import contextlib
+    import io
+    rows = [(0, D(2020, 1, 1) + dt.timedelta(days=i % 50), i) for i in range(500)] + [(1, D(2020, 1, 1), 0)]
+    df = spark.createDataFrame(rows, "k int, vf date, seq int")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        validity_intervals(df, ["k"], "vf", ["seq"], max_window_group_rows=100).explain()
+    assert "MapInPandas" in buf.getvalue() and "Window" not in buf.getvalue()
