@@ -5,7 +5,8 @@ a large share of all rows would land in one task and one row. ``bounded_chunks``
 chunk number so that each (key, chunk) holds about ``max_rows`` rows: the per-key count is
 a partially aggregated ``count`` (one row per key), joined back on the key (AQE splits a
 skewed join partition), and rows are spread over ``ceil(count / max_rows)`` chunks by a
-hash of their own columns.
+hash of their own columns. When the largest group is already within ``max_rows`` (measured
+first, one scalar), every key is a single chunk and the join is skipped.
 """
 
 from __future__ import annotations
@@ -17,6 +18,9 @@ from pyspark.sql import functions as F
 def bounded_chunks(df: DataFrame, keys: list[str], max_rows: int = 256, spread_cols: list[str] | None = None,
                    chunk_col: str = "chunk") -> DataFrame:
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    largest = counts.agg(F.max("__n")).first()[0] or 0       # one scalar
+    if largest <= max_rows:   # every group already fits: one chunk per key, no join needed
+        return df.withColumn(chunk_col, F.lit(0).cast("long"))
     spread = spread_cols or [c for c in df.columns if c not in keys]
     n_chunks = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(max_rows)).cast("long"))
     return (df.join(counts, keys, "inner")
