@@ -61,3 +61,13 @@ def test_policies(spark):
     assert view({"SYSADMIN"}).count() == 0
     assert apply_row_policy(emp, "department", RULES, {"PUBLIC"}).count() == 0
     assert apply_mask(emp, "name", {"X"}, {"Y"}).filter("name = '***'").count() == 4
+
+
+def test_row_policy_as_rules_table(spark):
+    from layerkit.operators.policy import apply_row_policy_table
+    emp = spark.createDataFrame(EMP, "id int, name string, home_address string, department string")
+    rules = spark.createDataFrame([("DATA_ENGINEER", None), ("DATA_ANALYST_BREAD", "Bread"),
+                                   ("DATA_ANALYST_PASTRY", "Pastry")], "role string, value string")
+    assert apply_row_policy_table(emp, "department", rules, {"DATA_ENGINEER"}).count() == 4
+    assert sorted(r.id for r in apply_row_policy_table(emp, "department", rules, {"DATA_ANALYST_PASTRY"}).collect()) == [1002, 1003]
+    assert apply_row_policy_table(emp, "department", rules, {"OTHER"}).count() == 0
