@@ -63,6 +63,13 @@ def holiday_flag(day) -> Column:
     return reduce(lambda a, b: a | b, conds)
 
 
+def is_holiday(day, country: str = "US") -> Column:
+    """``is_holiday(date, country)``: the rule table covers the United States only."""
+    if country.upper() not in ("US", "USA"):
+        raise ValueError(f"no holiday rules for country {country!r}; only US rules are defined")
+    return holiday_flag(day)
+
+
 def calendar(spark: SparkSession, start: _dt.date, n_days: int) -> DataFrame:
     """``n_days`` consecutive dates from ``start`` (the reference builds 731 from 2023-01-01)."""
     return spark.range(n_days).select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("day"))

@@ -52,7 +52,7 @@ RAW_SCHEMA = T.StructType([T.StructField("customer_orders", T.VariantType()),
 
 def layered_flatten(spark, sf, area, log: RunLog | None = None):
     """EXT -> STG: copy JSON documents into the raw table; a change stream on the raw table feeds the
-    flatten (gated: a run without new rows does nothing). Returns the staging snapshot table."""
+    flatten (gated: a run without new rows does nothing). Returns the staging append table."""
     lines = D.order_lines(spark, sf, with_ids=True)
     split = F.lit(D.BATCH_SPLIT).cast("date")
     copy = FileIngest(spark, f"{area}/stage", f"{area}/ext/json_orders", f"{area}/_ckpt/copy",

@@ -71,3 +71,12 @@ def test_row_policy_as_rules_table(spark):
     assert apply_row_policy_table(emp, "department", rules, {"DATA_ENGINEER"}).count() == 4
     assert sorted(r.id for r in apply_row_policy_table(emp, "department", rules, {"DATA_ANALYST_PASTRY"}).collect()) == [1002, 1003]
     assert apply_row_policy_table(emp, "department", rules, {"OTHER"}).count() == 0
+
+
+def test_is_holiday_country(spark):
+    import pytest
+    from layerkit.functions.calendar import is_holiday
+    df = spark.createDataFrame([(D(2023, 7, 4),), (D(2023, 7, 5),)], "d date")
+    assert [r.h for r in df.select(is_holiday("d", "US").alias("h")).collect()] == [True, False]
+    with pytest.raises(ValueError):
+        is_holiday("d", "FR")
