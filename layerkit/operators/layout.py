@@ -37,16 +37,28 @@ def file_key_ranges(spark: SparkSession, path: str, key: str) -> DataFrame:
 
 
 def layout_report(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """``clustering_information``: number of files, average overlaps, average depth.
+    """``clustering_information``: files, constant files, average overlaps, average and max depth.
 
-    Overlap depth at a point = number of file ranges covering it; computed by sorting the
-    range endpoints (+1 at a start, -1 after an end) and a running sum. The endpoint table
-    has two rows per file, so the global window runs over the file list, not the data.
+    The range endpoints of the files are swept in key order (a start counts before an end at the
+    same key, ranges are closed): a running count of starts and ends gives, per file, the files
+    whose range meets it (overlaps = starts up to its end - ends before its start - 1) and the
+    depth where it starts. The endpoint table has two rows per *file*, so the ordered window runs
+    over the file list (metadata-sized), never over the data rows.
     """
     ranges = file_key_ranges(spark, path, key)
-    ev = ranges.select(F.col("min_key").alias("pos"), F.lit(1).alias("d"), F.lit(0).alias("o")) \
-        .unionByName(ranges.select(F.col("max_key").alias("pos"), F.lit(-1).alias("d"), F.lit(1).alias("o")))
-    w = Window.orderBy("pos", "o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    depth = ev.withColumn("depth", F.sum("d").over(w)).filter(F.col("d") == 1)
-    return depth.agg(F.count(F.lit(1)).alias("total_files"),
-                     F.avg("depth").alias("average_depth"), F.max("depth").alias("max_depth"))
+    ev = (ranges.select("file_name", F.col("min_key").alias("pos"), F.lit(0).alias("o"))
+          .unionByName(ranges.select("file_name", F.col("max_key").alias("pos"), F.lit(1).alias("o"))))
+    w = Window.orderBy("pos", "o", "file_name").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = (ev.withColumn("starts", F.sum(1 - F.col("o")).over(w))
+             .withColumn("ends", F.sum(F.col("o")).over(w)))
+    per_file = swept.groupBy("file_name").agg(
+        F.max(F.when(F.col("o") == 1, F.col("starts"))).alias("starts_to_end"),
+        F.max(F.when(F.col("o") == 0, F.col("ends"))).alias("ends_before_start"),
+        F.max(F.when(F.col("o") == 0, F.col("starts") - F.col("ends"))).alias("depth"),
+        F.max(F.when(F.col("o") == 0, F.col("pos"))).alias("lo"),
+        F.max(F.when(F.col("o") == 1, F.col("pos"))).alias("hi"))
+    per_file = per_file.withColumn("overlaps", F.col("starts_to_end") - F.col("ends_before_start") - 1)
+    return per_file.agg(F.count(F.lit(1)).alias("total_files"),
+                        F.count(F.when(F.col("lo") == F.col("hi"), 1)).alias("constant_files"),
+                        F.avg("overlaps").alias("average_overlaps"),
+                        F.avg("depth").alias("average_depth"), F.max("depth").alias("max_depth"))

@@ -59,3 +59,12 @@ def test_shuffle_partitions_sized_from_input(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
+def test_layout_report_overlaps_and_depth(spark, tmp_area):
+    # three files with key ranges [0,10], [5,15], [20,20]
+    for i, (lo, hi) in enumerate([(0, 10), (5, 15), (20, 20)]):
+        spark.createDataFrame([(lo,), (hi,)], "k int").coalesce(1).write.mode("append").parquet(f"{tmp_area}/files")
+    r = layout_report(spark, f"{tmp_area}/files", "k").first()
+    assert (r.total_files, r.constant_files, r.max_depth) == (3, 1, 2)
+    assert abs(r.average_overlaps - 2 / 3) < 1e-9      # files 1 and 2 overlap each other
