@@ -10,16 +10,27 @@ import os
 import sys
 
 
+def _lines(path):
+    if path.endswith(".zstd"):
+        import io
+
+        import zstandard
+        with open(path, "rb") as fh:
+            yield from io.TextIOWrapper(zstandard.ZstdDecompressor().stream_reader(fh), encoding="utf-8")
+    else:
+        with open(path, encoding="utf-8") as fh:
+            yield from fh
+
+
 def events(root):
     for dirpath, _, files in os.walk(root):
         for f in sorted(files):
-            if f.startswith("events_") or f.startswith("eventlog") or f.endswith(".inprogress") or "." not in f:
-                with open(os.path.join(dirpath, f)) as fh:
-                    for line in fh:
-                        try:
-                            yield json.loads(line)
-                        except ValueError:
-                            continue
+            if f.startswith("events_") or f.startswith("local-") or f.startswith("app-"):
+                for line in _lines(os.path.join(dirpath, f)):
+                    try:
+                        yield json.loads(line)
+                    except ValueError:
+                        continue
 
 
 def main():
