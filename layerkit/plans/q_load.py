@@ -161,8 +161,6 @@ def order_line_flow(spark, sf, area):
     summary = SnapshotTable(spark, f"{area}/summary_orders")
 
     def merge_batch(batch, batch_id):
-        if batch.isEmpty():
-            return
         batch = batch.select(*LINE_SCHEMA.names, "source_file_name", "load_ts")
         target.merge(batch, ORDER_LINE_KEYS, ["quantity", "source_file_name", "load_ts"],
                      update_exprs={"load_ts": F.current_timestamp()},

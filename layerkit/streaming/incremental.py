@@ -53,8 +53,8 @@ def incremental_map(stream: DataFrame, transform: Callable[[DataFrame], DataFram
     appended = []
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        if df.isEmpty():      # new-data gate
-            return
+        # new-data gate: the file stream runs no batch at all when no new file arrived, and each
+        # batch is read once (a second action would read the source again and count it twice)
         obs = Observation(f"appended_{batch_id}")
         target.append(transform(df).observe(obs, F.count(F.lit(1)).alias("n")), batch_id=batch_id)
         appended.append(int(obs.get["n"]))
@@ -81,8 +81,6 @@ def incremental_aggregate(stream: DataFrame, delta_of: Callable[[DataFrame], Dat
     no re-aggregation of facts.
     """
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        if df.isEmpty():
-            return
         delta = delta_of(df)
         if hasattr(target, "merge"):
             target.merge(delta, keys, sum_cols, combine={c: (lambda t, s: t + s) for c in sum_cols},
