@@ -114,3 +114,22 @@ def test_external_view_refresh_sees_new_files(spark, local_dir):
     csv_file(stage, "b.csv", ["B,2023-07-07,2023-07-10,Roll,2"])
     refresh_external_view(spark, "orders_ext_t")
     assert spark.table("orders_ext_t").count() == 2
+
+
+def test_replayed_batch_after_failure_is_not_duplicated(spark, local_dir, tmp_area):
+    stage = os.path.join(local_dir, "replay")
+    csv_file(stage, "a.csv", ["A,2023-07-07,2023-07-10,Bagel,1", "B,2023-07-07,2023-07-10,Roll,2"])
+    ing = FileIngest(spark, stage, f"{tmp_area}/unused", f"{tmp_area}/ck", FileFormat.csv(), ORDER_LINE_SCHEMA)
+    out = AppendTable(spark, f"{tmp_area}/out")
+    seen = []
+
+    def crash_after_write(df, batch_id):
+        out.append(df.select(*ORDER_LINE_SCHEMA.names), batch_id=batch_id)
+        seen.append(batch_id)
+        raise RuntimeError("lost after the write, before the batch committed")
+
+    with pytest.raises(Exception):
+        ing.run_each(crash_after_write)
+    ing.run_each(lambda df, b: (seen.append(b), out.append(df.select(*ORDER_LINE_SCHEMA.names), batch_id=b)))
+    assert seen[0] == seen[1]                    # the same batch was replayed
+    assert sorted(r.customer for r in out.read().collect()) == ["A", "B"]   # and written once
