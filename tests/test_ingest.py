@@ -133,3 +133,12 @@ def test_replayed_batch_after_failure_is_not_duplicated(spark, local_dir, tmp_ar
     ing.run_each(lambda df, b: (seen.append(b), out.append(df.select(*ORDER_LINE_SCHEMA.names), batch_id=b)))
     assert seen[0] == seen[1]                    # the same batch was replayed
     assert sorted(r.customer for r in out.read().collect()) == ["A", "B"]   # and written once
+
+
+def test_stage_root_without_scheme():
+    from layerkit.sources.stage import _strip_scheme
+    assert _strip_scheme("file:/tmp/a") == "/tmp/a"
+    assert _strip_scheme("file:///tmp/a") == "/tmp/a"
+    assert _strip_scheme("hdfs://nn:8020/data/stage") == "/data/stage"
+    assert _strip_scheme("s3a://bucket/landing/orders") == "/landing/orders"
+    assert _strip_scheme("/plain/path") == "/plain/path"
