@@ -26,7 +26,9 @@ class PartitionedTable:
         self.partition_of = partition_of      # expression over key columns giving the partition value
 
     def exists(self) -> bool:
-        return path_exists(self.spark, self.path)
+        # a committed write leaves _SUCCESS; a first write that failed half-way leaves at most a
+        # temporary folder, which must count as "no table yet" so the retry starts clean
+        return path_exists(self.spark, f"{self.path}/_SUCCESS")
 
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.path)
@@ -61,7 +63,7 @@ class PartitionedTable:
             obs, F.count(F.when(F.col(ACTION) == "update", 1)).alias("updated"),
             F.count(F.when(F.col(ACTION) == "insert", 1)).alias("inserted"))
         if first:
-            ranged.drop(ACTION).write.partitionBy(self.partition_col).parquet(self.path)
+            ranged.drop(ACTION).write.mode("overwrite").partitionBy(self.partition_col).parquet(self.path)
         else:
             out = ranged.drop(ACTION)
             out.write.partitionBy(self.partition_col).parquet(stage)
