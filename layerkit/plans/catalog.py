@@ -2,16 +2,9 @@
 
 from __future__ import annotations
 
-from . import q_relational  # noqa: F401
+from . import q_changes, q_load, q_misc, q_relational, q_semistructured, q_sql, q_streaming  # noqa: F401
 from .registry import COVERS, ORACLE, QUERIES
 
-for _m in ("q_load", "q_semistructured", "q_changes", "q_streaming", "q_misc", "q_sql"):
-    try:
-        __import__(f"{__package__}.{_m}")
-    except ModuleNotFoundError as e:   # module not written yet
-        if _m not in str(e):
-            raise
-
 
 def queries():
     return dict(QUERIES)
