@@ -97,6 +97,14 @@ class SnapshotTable:
             return self._write(df, "full", batch_id, None)
         return self._write(df, "append", batch_id, None)
 
+    def compact(self, num_files: int | None = None) -> int:
+        """Fold the append deltas since the last full version into a new full version (fewer,
+        larger files for readers). Readers of older versions are not affected."""
+        df = self.read()
+        if num_files:
+            df = df.repartition(num_files)
+        return self._write(df, "full", None, None)
+
 
 class AppendTable:
     """Append-only table fed by micro-batches: each batch is written to its own folder

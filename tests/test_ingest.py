@@ -142,3 +142,13 @@ def test_stage_root_without_scheme():
     assert _strip_scheme("hdfs://nn:8020/data/stage") == "/data/stage"
     assert _strip_scheme("s3a://bucket/landing/orders") == "/landing/orders"
     assert _strip_scheme("/plain/path") == "/plain/path"
+
+
+def test_snapshot_compaction(spark, tmp_area):
+    t = SnapshotTable(spark, f"{tmp_area}/c")
+    t.publish(spark.createDataFrame([(1,)], "a int"))
+    for i in range(2, 5):
+        t.append(spark.createDataFrame([(i,)], "a int"))
+    v = t.compact(num_files=1)
+    assert v == 5 and sorted(r.a for r in t.read().collect()) == [1, 2, 3, 4]
+    assert t.read().inputFiles() and len(t.read().inputFiles()) == 1
