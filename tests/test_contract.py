@@ -8,7 +8,7 @@ from layerkit.plans import catalog
 
 def test_oracles_belong_to_queries():
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert len(E.oracle_sql()) >= len(E.queries()) - 3     # only listing/layout/refresh history are rows-only
+    assert len(catalog.oracle_sql()) >= len(catalog.queries()) - 3     # only listing/layout/refresh history are rows-only
 
 
 def test_every_query_names_the_operators_it_covers():
@@ -19,5 +19,5 @@ def test_every_query_names_the_operators_it_covers():
 
 
 def test_query_names():
-    for name in E.queries():
+    for name in catalog.queries():
         assert re.match(r"^[a-z][a-z0-9_]*$", name) and not re.match(r"^op\d", name) and "pipeline" not in name

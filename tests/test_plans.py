@@ -7,6 +7,7 @@ import io
 import pytest
 
 import __spark_entry__ as E
+from layerkit.plans import catalog
 
 from .conftest import SF001
 
@@ -20,7 +21,7 @@ def plan_text(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_no_cartesian_no_row_udf(spark, name):
     text = plan_text(E.queries()[name](spark, SF001))
     for bad in FORBIDDEN:

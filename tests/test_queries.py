@@ -8,11 +8,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from layerkit.plans import catalog
 from layerkit.sources.tables import TABLES
 
 from .conftest import SF001
 
-NAMES = sorted(E.queries())
+NAMES = sorted(catalog.queries())
 
 
 def _norm(v):
