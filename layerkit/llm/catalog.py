@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..sources.tables import table
-from . import exactdedup, licenses, mixing, pii
+from . import exactdedup, licenses, mixing, neardup, pii
 
 
 def op4_information_pii(spark, sf_dir):
@@ -14,6 +14,10 @@ def op5_curriculum_mix(spark, sf_dir):
     return mixing.taken(mixing.plan_mix(table(spark, sf_dir, "documents")))
 
 
+def op8_bayesian_near_dedup(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_license_dice(spark, sf_dir):
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -22,6 +26,6 @@ def op10_heavy_hitter_dedup(spark, sf_dir):
     return exactdedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_information_pii, op5_curriculum_mix, op9_license_dice, op10_heavy_hitter_dedup)}
-ORACLE = {"op5_curriculum_mix": mixing.ORACLE, "op9_license_dice": licenses.ORACLE,
+QUERIES = {f.__name__: f for f in (op4_information_pii, op5_curriculum_mix, op8_bayesian_near_dedup, op9_license_dice, op10_heavy_hitter_dedup)}
+ORACLE = {"op5_curriculum_mix": mixing.ORACLE, "op8_bayesian_near_dedup": neardup.ORACLE, "op9_license_dice": licenses.ORACLE,
           "op10_heavy_hitter_dedup": exactdedup.ORACLE}
