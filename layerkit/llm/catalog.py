@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 from ..sources.tables import table
-from . import exactdedup, licenses, mixing, neardup, pii
+from . import exactdedup, licenses, mixing, neardup, pii, substring
+
+
+def op1_debruijn_substring_dedup(spark, sf_dir):
+    return substring.digest(substring.remove_repeats(table(spark, sf_dir, "documents")))
 
 
 def op4_information_pii(spark, sf_dir):
@@ -26,6 +30,6 @@ def op10_heavy_hitter_dedup(spark, sf_dir):
     return exactdedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_information_pii, op5_curriculum_mix, op8_bayesian_near_dedup, op9_license_dice, op10_heavy_hitter_dedup)}
-ORACLE = {"op5_curriculum_mix": mixing.ORACLE, "op8_bayesian_near_dedup": neardup.ORACLE, "op9_license_dice": licenses.ORACLE,
+QUERIES = {f.__name__: f for f in (op1_debruijn_substring_dedup, op4_information_pii, op5_curriculum_mix, op8_bayesian_near_dedup, op9_license_dice, op10_heavy_hitter_dedup)}
+ORACLE = {"op1_debruijn_substring_dedup": substring.ORACLE, "op5_curriculum_mix": mixing.ORACLE, "op8_bayesian_near_dedup": neardup.ORACLE, "op9_license_dice": licenses.ORACLE,
           "op10_heavy_hitter_dedup": exactdedup.ORACLE}
