@@ -95,11 +95,16 @@ def _single_edges(k: int):
                     word, edges = (runs.field(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("word", "edges"))
                     minimiser = np.repeat(runs.field("minimiser").to_numpy(zero_copy_only=False), edges)
                     at = ragged(word, edges)
-                    n = len(at)
+                    # a row per distinct edge of the document, with the words where it starts
+                    edge, group = np.unique(grams[at + w.bounds[i]], return_inverse=True)
+                    order = np.argsort(group, kind="stable")
+                    offsets = np.concatenate(([0], np.cumsum(np.bincount(group, minlength=len(edge))))).astype(np.int32)
+                    n = len(edge)
                     yield pa.record_batch([pa.array([ids[w.first + i].as_py()] * n, pa.int64()),
-                                           pa.array([keys[w.first + i].as_py()] * n, pa.int64()), pa.array(at, pa.int32()),
-                                           pa.array(minimiser, pa.int64()), pa.array(grams[at + w.bounds[i]].view(np.int64))],
-                                          names=["doc_id", "text_key", "word", "minimiser", "edge"])
+                                           pa.array([keys[w.first + i].as_py()] * n, pa.int64()),
+                                           pa.ListArray.from_arrays(offsets, pa.array(at[order], pa.int32())),
+                                           pa.array(minimiser[order][offsets[:-1]], pa.int64()), pa.array(edge.view(np.int64))],
+                                          names=["doc_id", "text_key", "words_at", "minimiser", "edge"])
     return run
 
 
@@ -171,7 +176,8 @@ def compact(occurrences: DataFrame, k: int = K) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, k: int = K, minimiser: int = MINIMISER) -> DataFrame:
-    """Spans to remove: doc_id, text_key, word, words, source_doc, source_word (where they stand first)."""
+    """Spans to remove: doc_id, text_key, word, words, source_doc (where they stand first) and, for paths,
+    source_word."""
     every = written(runs(docs, k, minimiser), "op1-runs")
     shared = (every.groupBy("minimiser").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
               .select("minimiser"))
@@ -188,13 +194,13 @@ def repeated_spans(docs: DataFrame, k: int = K, minimiser: int = MINIMISER) -> D
     first = (found.where((F.col("classes") > 1) & (F.col("doc_id") == F.col("source.doc_id")))
              .groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("word", "edges", "minimiser")).alias("runs")))
     edges = bound_arrow(_keyed(docs).join(first, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"])).mapInArrow(
-        _single_edges(k), "doc_id long, text_key long, word int, minimiser long, edge long")
+        _single_edges(k), "doc_id long, text_key long, words_at array<int>, minimiser long, edge long")
     edges = written(edges, "op1-edges")
-    earliest = (edges.groupBy("minimiser", "edge").agg(F.min(F.struct("doc_id", "word")).alias("source"), F.max("doc_id").alias("last_doc"))
-                .where("last_doc > source.doc_id"))
-    single = (edges.join(earliest, ["minimiser", "edge"]).where(F.col("doc_id") > F.col("source.doc_id"))
-              .select("doc_id", "text_key", "word", F.lit(k).cast("int").alias("words"),
-                      F.col("source.doc_id").alias("source_doc"), F.col("source.word").alias("source_word")))
+    earliest = (edges.groupBy("minimiser", "edge").agg(F.min("doc_id").alias("source_doc"), F.max("doc_id").alias("last_doc"))
+                .where("last_doc > source_doc"))
+    single = (edges.join(earliest, ["minimiser", "edge"]).where(F.col("doc_id") > F.col("source_doc"))
+              .select("doc_id", "text_key", F.explode("words_at").alias("word"), F.lit(k).cast("int").alias("words"),
+                      "source_doc", F.lit(None).cast("int").alias("source_word")))
     return whole.unionByName(single)
 
 
