@@ -39,7 +39,8 @@ def heavy_digests(hashed: DataFrame, heavy: int = HEAVY, counters: int = COUNTER
     marked = hashed.withColumn("lead", lead)
     partial = (marked.groupBy(F.pmod(F.spark_partition_id(), F.lit(FIRST_LEVEL)).alias("part"))
                .agg(F.expr(f"approx_top_k_accumulate(lead, {counters})").alias("summary")))
-    top = (partial.agg(F.expr(f"approx_top_k_combine(summary, {counters})").alias("summary"))
+    # grouped, not global: an empty task then adds no summary of nothing
+    top = (partial.groupBy((F.col("part") * 0).alias("all")).agg(F.expr(f"approx_top_k_combine(summary, {counters})").alias("summary"))
            .select(F.expr(f"approx_top_k_estimate(summary, {heavy})").alias("top")))
     proposed = top.select(F.explode("top").alias("t")).select(F.col("t.item").alias("lead")).where("lead is not null")
     return (marked.join(F.broadcast(proposed), "lead")
