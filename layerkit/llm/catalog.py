@@ -3,13 +3,21 @@
 from __future__ import annotations
 
 from ..sources.tables import table
-from . import exactdedup, licenses, mixing, neardup, pii, substring
+from . import bpe, exactdedup, licenses, mixing, neardup, pii, quality, substring, toxicity, wavelet
 
 
 def op1_debruijn_substring_dedup(spark, sf_dir):
     return substring.digest(substring.remove_repeats(table(spark, sf_dir, "documents")))
 
 
+def op2_compression_quality(spark, sf_dir):
+    return quality.measure_quality(table(spark, sf_dir, "documents"))
+
+
+def op3_backtracking_bpe(spark, sf_dir):
+    return bpe.round_trip_digest(table(spark, sf_dir, "documents"))
+
+
 def op4_information_pii(spark, sf_dir):
     return pii.report(pii.find_personal_data(table(spark, sf_dir, "documents")))
 
@@ -18,6 +26,14 @@ def op5_curriculum_mix(spark, sf_dir):
     return mixing.taken(mixing.plan_mix(table(spark, sf_dir, "documents")))
 
 
+def op6_wavelet_tokens(spark, sf_dir):
+    return wavelet.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op7_mil_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_bayesian_near_dedup(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -30,6 +46,8 @@ def op10_heavy_hitter_dedup(spark, sf_dir):
     return exactdedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_debruijn_substring_dedup, op4_information_pii, op5_curriculum_mix, op8_bayesian_near_dedup, op9_license_dice, op10_heavy_hitter_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_debruijn_substring_dedup, op2_compression_quality, op3_backtracking_bpe, op4_information_pii, op5_curriculum_mix,
+    op6_wavelet_tokens, op7_mil_toxicity, op8_bayesian_near_dedup, op9_license_dice, op10_heavy_hitter_dedup)}
 ORACLE = {"op1_debruijn_substring_dedup": substring.ORACLE, "op5_curriculum_mix": mixing.ORACLE, "op8_bayesian_near_dedup": neardup.ORACLE, "op9_license_dice": licenses.ORACLE,
           "op10_heavy_hitter_dedup": exactdedup.ORACLE}
