@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from .scratch import bound_arrow, texts
-from .wordids import WordIds, process_cache, text_ids
+from .wordids import ID_PIECE, WordIds, process_cache, text_ids
 from .words import pieces, ragged
 
 VOCABULARY = "word_bpe_49k.json"
@@ -169,9 +169,8 @@ class BacktrackingBpe:
                 at -= length[token]
         return out
 
-    def encode_word(self, word: bytes) -> np.ndarray:
+    def encode_word(self, text: str) -> np.ndarray:
         """Ids of a text without blanks."""
-        text = word.decode("utf-8")
         out: list[int] = []
         at = 0
         for m in self.special.finditer(text) if "<|" in text else ():
@@ -233,8 +232,8 @@ def _encode(path):
     def run(batches):
         bpe, cache = tokenizer(path)
         for batch in batches:
-            for first, data, offsets in pieces(batch.column("text")):
-                ids, bounds = text_ids(cache, data.tobytes(), offsets)
+            for first, data, offsets in pieces(batch.column("text"), ID_PIECE):
+                ids, bounds = text_ids(cache, data, offsets)
                 n = len(bounds) - 1
                 yield pa.record_batch(
                     [batch.column("doc_id").slice(first, n), pa.array(np.diff(bounds)),
@@ -248,8 +247,8 @@ def _digest(path):
         bpe, cache = tokenizer(path)
         sha = lambda raw: hashlib.sha256(raw).hexdigest()
         for batch in batches:
-            for first, data, offsets in pieces(batch.column("text")):
-                ids, bounds = text_ids(cache, data.tobytes(), offsets)
+            for first, data, offsets in pieces(batch.column("text"), ID_PIECE):
+                ids, bounds = text_ids(cache, data, offsets)
                 spans = list(zip(bounds[:-1], bounds[1:]))
                 yield pa.record_batch(
                     [batch.column("doc_id").slice(first, len(spans)), pa.array(np.diff(bounds)),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 #: Rows and bytes of one Arrow batch: bounds the memory of a Python worker on long texts.
-ARROW_ROWS, ARROW_BYTES = 1000, 16 << 20
+ARROW_ROWS, ARROW_BYTES = 2000, 16 << 20
 
 DOCUMENT_COLUMNS = ("doc_id", "text")
 

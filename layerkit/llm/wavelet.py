@@ -20,6 +20,7 @@ so one very long document makes a longer shard.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .bpe import default_vocabulary
 from .scratch import bound_arrow, texts, written
-from .wordids import WordIds, process_cache, text_ids
+from .wordids import ID_PIECE, WordIds, process_cache, text_ids
 from .words import pieces
 
 MAGIC, CLOSING = b"WMTOKEN1", "WMTOKEN1END"
@@ -170,28 +171,30 @@ def read_shard(raw: bytes) -> tuple[tuple[int, int], list, np.ndarray, WaveletMa
 
 
 def library_words(path: str) -> WordIds:
-    """Word ids by the tokenizers library: new words are encoded together, parted by a special token that
-    none of them holds."""
+    """Word ids by the tokenizers library: new words are encoded together, parted by a mark that none of
+    them holds."""
     held = process_cache()
     if ("library", path) not in held:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")     # Spark runs a task per core
         from tokenizers import Tokenizer
         t = Tokenizer.from_file(path)
         t.no_truncation()
         t.no_padding()
-        parting = "<|startoftext|>"
-        parting_id = t.token_to_id(parting)
+        t.encode_special_tokens = False
+        parting = "\x7f"                # one token; words that hold it are encoded alone
+        parting_id, = t.encode(parting, add_special_tokens=False).ids
 
-        def encode_words(words: list[bytes]):
+        def encode_words(words: list[str]):
             out: list = [None] * len(words)
-            plain = [i for i, w in enumerate(words) if b"<|" not in w]
+            plain = [i for i, w in enumerate(words) if parting not in w]
             for i, w in enumerate(words):
-                if b"<|" in w:
-                    out[i] = np.array(t.encode(w.decode("utf-8"), add_special_tokens=False).ids, dtype=np.uint32)
-            for k in range(0, len(plain), 20_000):
-                some = plain[k:k + 20_000]
-                ids = np.array(t.encode(parting.join(words[i].decode("utf-8") for i in some), add_special_tokens=False).ids, dtype=np.uint32)
-                cuts = np.flatnonzero(ids == parting_id)
-                for i, a, b in zip(some, np.append(0, cuts + 1), np.append(cuts, len(ids))):
+                if parting in w:
+                    out[i] = np.array(t.encode(w, add_special_tokens=False).ids, dtype=np.uint32)
+            groups = [plain[k:k + 500] for k in range(0, len(plain), 500)]
+            for some, e in zip(groups, t.encode_batch_fast([f" {parting} ".join([words[i] for i in g]) for g in groups], add_special_tokens=False)):
+                ids = np.array(e.ids, dtype=np.uint32)
+                cuts = np.flatnonzero(ids == parting_id).tolist()
+                for i, a, b in zip(some, [0, *[c + 1 for c in cuts]], [*cuts, len(ids)]):
                     out[i] = ids[a:b]
             return out
 
@@ -212,8 +215,8 @@ def _shards(path: str, shard_tokens: int, end_id: int):
             return pa.record_batch([pa.array([raw], pa.binary())], names=["shard"])
 
         for batch in batches:
-            for first, data, offsets in pieces(batch.column("text")):
-                ids, bounds = text_ids(cache, data.tobytes(), offsets)
+            for first, data, offsets in pieces(batch.column("text"), ID_PIECE):
+                ids, bounds = text_ids(cache, data, offsets)
                 n = len(bounds) - 1
                 out = np.full(len(ids) + n, end_id, dtype=np.uint32)
                 keep = np.ones(len(out), dtype=bool)
