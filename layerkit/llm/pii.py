@@ -110,15 +110,20 @@ def _words_near(text: Column, start: Column, end: Column, context: int) -> Colum
     return F.concat(left, right)
 
 
-def contexts(base: DataFrame, context: int = CONTEXT) -> DataFrame:
-    """One row per word near an entity: row, doc_id, entity, word, start, end."""
+def with_contexts(base: DataFrame, context: int = CONTEXT) -> DataFrame:
+    """doc_id, row (fingerprint of the text), the base arrays and ``near``: an entity and the words near it."""
     spans = F.concat(*[F.transform(k, lambda s, k=k: F.struct(F.lit(k).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
                        for k in KINDS[:4]])
-    one = (base.where(F.size(spans) > 0)
-           .select("doc_id", "text", F.xxhash64("text").alias("row"), F.explode(spans).alias("s")))
-    entity = F.concat_ws(":", F.col("s.kind"), F.lower(F.substring(F.col("text"), F.col("s.start") + 1, F.col("s.end") - F.col("s.start"))))
-    return (one.select("row", "doc_id", entity.alias("entity"),
-                       F.explode(_words_near(F.col("text"), F.col("s.start"), F.col("s.end"), context)).alias("w"))
+    text = F.col("text")
+    near = F.transform(spans, lambda s: F.struct(
+        F.concat_ws(":", s["kind"], F.lower(F.substring(text, s["start"] + 1, s["end"] - s["start"]))).alias("entity"),
+        _words_near(text, s["start"], s["end"], context).alias("words")))
+    return base.select("doc_id", F.xxhash64("text").alias("row"), *KINDS[:4], near.alias("near"))
+
+
+def contexts(found: DataFrame) -> DataFrame:
+    """One row per word near an entity: row, doc_id, entity, word, start, end."""
+    return (found.select("row", "doc_id", F.explode("near").alias("n")).select("row", "doc_id", "n.entity", F.explode("n.words").alias("w"))
             .select("row", "doc_id", "entity", "w.word", "w.start", "w.end"))
 
 
@@ -130,31 +135,30 @@ def disclosing_terms(docs: DataFrame, near: DataFrame, min_support: int = MIN_SU
     words = F.array_distinct(F.split(F.lower("text"), r"\P{L}+"))
     frequency = (texts(docs).select("doc_id", F.explode(words).alias("word")).where(F.length("word") >= 3)
                  .groupBy("word").agg(F.count(F.lit(1)).alias("df_word")))
-    total = texts(docs).agg(F.count(F.lit(1)).alias("n"))
-    log_n = F.log(F.col("n").cast("double"))
+    log_n = F.log(F.lit(float(max(1, docs.count()))))
     information = log_n - F.log(F.col("df_entity").cast("double"))
     pmi = information + F.log(F.col("co").cast("double")) - F.log(F.col("df_word").cast("double"))
-    pairs = (together.join(entities, "entity").join(frequency, "word").join(F.broadcast(total))   # one row
+    pairs = (together.join(entities, "entity").join(frequency, "word")
              .withColumn("disclosure", F.when(information > 0, pmi / information).otherwise(F.lit(0.0))))
     return pairs.where(F.col("disclosure") >= threshold).select("entity", "word", "disclosure")
 
 
 def find_personal_data(docs: DataFrame, context: int = CONTEXT, min_support: int = MIN_SUPPORT,
                        threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, text, the four base arrays and ``term``: array of (start, end, disclosure)."""
-    base = find_base(docs)
-    near = written(contexts(base, context), "op4-near")
+    """doc_id, row (fingerprint of the text), the four base arrays and ``term``: array of (start, end,
+    disclosure). Texts are searched once; what is found is small."""
+    base = written(with_contexts(find_base(docs), context), "op4-base")
+    near = contexts(base)
     terms = written(disclosing_terms(docs, near, min_support, threshold), "op4-terms")
     hits = (near.join(terms, ["entity", "word"])
             .groupBy("doc_id", "row", "start", "end").agg(F.max("disclosure").alias("disclosure"))
             .groupBy("doc_id", "row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "disclosure"))).alias("near_terms")))
     hits = hits.select(F.col("doc_id").alias("h_doc"), F.col("row").alias("h_row"), "near_terms")
-    b = base.withColumn("row", F.xxhash64("text"))
-    b = b.join(hits, F.col("doc_id").eqNullSafe(F.col("h_doc")) & (F.col("row") == F.col("h_row")), "left")
+    b = base.join(hits, F.col("doc_id").eqNullSafe(F.col("h_doc")) & (F.col("row") == F.col("h_row")), "left")
     taken = F.concat(*[F.col(k) for k in KINDS[:4]])
     free = F.filter(F.coalesce("near_terms", F.array().cast("array<struct<start:int,end:int,disclosure:double>>")),
                     lambda t: ~F.exists(taken, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
-    return b.select("doc_id", "text", *KINDS[:4], free.alias("term"))
+    return b.select("doc_id", "row", *KINDS[:4], free.alias("term"))
 
 
 def _joined(kinds) -> Column:
@@ -167,8 +171,8 @@ def report(found: DataFrame) -> DataFrame:
                         _joined(KINDS).alias("spans"), F.size("term").cast("long").alias("n_term"))
 
 
-def sanitise(found: DataFrame, remove: float = REMOVE) -> DataFrame:
-    """doc_id and the text with base spans generalised to ``[KIND]`` and terms removed or generalised to
+def sanitise(docs: DataFrame, found: DataFrame, remove: float = REMOVE) -> DataFrame:
+    """doc_id and, for each row of ``docs``, the text with base spans generalised to ``[KIND]`` and terms removed or generalised to
     ``[TERM]`` by their disclosure. Where spans of two kinds overlap, the first that starts wins."""
     marks = F.concat(*[F.transform(k, lambda s, k=k: F.struct(s["start"].alias("start"), s["end"].alias("end"),
                                                                F.lit(f"[{k.upper()}]").alias("by"))) for k in KINDS[:4]],
@@ -184,4 +188,7 @@ def sanitise(found: DataFrame, remove: float = REMOVE) -> DataFrame:
     first = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
     text = F.aggregate(F.array_sort(marks), first, step, lambda acc: F.concat(
         F.array_join(acc["parts"], ""), F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
-    return found.select("doc_id", text.alias("text"))
+    marked = found.select(F.col("doc_id").alias("f_doc"), F.col("row").alias("f_row"), *KINDS).dropDuplicates(["f_doc", "f_row"])
+    t = texts(docs)
+    both = t.join(marked, F.col("doc_id").eqNullSafe(F.col("f_doc")) & (F.xxhash64("text") == F.col("f_row")))
+    return both.select("doc_id", text.alias("text"))
