@@ -6,7 +6,9 @@ normalised (A-Z lower-cased, every run of other characters than ``[a-z0-9]`` is
 bigrams are the distinct pairs of neighbouring words. ``dice = 2 |A & B| / (|A| + |B|)`` can only reach
 the threshold t when ``t / (2 - t) <= |A| / |B| <= (2 - t) / t``. Units whose number of word pairs lies
 outside these bounds for every template are dropped before bigrams are built, and each unit is compared
-only with the templates whose size fits. The templates are a fixed list (a parameter), used as a
+only with the templates whose size fits. A match shares at least ``t |B| / (2 - t)`` bigrams with the template,
+so it holds one of any ``|B| - that + 1`` of them: a unit without the longest word of each of those is dropped
+by a plain search for these few words. The templates are a fixed list (a parameter), used as a
 literal, so nothing is shuffled and every row is judged where it is read.
 
 Defined results: a null or empty text has no units and no licence; ties between templates go to the
@@ -16,6 +18,8 @@ first name; a licence named on several lines is listed once; repeated rows give
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,6 +66,17 @@ def size_bounds(templates=TEMPLATES, threshold: float = THRESHOLD) -> tuple[int,
     return math.ceil(min(sizes) / ratio), math.floor(max(sizes) * ratio)
 
 
+def marker_words(templates=TEMPLATES, threshold: float = THRESHOLD) -> list[str]:
+    """Words of which every matching unit holds at least one."""
+    markers = set()
+    for _, text in templates:
+        bigrams = template_bigrams(text)
+        needed = math.ceil(threshold * len(bigrams) / (2 - threshold) - 1e-9)
+        longest = sorted((max(b.split(" "), key=lambda w: (len(w), w)) for b in bigrams), key=lambda w: (-len(w), w))
+        markers.update(longest[:len(bigrams) - needed + 1])
+    return sorted(markers)
+
+
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, n_units (units within the size bounds), n_matches, licenses (names
     in order, joined by commas) and best_dice (0 without a match, 6 digits)."""
@@ -91,9 +106,12 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRES
     lines = docs.select("doc_id", normalise(F.coalesce(F.col("text"), F.lit(""))).alias("plain"))
     lines = lines.withColumn("lines", F.split("plain", "\n")).withColumn("whole", F.translate("plain", "\n", " "))
     units = F.when(F.size("lines") > 1, F.concat("lines", F.array("whole"))).otherwise(F.col("lines"))
-    fitting = lines.select("doc_id", F.filter(units, lambda u: pairs(u).between(fewest, most)).alias("units"))
+    marked = lambda u: reduce(or_, [F.contains(u, F.lit(w)) for w in marker_words(templates, threshold)])
+    fitting = lines.select("doc_id", "plain", F.filter(units, lambda u: pairs(u).between(fewest, most)).alias("units"))
+    # most texts hold no marker at all; then none of their units is searched
+    likely = F.when(marked(F.col("plain")), F.filter("units", marked)).otherwise(F.array().cast("array<string>"))
     scored = fitting.select("doc_id", F.size("units").cast("long").alias("n_units"),
-                            F.filter(F.transform("units", lambda u: best(bigrams(u))),
+                            F.filter(F.transform(likely, lambda u: best(bigrams(u))),
                                      lambda s: s.isNotNull() & (s["dice"] >= threshold)).alias("found"))
     return scored.select(
         "doc_id", "n_units", F.size("found").cast("long").alias("n_matches"),
