@@ -35,7 +35,7 @@ def op7_mil_toxicity(spark, sf_dir):
 
 
 def op8_bayesian_near_dedup(spark, sf_dir):
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return neardup.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op9_license_dice(spark, sf_dir):

@@ -64,9 +64,12 @@ def exact_groups(docs: DataFrame, heavy: int = HEAVY, counters: int = COUNTERS)
 
 
 def exact_dedup(docs: DataFrame, **options) -> DataFrame:
-    """The rows that stay (all columns). Rows that repeat the winning doc_id stay as one row."""
-    dropped = (exact_groups(docs, **options).where("not kept").select(F.col("doc_id").alias("__dropped")).distinct())
-    return docs.join(dropped, docs["doc_id"] == dropped["__dropped"], "left_anti")
+    """The rows of ``docs`` (all columns) that stay. A row is judged by its doc_id and its text, so rows that
+    repeat both stay or go together."""
+    dropped = (exact_groups(docs, **options).where("not kept")
+               .select(F.col("doc_id").alias("__dropped"), F.col("text_sha256").alias("__digest")).distinct())
+    digest = F.sha2(F.encode(F.coalesce(docs["text"], F.lit("")), "UTF-8"), 256)
+    return docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["__dropped"]) & (digest == dropped["__digest"]), "left_anti")
 
 
 ORACLE = """

@@ -125,9 +125,9 @@ def _describe(batches):
         for r, i in enumerate(full):
             rows[i] = sig[r].tobytes()
         yield pa.record_batch([
-            batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+            batch.column("doc_id"), batch.column("text_key"), pa.array([len(s) for s in sets], pa.int64()),
             pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
-            pa.array(rows, pa.binary())], names=["doc_id", "n_shingles", "set_key", "signature"])
+            pa.array(rows, pa.binary())], names=["doc_id", "text_key", "n_shingles", "set_key", "signature"])
 
 
 def _buckets(batches):
@@ -210,12 +210,13 @@ def _compare_blocks(batches):
 
 
 def describe(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_key (16 bytes, null for an empty set) and signature."""
-    return bound_arrow(texts(docs)).mapInArrow(_describe, "doc_id long, n_shingles long, set_key binary, signature binary")
+    """doc_id, text_key, n_shingles, set_key (16 bytes, null for an empty set) and signature."""
+    return bound_arrow(texts(docs).withColumn("text_key", F.xxhash64("text"))).mapInArrow(
+        _describe, "doc_id long, text_key long, n_shingles long, set_key binary, signature binary")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
+    """One row per document: doc_id, n_shingles, component_id, kept, text_key (fingerprint of the text)."""
     described = written(describe(docs), "op8-signatures")
     classes = (described.where("set_key is not null and doc_id is not null").groupBy("n_shingles", "set_key")
                .agg(F.min("doc_id").alias("id")))
@@ -251,7 +252,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                  .join(final, F.col("id") == F.col("vertex"), "left"))
     component_id = F.coalesce("component", "id", "doc_id")
     return member_of.select("doc_id", "n_shingles", component_id.alias("component_id"),
-                            F.col("doc_id").eqNullSafe(component_id).alias("kept"))
+                            F.col("doc_id").eqNullSafe(component_id).alias("kept"), "text_key")
 
 
 def _payload(batches):
@@ -290,9 +291,12 @@ def compare_in_blocks(members: DataFrame, payload: DataFrame, block: int = BLOCK
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (all columns) that stay: one document of each group."""
-    dropped = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("__dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"] == dropped["__dropped"], "left_anti")
+    """The rows of ``docs`` (all columns) that stay: one document of each group. A row is judged by its
+    doc_id and its text."""
+    dropped = (near_duplicates(docs).where("not kept")
+               .select(F.col("doc_id").alias("__dropped"), F.col("text_key").alias("__key")).distinct())
+    key = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    return docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["__dropped"]) & (key == dropped["__key"]), "left_anti")
 
 
 ORACLE = """

@@ -112,7 +112,7 @@ def _words_near(text: Column, start: Column, end: Column, context: int) -> Colum
 
 def with_contexts(base: DataFrame, context: int = CONTEXT) -> DataFrame:
     """doc_id, row (fingerprint of the text), the base arrays and ``near``: an entity and the words near it."""
-    spans = F.concat(*[F.transform(k, lambda s, k=k: F.struct(F.lit(k).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    spans = F.concat(*[_of_kind(k, lambda kind, s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
                        for k in KINDS[:4]])
     text = F.col("text")
     near = F.transform(spans, lambda s: F.struct(
@@ -161,8 +161,13 @@ def find_personal_data(docs: DataFrame, context: int = CONTEXT, min_support: int
     return b.select("doc_id", "row", *KINDS[:4], free.alias("term"))
 
 
+def _of_kind(kind: str, make) -> Column:
+    """``make(kind, span)`` for each span of a kind."""
+    return F.transform(kind, lambda span: make(kind, span))
+
+
 def _joined(kinds) -> Column:
-    return F.array_join(F.concat(*[F.transform(k, lambda s, k=k: F.concat_ws(":", F.lit(k), s["start"], s["end"])) for k in kinds]), ",")
+    return F.array_join(F.concat(*[_of_kind(k, lambda kind, s: F.concat_ws(":", F.lit(kind), s["start"], s["end"])) for k in kinds]), ",")
 
 
 def report(found: DataFrame) -> DataFrame:
@@ -174,8 +179,8 @@ def report(found: DataFrame) -> DataFrame:
 def sanitise(docs: DataFrame, found: DataFrame, remove: float = REMOVE) -> DataFrame:
     """doc_id and, for each row of ``docs``, the text with base spans generalised to ``[KIND]`` and terms removed or generalised to
     ``[TERM]`` by their disclosure. Where spans of two kinds overlap, the first that starts wins."""
-    marks = F.concat(*[F.transform(k, lambda s, k=k: F.struct(s["start"].alias("start"), s["end"].alias("end"),
-                                                               F.lit(f"[{k.upper()}]").alias("by"))) for k in KINDS[:4]],
+    marks = F.concat(*[_of_kind(k, lambda kind, s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
+                                                            F.lit(f"[{kind.upper()}]").alias("by"))) for k in KINDS[:4]],
                      F.transform("term", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
                                                             F.when(s["disclosure"] >= remove, "").otherwise("[TERM]").alias("by"))))
 
