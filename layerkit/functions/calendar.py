@@ -86,6 +86,8 @@ def date_dimension_for(df: DataFrame, *date_cols: str) -> DataFrame:
     for c in date_cols:
         aggs += [F.min(F.to_date(c)), F.max(F.to_date(c))]
     r = df.agg(*aggs).first()
-    lo = min(v for v in r[0::2] if v is not None)
-    hi = max(v for v in r[1::2] if v is not None)
+    days = [v for v in r if v is not None]
+    if not days:                                # nothing to cover: an empty dimension
+        return date_dimension(df.sparkSession, _dt.date(1970, 1, 1), 0)
+    lo, hi = min(days), max(days)
     return date_dimension(df.sparkSession, lo, (hi - lo).days + 1)

@@ -39,4 +39,4 @@ def haversine_m(lon1, lat1, lon2, lat2) -> Column:
     dphi = p2 - p1
     dlmb = F.radians(_c(lon2)) - F.radians(_c(lon1))
     a = F.pow(F.sin(dphi / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dlmb / 2), 2)
-    return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(a))
+    return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(F.least(F.lit(1.0), a)))   # rounding may pass 1

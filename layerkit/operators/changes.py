@@ -33,7 +33,10 @@ def _any_null(cols) -> Column:
 
 def snapshot_diff(prev: DataFrame, curr: DataFrame, keys: list[str],
                   compare_cols: list[str] | None = None) -> DataFrame:
-    """Change rows: all columns of ``curr`` plus ``_action`` and ``_is_update``."""
+    """Change rows: all columns of ``curr`` plus ``_action`` and ``_is_update``. Keys must be unique in
+    each snapshot."""
+    _require_unique(prev, keys, "previous")
+    _require_unique(curr, keys, "current")
     cols = curr.columns
     others = compare_cols or [c for c in cols if c not in keys]
     p = prev.select(*[F.col(c).alias(f"__p_{c}") for c in cols], F.lit(True).alias("__p_in"))
@@ -52,16 +55,23 @@ def snapshot_diff(prev: DataFrame, curr: DataFrame, keys: list[str],
     imgs = F.array(F.when(p_in & (~c_in | changed), del_img), F.when(c_in & (~p_in | changed), ins_img))
     keyed = j.select(F.inline(F.filter(imgs, lambda x: x.isNotNull())))
 
-    # NULL-key rows: whole-row multiset difference
-    pn = prev.filter(_any_null(keys)).select(*cols)
-    cn = curr.filter(_any_null(keys)).select(*cols)
-    if any(isinstance(curr.schema[c].dataType, T.VariantType) for c in cols):
-        return keyed   # variants have no equality; NULL-key variant rows are not diffed
-    nd = pn.exceptAll(cn).select(*cols, F.lit("DELETE").alias(ACTION), F.lit(False).alias(IS_UPDATE))
-    ni = cn.exceptAll(pn).select(*cols, F.lit("INSERT").alias(ACTION), F.lit(False).alias(IS_UPDATE))
+    # NULL-key rows: whole-row multiset difference; variants are compared through their JSON text
+    variants = {c for c in cols if isinstance(curr.schema[c].dataType, T.VariantType)}
+    as_text = lambda df: df.filter(_any_null(keys)).select(*[F.to_json(c).alias(c) if c in variants else F.col(c) for c in cols])
+    back = [F.parse_json(c).alias(c) if c in variants else F.col(c) for c in cols]
+    pn, cn = as_text(prev), as_text(curr)
+    nd = pn.exceptAll(cn).select(*back, F.lit("DELETE").alias(ACTION), F.lit(False).alias(IS_UPDATE))
+    ni = cn.exceptAll(pn).select(*back, F.lit("INSERT").alias(ACTION), F.lit(False).alias(IS_UPDATE))
     return keyed.unionByName(nd).unionByName(ni)
 
 
+def _require_unique(df: DataFrame, keys: list[str], side: str) -> None:
+    """Fails when a key without NULL parts occurs twice (counts are combined map-side)."""
+    twice = df.filter(~_any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").first()
+    if twice is not None:
+        raise ValueError(f"snapshot_diff: key {tuple(twice)[:-1]} occurs {twice['n']} times in the {side} snapshot")
+
+
 def insert_images(changes: DataFrame) -> DataFrame:
     """``select ... from stream where metadata$action = 'INSERT'`` - the new row versions."""
     return changes.filter(F.col(ACTION) == "INSERT").drop(ACTION, IS_UPDATE)

@@ -1,112 +1,54 @@
 """Validity intervals (type-2 history): ``valid_to = nvl(lead(valid_from) over (partition by key
 order by valid_from), '9999-12-31')`` and current-row selection.
 
-A per-key window puts every version of a key into one task. To stay safe when one key holds
-a large share of all versions, the rows are range-partitioned on (key, valid_from, tie...)
-- the range bounds come from a sample, so a hot key is spread over several partitions - and
-sorted within partitions. ``lead`` is then taken inside each partition in one Arrow-batched
-pass; the last row of a partition takes the first row of the next non-empty partition,
-known from one tiny aggregate (one row per partition). The sorted rows are checkpointed to
-the shared checkpoint folder so both passes read the same layout and the lineage is cut.
+A per-key window would put every version of a key into one task. Instead the rows are
+range-partitioned on (key, valid_from, tie...), so a hot key lies in several partitions, and
+``lead`` is taken per (partition, key). Only the last row of a key in a partition is left: it takes the
+first ``valid_from`` of the key in its next partition, from an aggregate that holds one row per key and
+partition. One path for every size, and every comparison is Spark's own, typed one.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir, shuffle_partitions
+from ..session import scratch_path, shuffle_partitions
 
 OPEN_END = _dt.date(9999, 12, 31)
 
 
-# Largest number of versions of one key that a per-key window may put into one task
-MAX_WINDOW_GROUP_ROWS = 1_000_000
-
-
 def validity_intervals(df: DataFrame, keys: list[str], from_col: str, tie_cols: list[str],
-                       to_col: str = "valid_to", open_end=OPEN_END, num_partitions: int | None = None,
-                       max_window_group_rows: int | None = MAX_WINDOW_GROUP_ROWS) -> DataFrame:
+                       to_col: str = "valid_to", open_end=OPEN_END, num_partitions: int | None = None) -> DataFrame:
     """``valid_to = nvl(lead(valid_from) over (partition by keys order by valid_from, ties), open_end)``.
 
-    The size of the largest key group is measured first (a partially aggregated count per key,
-    one scalar to the driver). When it is at most ``max_window_group_rows`` the plain per-key
-    window is used (every group provably fits a task); otherwise the range-partitioned form below
-    spreads the hot keys. ``max_window_group_rows=None`` always takes the range-partitioned form.
-    """
-    if max_window_group_rows is not None:
-        largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-        if largest <= max_window_group_rows:
-            w = Window.partitionBy(*keys).orderBy(from_col, *tie_cols)
-            from_type = df.schema[from_col].dataType
-            return df.withColumn(to_col, F.coalesce(F.lead(from_col).over(w), F.lit(open_end).cast(from_type)))
-    return _intervals_range_partitioned(df, keys, from_col, tie_cols, to_col, open_end, num_partitions)
-
-
-def _intervals_range_partitioned(df: DataFrame, keys, from_col, tie_cols, to_col, open_end,
-                                 num_partitions) -> DataFrame:
+    NULL keys form a group of their own, as in a window; a NULL ``valid_from`` sorts first."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    order = list(keys) + [from_col] + list(tie_cols)
-    n = num_partitions or shuffle_partitions(spark)
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("__pid", F.spark_partition_id()))
-    ranged = ranged.checkpoint(eager=True)
-
-    # first row (in sort order) of every non-empty partition: at most n rows
-    firsts = (ranged.groupBy("__pid")
-              .agg(F.min(F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(order)])).alias("f"))
-              .collect())
-    firsts = sorted((r["__pid"], tuple(r["f"])) for r in firsts)
-    nk = len(keys)
-    next_first = {}
-    for i, (pid, row) in enumerate(firsts):
-        nxt = firsts[i + 1][1] if i + 1 < len(firsts) else None
-        next_first[pid] = None if nxt is None else (nxt[:nk], nxt[nk])
-
-    # one entry per partition: shipped once per executor as a broadcast variable
-    next_first_bc = spark.sparkContext.broadcast(next_first)
-    from_type = df.schema[from_col].dataType
-    out_schema = T.StructType(list(df.schema.fields) + [T.StructField(to_col, from_type, True)])
-    cols = df.columns
-
-    def _same(a, b):
-        return (a == b) | (a.isna() & b.isna())
-
-    def lead_in_partition(batches):
-        carry = None
-        for pdf in batches:
-            if carry is not None:
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-            if len(pdf) == 0:
-                continue
-            nxt = pdf[from_col].shift(-1)
-            same = pd.Series(True, index=pdf.index)
-            for k in keys:
-                same &= _same(pdf[k], pdf[k].shift(-1))
-            pdf[to_col] = nxt.where(same, None)
-            carry = pdf.iloc[-1:].drop(columns=[to_col]).reset_index(drop=True)
-            body = pdf.iloc[:-1]
-            if len(body):
-                yield body[cols + [to_col]]
-        if carry is not None:
-            pid = int(carry["__pid"].iloc[0])
-            nf = next_first_bc.value.get(pid)
-            val = None
-            if nf is not None:
-                nkeys, nfrom = nf
-                if all((carry[k].iloc[0] == nk_) or (pd.isna(carry[k].iloc[0]) and nk_ is None)
-                       for k, nk_ in zip(keys, nkeys)):
-                    val = nfrom
-            carry[to_col] = pd.Series([val], dtype=object)
-            yield carry[cols + [to_col]]
-
-    led = ranged.mapInPandas(lead_in_partition, out_schema)
-    return led.withColumn(to_col, F.coalesce(F.col(to_col), F.lit(open_end).cast(from_type)))
+    order = [from_col, *tie_cols]
+    ranged = (df.repartitionByRange(num_partitions or shuffle_partitions(spark), *keys, *order)
+              .withColumn("__part", F.spark_partition_id()))
+    # written to the shared folder: the partition numbers are data from here on
+    path = scratch_path(spark, "intervals")
+    ranged.write.parquet(path)
+    placed = spark.read.schema(ranged.schema).parquet(path)
+
+    inside = Window.partitionBy("__part", *keys).orderBy(*order)
+    led = (placed.withColumn("__next", F.lead(from_col).over(inside))
+           .withColumn("__last", F.lead(F.lit(1)).over(inside).isNull()))
+    first = F.min(F.struct(*[F.struct(F.col(c).isNotNull().alias("known"), F.col(c).alias("value")) for c in order])).alias("__first")
+    firsts = placed.groupBy("__part", *keys).agg(first)
+    along = Window.partitionBy(*keys).orderBy("__part")
+    following = firsts.select(F.col("__part").alias("__p"), *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+                              F.lead(F.col("__first")["col1"]["value"]).over(along).alias("__following"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)],
+                  F.col("__part") == F.col("__p"))
+    joined = led.join(following, same & F.col("__last"), "left")
+    end = F.coalesce(F.when(F.col("__last"), F.col("__following")).otherwise(F.col("__next")),
+                     F.lit(open_end).cast(df.schema[from_col].dataType))
+    return joined.select(*df.columns, end.alias(to_col))
 
 
 def current_rows(intervals: DataFrame, to_col: str = "valid_to", open_end=OPEN_END,

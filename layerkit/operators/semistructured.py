@@ -32,7 +32,8 @@ def vpath(key: str) -> str:
 
 
 def vget(col: str | Column, key: str, dtype: str) -> Column:
-    return F.try_variant_get(F.col(col) if isinstance(col, str) else col, vpath(key), dtype)
+    """Value of a key cast to a type: a missing key gives NULL, a value that cannot be cast fails the query."""
+    return F.variant_get(F.col(col) if isinstance(col, str) else col, vpath(key), dtype)
 
 
 def partner_orders_type(quantity_type: str = "decimal(38,0)") -> str:
@@ -90,7 +91,7 @@ def keyed_document_columns(raw: DataFrame, variant_col: str = "v") -> DataFrame:
 def flatten_items(keyed: DataFrame, quantity_type: str = "int") -> DataFrame:
     """Single lateral flatten of the item array (rows with an empty or missing array vanish)."""
     rest = [c for c in keyed.columns if c != "items"]
-    return keyed.select(*rest, F.inline(F.try_variant_get("items", "$", service_items_type(quantity_type)))) \
+    return keyed.select(*rest, F.inline(F.variant_get("items", "$", service_items_type(quantity_type)))) \
         .select(*rest, F.col(K_ITEM).alias("baked_good_type"), F.col(K_QUANTITY).alias("quantity"))
 
 

@@ -2,7 +2,7 @@
 
 order line = lineitem ⋈ orders ⋈ customer ⋈ part:
   customer = c_name, order_date = o_orderdate, delivery_date = l_shipdate,
-  baked_good_type = p_name, quantity = l_quantity (whole numbers)
+  baked_good_type = p_name and key (names repeat), quantity = l_quantity (whole numbers)
 partner = customer (partner_id = c_custkey), product = part (product_id = p_partkey),
 store = supplier (store_id = s_suppkey), sales = lineitem, log feed = events,
 reviews / e-mails = documents.
@@ -37,7 +37,7 @@ def order_lines(spark: SparkSession, sf: str, with_ids: bool = False) -> DataFra
          .join(c, o.o_custkey == c.c_custkey)
          .join(p, li.l_partkey == p.p_partkey))
     cols = [F.col("c_name").alias("customer"), F.to_date("o_orderdate").alias("order_date"),
-            F.to_date("l_shipdate").alias("delivery_date"), F.col("p_name").alias("baked_good_type"),
+            F.to_date("l_shipdate").alias("delivery_date"), F.concat("p_name", F.lit(" #"), "p_partkey").alias("baked_good_type"),
             F.col("l_quantity").cast("bigint").alias("quantity")]
     if with_ids:
         cols += [F.col("o_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("c_custkey")]
@@ -46,7 +46,7 @@ def order_lines(spark: SparkSession, sf: str, with_ids: bool = False) -> DataFra
 
 ORDER_LINES_SQL = """
 select c.c_name as customer, cast(o.o_orderdate as date) as order_date,
-       cast(l.l_shipdate as date) as delivery_date, p.p_name as baked_good_type,
+       cast(l.l_shipdate as date) as delivery_date, p.p_name || ' #' || p.p_partkey as baked_good_type,
        cast(l.l_quantity as bigint) as quantity
 from lineitem l join orders o on l.l_orderkey = o.o_orderkey
 join customer c on o.o_custkey = c.c_custkey

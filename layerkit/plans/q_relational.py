@@ -141,10 +141,9 @@ def semi_join_having_filtered(spark, sf):
 
 
 def product_dim(spark, sf):
-    """Product dimension keyed by name: one surrogate id per distinct name (names repeat in ``part``)."""
+    """Product dimension: every row of ``part``; names repeat there, so the natural key is name and key."""
     p = table(spark, sf, "part")
-    return p.groupBy(F.col("p_name").alias("product_name")).agg(
-        F.min("p_partkey").alias("product_id"))
+    return p.select(F.concat("p_name", F.lit(" #"), "p_partkey").alias("product_name"), F.col("p_partkey").alias("product_id"))
 
 
 def partner_dim(spark, sf):
@@ -160,7 +159,7 @@ def normalize_orders(stg, partners, products):
 
 
 STAR_SQL = f"""with ord as ({D.ORDER_LINES_SQL}),
-prd as (select p_name as product_name, min(p_partkey) as product_id from part group by p_name)
+prd as (select p_name || ' #' || p_partkey as product_name, p_partkey as product_id from part)
 select pt.c_custkey as partner_id, prd.product_id, ord.delivery_date, ord.order_date, ord.quantity
 from ord join customer pt on pt.c_name = ord.customer
 join prd on prd.product_name = ord.baked_good_type"""

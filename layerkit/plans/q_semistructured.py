@@ -86,7 +86,7 @@ EMAIL_ORDER_HEADER = "CUSTOMER,ORDER_DATE,DELIVERY_DATE,ITEM,QUANTITY"
 
 @query("csv_text_to_rows", covers="F10 X3", sql="""
 select c.c_name as customer, cast(o.o_orderdate as date) as order_date, cast(l.l_shipdate as date) as delivery_date,
-       p.p_name as item, cast(l.l_quantity as integer) as quantity
+       p.p_name || ' #' || p.p_partkey as item, cast(l.l_quantity as integer) as quantity
 from lineitem l join orders o on l.l_orderkey = o.o_orderkey
 join customer c on o.o_custkey = c.c_custkey join part p on l.l_partkey = p.p_partkey""")
 def csv_text_to_rows_q(spark, sf):

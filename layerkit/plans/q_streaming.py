@@ -7,7 +7,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.changes import insert_images, snapshot_diff
+from ..operators.changes import has_changes, insert_images, snapshot_diff
 from ..operators.history import current_rows, validity_intervals
 from ..operators.reporting import RunLog, run_summary_message
 from ..operators.semistructured import flatten_items, flatten_partner_orders, keyed_document_columns
@@ -131,16 +131,13 @@ def summary_view(summary, products):
 
 
 def product_versions(spark, sf):
-    p = table(spark, sf, "part")
-    dim = product_dim(spark, sf)
-    return (dim.join(p, dim.product_id == p.p_partkey)
-            .select("product_id", "product_name", F.col("p_type").alias("category")))
+    return table(spark, sf, "part").select(
+        F.col("p_partkey").alias("product_id"), F.concat("p_name", F.lit(" #"), "p_partkey").alias("product_name"),
+        F.col("p_type").alias("category"))
 
 
 DYN_AGG_SQL = f"""with o as ({STAR_SQL}),
-cur as (select d.product_id, d.product_name, p.p_type as category
-        from (select p_name as product_name, min(p_partkey) as product_id from part group by p_name) d
-        join part p on p.p_partkey = d.product_id)
+cur as (select p_partkey as product_id, p_name || ' #' || p_partkey as product_name, p_type as category from part)
 select o.delivery_date, cur.product_name, cur.category, cast(sum(o.quantity) as bigint) as total_quantity
 from o left join cur on o.product_id = cur.product_id
 group by all"""
@@ -175,8 +172,8 @@ _ORDERS_TBL_SCHEMA = T.StructType([
 
 def _append_observed(table_, df, batch_id) -> int:
     obs = Observation(f"rows_{batch_id}")
-    table_.append(df.observe(obs, F.count(F.lit(1)).alias("n")), batch_id=batch_id)
-    return int(obs.get["n"])
+    written = table_.append(df.observe(obs, F.count(F.lit(1)).alias("n")), batch_id=batch_id)
+    return int(obs.get["n"]) if written else 0
 
 
 def version_dimension(history: AppendTable, prev, curr, keys, seq: int) -> int:
@@ -184,7 +181,13 @@ def version_dimension(history: AppendTable, prev, curr, keys, seq: int) -> int:
     the change rows of the staging dimension are diffed once and their INSERT images appended
     (with the change sequence used to order equal-date versions). Returns the rows inserted."""
     images = insert_images(snapshot_diff(prev, curr, keys)).withColumn("change_seq", F.lit(seq))
-    return _append_observed(history, images, seq)
+    return _append_observed(history, images, seq) if has_changes(images) else 0
+
+
+def gated(log: RunLog, task: str, rows: int) -> None:
+    """A step that found no new data is skipped: it logs nothing."""
+    if rows:
+        log.log_step(task, rows)
 
 
 def run_layered_flow(spark, sf, area):
@@ -196,7 +199,7 @@ def run_layered_flow(spark, sf, area):
 
     initial = F.lit(INITIAL_FROM).cast("date")
     prod_v1 = table(spark, sf, "part").select(
-        F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"),
+        F.col("p_partkey").alias("product_id"), F.concat("p_name", F.lit(" #"), "p_partkey").alias("product_name"),
         F.col("p_type").alias("category"), "p_size", initial.alias("valid_from"))
     changed = F.col("p_size") >= 45
     prod_v2 = (prod_v1.withColumn("category", F.when(changed, F.concat(F.lit("PROMO "), F.col("category")))
@@ -204,14 +207,14 @@ def run_layered_flow(spark, sf, area):
                .withColumn("valid_from", F.when(changed, F.lit(CHANGE_FROM).cast("date")).otherwise(F.col("valid_from"))))
     products = AppendTable(spark, f"{area}/dwh/product_tbl")
     products.append(prod_v1.withColumn("change_seq", F.lit(0)), batch_id=0)           # initial copy
-    log.log_step("INSERT_PRODUCT_TASK", version_dimension(products, prod_v1, prod_v2, ["product_id"], 1))
+    gated(log, "INSERT_PRODUCT_TASK", version_dimension(products, prod_v1, prod_v2, ["product_id"], 1))
 
     part_v1 = table(spark, sf, "customer").select(F.col("c_custkey").alias("partner_id"),
                                                   F.col("c_name").alias("partner_name"), "c_mktsegment",
                                                   initial.alias("valid_from"))
     partners = AppendTable(spark, f"{area}/dwh/partner_tbl")
     partners.append(part_v1.withColumn("change_seq", F.lit(0)), batch_id=0)
-    log.log_step("INSERT_PARTNER_TASK", version_dimension(partners, part_v1, part_v1, ["partner_id"], 1))
+    gated(log, "INSERT_PARTNER_TASK", version_dimension(partners, part_v1, part_v1, ["partner_id"], 1))
 
     current = current_rows(validity_intervals(products.read(), ["product_id"], "valid_from", ["change_seq"]),
                            from_col="valid_from").select("product_id", "product_name", "category")
@@ -226,10 +229,8 @@ def run_layered_flow(spark, sf, area):
 
 
 LAYERED_RUN_SQL = f"""with o as ({STAR_SQL}),
-cur as (select d.product_id, d.product_name,
-               case when p.p_size >= 45 then 'PROMO ' || p.p_type else p.p_type end as category
-        from (select p_name as product_name, min(p_partkey) as product_id from part group by p_name) d
-        join part p on p.p_partkey = d.product_id)
+cur as (select p_partkey as product_id, p_name || ' #' || p_partkey as product_name,
+               case when p_size >= 45 then 'PROMO ' || p_type else p_type end as category from part)
 select o.delivery_date, cur.product_name, cur.category, cast(sum(o.quantity) as bigint) as total_quantity
 from o left join cur on o.product_id = cur.product_id
 group by all"""
@@ -256,7 +257,6 @@ select 'Task: COPY_ORDERS_TASK Rows processed: ' || d1 || chr(10) ||
        'Task: COPY_ORDERS_TASK Rows processed: ' || d2 || chr(10) ||
        'Task: INSERT_ORDERS_STG_TASK Rows processed: ' || l2 || chr(10) ||
        'Task: INSERT_PRODUCT_TASK Rows processed: ' || pr.n || chr(10) ||
-       'Task: INSERT_PARTNER_TASK Rows processed: 0' || chr(10) ||
        'Task: ORDERS_SUMMARY_TASK Rows processed: ' || (select count(*) from pipe) || chr(10) as message
 from b, d, pr""")
 def run_summary_message_q(spark, sf):

@@ -89,6 +89,43 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def write_marker(spark: SparkSession, path: str, text: str = "") -> None:
+    """A small file beside a table (any file system); readers see it whole or not at all."""
+    p, fs = _hadoop(spark, path + ".tmp")
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    move(spark, path + ".tmp", path)
+
+
+def read_marker(spark: SparkSession, path: str) -> str:
+    p, fs = _hadoop(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder; the target must not exist."""
+    p, fs = _hadoop(spark, source)
+    t, _ = _hadoop(spark, target)
+    fs.mkdirs(t.getParent())
+    if not fs.rename(p, t):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
 def size_shuffle_partitions(spark: SparkSession, input_bytes: int, target_bytes: int = 256 * 1024 * 1024) -> int:
     """Set the initial shuffle partition count from the input size (AQE then coalesces small
     partitions and splits skewed ones). At 100 TB and 256 MB per partition this is ~400k; the

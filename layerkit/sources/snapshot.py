@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import path_exists
+from ..session import move, path_exists
 
 _LOG_SCHEMA = T.StructType([
     T.StructField("version", T.LongType(), False),
@@ -107,9 +107,9 @@ class SnapshotTable:
 
 
 class AppendTable:
-    """Append-only table fed by micro-batches: each batch is written to its own folder
-    ``batch_id=<n>`` in overwrite mode, so a replayed batch replaces its own rows instead of
-    adding them twice. Readers (batch or streaming) read the table folder."""
+    """Append-only table fed by micro-batches: each batch has its own folder ``batch_id=<n>``. The folder
+    is written aside and renamed into the table, so it appears whole and once: a replayed batch finds
+    it and keeps its files, which consumers of the table may already have read."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -118,8 +118,15 @@ class AppendTable:
     def exists(self) -> bool:
         return path_exists(self.spark, self.root)
 
-    def append(self, df: DataFrame, *, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.root}/batch_id={batch_id:010d}")
+    def append(self, df: DataFrame, *, batch_id: int) -> bool:
+        """Whether rows were written (not: the batch is in the table already)."""
+        folder = f"{self.root}/batch_id={batch_id:010d}"
+        if path_exists(self.spark, folder):
+            return False
+        aside = f"{self.root}/_staged/{batch_id:010d}"
+        df.write.mode("overwrite").parquet(aside)
+        move(self.spark, aside, folder)
+        return True
 
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.root).drop("batch_id")

@@ -49,11 +49,15 @@ ORDER_LINE_SCHEMA = T.StructType([
 
 
 def relative_file(stage_path: str) -> Column:
-    """``_metadata.file_path`` with the stage root removed (the file name relative to the stage)."""
+    """``_metadata.file_path`` with the stage root removed (the file name relative to the stage).
+
+    The metadata path is percent-encoded (a blank is ``%20``, a plus stays a plus), the root is not."""
     root = _strip_scheme(stage_path.rstrip("/")) + "/"
     # file paths come back fully qualified (file:/..., hdfs://host/...); keep what follows the root
-    return F.expr("substring(_metadata.file_path, instr(_metadata.file_path, %s) + %d)"
-                  % (_sql_str(root), len(root)))
+    path = "url_decode(replace(_metadata.file_path, '+', '%2B'))"
+    at = f"instr({path}, {_sql_str(root)})"
+    return F.expr(f"if({at} > 0, substring({path}, {at} + {len(root)}), "
+                  f"raise_error(concat('file outside the stage: ', {path})))")
 
 
 def _strip_scheme(p: str) -> str:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.snapshot import SnapshotTable
-from .ingest import _run, rows_in
+from .ingest import _run, _start, rows_in
 
 
 def change_stream(spark: SparkSession, table_path: str, schema: T.StructType,
@@ -33,20 +33,19 @@ def change_stream(spark: SparkSession, table_path: str, schema: T.StructType,
 
 
 def consume(stream: DataFrame, on_batch: Callable[[DataFrame, int], None], checkpoint_path: str,
-            processing_time: str | None = None) -> dict:
-    """Run ``on_batch`` for every new micro-batch (availableNow unless a processing time is given).
-    Returns a refresh-history record (T11): batches, input rows."""
+            processing_time: str | None = None):
+    """Run ``on_batch`` for every new micro-batch. Without a processing time: process what is there and
+    return a refresh-history record (T11: batches, input rows). With one (the target lag): return the
+    running query."""
     w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_path)
-    q = _run(w, available_now=processing_time is None, processing_time=processing_time)
-    prog = q.recentProgress
-    return {"batches": [p["batchId"] for p in prog if p.get("numInputRows", 0) > 0],
-            "rows": rows_in(prog),
-            "history": [(p["batchId"], p["timestamp"], p.get("numInputRows", 0),
-                         p.get("durationMs", {}).get("triggerExecution", 0)) for p in prog]}
+    if processing_time:
+        return _start(w, processing_time)
+    batches = _run(stream.sparkSession, w)
+    return {"batches": [b[0] for b in batches if b[2] > 0], "rows": rows_in(batches), "history": batches}
 
 
 def incremental_map(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], target,
-                    checkpoint_path: str) -> dict:
+                    checkpoint_path: str, processing_time: str | None = None):
     """Dynamic table over a map-only / stream-static plan: each batch is transformed and appended
     (``target``: ``AppendTable`` or ``SnapshotTable``). The report counts the appended rows
     with an ``Observation`` on the write (no second pass)."""
@@ -55,11 +54,14 @@ def incremental_map(stream: DataFrame, transform: Callable[[DataFrame], DataFram
     def on_batch(df: DataFrame, batch_id: int) -> None:
         # new-data gate: the file stream runs no batch at all when no new file arrived, and each
         # batch is read once (a second action would read the source again and count it twice)
+        if hasattr(target, "has_batch") and target.has_batch(batch_id):
+            return                              # a replayed batch is in the table already
         obs = Observation(f"appended_{batch_id}")
-        target.append(transform(df).observe(obs, F.count(F.lit(1)).alias("n")), batch_id=batch_id)
-        appended.append(int(obs.get["n"]))
-    rep = consume(stream, on_batch, checkpoint_path)
-    rep["appended"] = sum(appended)
+        if target.append(transform(df).observe(obs, F.count(F.lit(1)).alias("n")), batch_id=batch_id):
+            appended.append(int(obs.get["n"]))
+    rep = consume(stream, on_batch, checkpoint_path, processing_time)
+    if not processing_time:
+        rep["appended"] = sum(appended)
     return rep
 
 
@@ -70,7 +72,8 @@ def additive_merge(current: DataFrame | None, delta: DataFrame, keys: list[str],
 
 
 def incremental_aggregate(stream: DataFrame, delta_of: Callable[[DataFrame], DataFrame],
-                          keys: list[str], sum_cols: list[str], target, checkpoint_path: str) -> dict:
+                          keys: list[str], sum_cols: list[str], target, checkpoint_path: str,
+                          processing_time: str | None = None):
     """Dynamic aggregate table kept at fact grain keys (e.g. date x product id).
 
     ``delta_of(batch)`` gives the batch's partial sums by ``keys``; they are merged additively.
@@ -84,8 +87,9 @@ def incremental_aggregate(stream: DataFrame, delta_of: Callable[[DataFrame], Dat
         delta = delta_of(df)
         if hasattr(target, "merge"):
             target.merge(delta, keys, sum_cols, combine={c: (lambda t, s: t + s) for c in sum_cols},
-                         on_duplicate="unique")   # the delta is an aggregate by ``keys``
+                         on_duplicate="unique",   # the delta is an aggregate by ``keys``
+                         batch_key=f"{checkpoint_path}#{batch_id}")   # a replayed batch is not added again
         else:
             current = target.read() if target.exists() else None
             target.publish(additive_merge(current, delta, keys, sum_cols), batch_id=batch_id)
-    return consume(stream, on_batch, checkpoint_path)
+    return consume(stream, on_batch, checkpoint_path, processing_time)

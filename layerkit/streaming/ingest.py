@@ -9,11 +9,13 @@ stops - the batch form; ``processing_time`` keeps it running - the continuous fo
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from ..sources.stage import FileFormat, _load_ts, relative_file
 
@@ -38,21 +40,57 @@ def stream_stage(spark: SparkSession, stage_path: str, schema: T.StructType | No
     return df.select(*cols)
 
 
-def _run(writer, *, available_now: bool = True, processing_time: str | None = None, start_path: str | None = None):
-    if processing_time and not available_now:
-        writer = writer.trigger(processingTime=processing_time)
-    else:
+class _Batches(StreamingQueryListener):
+    """Every progress event of the queries of a run (a query itself keeps only its last ones):
+    (batch id, time, input rows, milliseconds), one small tuple per batch."""
+
+    def __init__(self):
+        self.of: dict[str, list[tuple]] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def end_of(self, run_id: str) -> threading.Event:
+        return self.ended.setdefault(run_id, threading.Event())
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        self.of.setdefault(str(p.runId), []).append((p.batchId, p.timestamp, p.numInputRows, p.durationMs.get("triggerExecution", 0)))
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self.end_of(str(event.runId)).set()
+
+
+def _run(spark: SparkSession, writer, start_path: str | None = None) -> list[tuple]:
+    """Process everything present and stop; the batches that ran."""
+    seen = _Batches()
+    spark.streams.addListener(seen)
+    try:
         writer = writer.trigger(availableNow=True)
-    q = writer.start(start_path) if start_path else writer.start()
-    if available_now:
+        q = writer.start(start_path) if start_path else writer.start()
         q.awaitTermination()
         if q.exception():
             raise q.exception()
-    return q
+        run_id = str(q.runId)
+        if not seen.end_of(run_id).wait(60):       # events arrive in order, the end last
+            raise TimeoutError("the end of the streaming query was not reported")
+        return seen.of.get(run_id, [])
+    finally:
+        spark.streams.removeListener(seen)
+
+
+def _start(writer, processing_time: str, start_path: str | None = None):
+    """Keep running; returns the running query."""
+    writer = writer.trigger(processingTime=processing_time)
+    return writer.start(start_path) if start_path else writer.start()
 
 
-def rows_in(progress) -> int:
-    return int(sum(p.get("numInputRows", 0) for p in progress))
+def rows_in(batches: list[tuple]) -> int:
+    return sum(b[2] for b in batches)
 
 
 @dataclass
@@ -102,22 +140,21 @@ class FileIngest:
         w = (self.source().writeStream.format("parquet").outputMode("append")
              .option("checkpointLocation", self.checkpoint_path))
         started = _dt.datetime.now(_dt.timezone.utc) - _dt.timedelta(seconds=1)
-        q = _run(w, start_path=self.target_path)
+        batches = _run(self.spark, w, self.target_path)
         if self.purge:
             self.purge_loaded(since=started if self.load_ts is None else None)
-        return rows_in(q.recentProgress)
+        return rows_in(batches)
 
     def start_continuous(self, processing_time: str = "1 minute"):
         """The pipe form: keep loading new files every ``processing_time``; returns the running query."""
         w = (self.source().writeStream.format("parquet").outputMode("append")
              .option("checkpointLocation", self.checkpoint_path))
-        return _run(w, available_now=False, processing_time=processing_time, start_path=self.target_path)
+        return _start(w, processing_time, self.target_path)
 
     def run_each(self, on_batch) -> int:
         """Same, but each micro-batch goes to ``on_batch(df, batch_id)`` (e.g. append + merge)."""
         w = self.source().writeStream.foreachBatch(on_batch).option("checkpointLocation", self.checkpoint_path)
-        q = _run(w)
-        return rows_in(q.recentProgress)
+        return rows_in(_run(self.spark, w))
 
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.target_path)

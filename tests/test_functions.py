@@ -18,8 +18,9 @@ def test_sentiment_cases(spark):
 
 
 def test_prompt_contains_text(spark):
-    r = spark.createDataFrame([("2 bagels please",)], "t string").select(prompt_build("t").alias("p")).first()
-    assert r.p.endswith("\n 2 bagels please") and r.p.startswith("You are a bakery employee")
+    r = spark.createDataFrame([("four lamps by Friday",)], "t string").select(prompt_build("t").alias("p")).first()
+    assert r.p.endswith("Message:\nfour lamps by Friday")
+    assert spark.range(1).select(prompt_build(F.lit("x"), "Say: ").alias("p")).first().p == "Say: x"
 
 
 def test_date_dimension_2023_2024(spark):
@@ -44,32 +45,32 @@ def test_geo_point_and_distance(spark):
     assert bad[0] is None
 
 
-EMP = [(1001, "W J", "5 A St.", "Bread"), (1002, "A N", "2 B Rd.", "Pastry"),
-       (1003, "J N", "8 C Ave.", "Pastry"), (1004, "S P", "5 D St.", "Bread")]
-RULES = {"DATA_ENGINEER": None, "DATA_ANALYST_BREAD": ["Bread"], "DATA_ANALYST_PASTRY": ["Pastry"]}
+EMP = [(7, "Mona", "Harbour 12", "Lighting"), (21, "Teo", "Mill Lane 3", "Tools"), (35, "Ilse", "Quay 77", "Tools"),
+       (49, "Rafi", "North Gate 1", "Garden"), (63, "Uma", "Old Road 8", "Lighting"), (77, "Per", "Hill 40", None)]
+RULES = {"PLATFORM": None, "LIGHT_TEAM": ["Lighting"], "YARD_TEAM": ["Tools", "Garden"]}
 
 
 def test_policies(spark):
     emp = spark.createDataFrame(EMP, "id int, name string, home_address string, department string")
     view = lambda roles: protected_view(emp, roles, row_rules=("department", RULES),
-                                        masks={"home_address": {"DATA_ENGINEER"}})
-    eng = view({"DATA_ENGINEER"}).collect()
-    assert len(eng) == 4 and all(r.home_address != "***" for r in eng)
-    bread = view({"DATA_ANALYST_BREAD"}).collect()
-    assert sorted(r.id for r in bread) == [1001, 1004] and {r.home_address for r in bread} == {"***"}
-    assert view({"DATA_ANALYST_PASTRY"}).count() == 2
-    assert view({"SYSADMIN"}).count() == 0
-    assert apply_row_policy(emp, "department", RULES, {"PUBLIC"}).count() == 0
-    assert apply_mask(emp, "name", {"X"}, {"Y"}).filter("name = '***'").count() == 4
+                                        masks={"home_address": {"PLATFORM"}})
+    everyone = view({"PLATFORM"}).collect()
+    assert len(everyone) == 6 and all(r.home_address != "***" for r in everyone)
+    light = view({"LIGHT_TEAM"}).collect()
+    assert sorted(r.id for r in light) == [7, 63] and {r.home_address for r in light} == {"***"}
+    assert view({"YARD_TEAM"}).count() == 3 and view({"YARD_TEAM", "LIGHT_TEAM"}).count() == 5
+    assert view({"VISITOR"}).count() == 0
+    assert apply_row_policy(emp, "department", RULES, set()).count() == 0
+    assert apply_mask(emp, "name", {"X"}, {"Y"}).filter("name = '***'").count() == 6
 
 
 def test_row_policy_as_rules_table(spark):
     from layerkit.operators.policy import apply_row_policy_table
     emp = spark.createDataFrame(EMP, "id int, name string, home_address string, department string")
-    rules = spark.createDataFrame([("DATA_ENGINEER", None), ("DATA_ANALYST_BREAD", "Bread"),
-                                   ("DATA_ANALYST_PASTRY", "Pastry")], "role string, value string")
-    assert apply_row_policy_table(emp, "department", rules, {"DATA_ENGINEER"}).count() == 4
-    assert sorted(r.id for r in apply_row_policy_table(emp, "department", rules, {"DATA_ANALYST_PASTRY"}).collect()) == [1002, 1003]
+    rules = spark.createDataFrame([("PLATFORM", None), ("LIGHT_TEAM", "Lighting"), ("YARD_TEAM", "Tools"),
+                                   ("YARD_TEAM", "Garden")], "role string, value string")
+    assert apply_row_policy_table(emp, "department", rules, {"PLATFORM"}).count() == 6
+    assert sorted(r.id for r in apply_row_policy_table(emp, "department", rules, {"YARD_TEAM"}).collect()) == [21, 35, 49]
     assert apply_row_policy_table(emp, "department", rules, {"OTHER"}).count() == 0
 
 
@@ -80,3 +81,18 @@ def test_is_holiday_country(spark):
     assert [r.h for r in df.select(is_holiday("d", "US").alias("h")).collect()] == [True, False]
     with pytest.raises(ValueError):
         is_holiday("d", "FR")
+
+
+def test_distance_of_antipodes_is_a_number(spark):
+    import random
+    rng = random.Random(5)
+    points = [(rng.uniform(-180, 180), rng.uniform(-90, 90)) for _ in range(4000)]
+    df = spark.createDataFrame([(a, b, a + 180 if a < 0 else a - 180, -b) for a, b in points], "a double, b double, c double, d double")
+    far = df.select(haversine_m("a", "b", "c", "d").alias("m"))
+    assert far.filter("isnan(m) or m < 20015000 or m > 20015200").count() == 0
+
+
+def test_date_dimension_of_nothing_is_empty(spark):
+    from layerkit.functions.calendar import date_dimension_for
+    assert date_dimension_for(spark.createDataFrame([], "d date"), "d").count() == 0
+    assert date_dimension_for(spark.createDataFrame([(None,)], "d date"), "d").count() == 0
