@@ -32,8 +32,8 @@ import regex
 from pyspark.sql import DataFrame
 
 from .scratch import bound_arrow, texts
-from .wordids import ID_PIECE, WordIds, process_cache, text_ids
-from .words import pieces, ragged
+from .wordids import ID_PIECE, WordIds, text_ids
+from .words import pieces, process_cache, ragged
 
 VOCABULARY = "word_bpe_49k.json"
 PAIR_TABLE = 2_000_000       # entries of the compatibility table of a worker, emptied when full

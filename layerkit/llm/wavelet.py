@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .bpe import default_vocabulary
 from .scratch import bound_arrow, texts, written
-from .wordids import ID_PIECE, WordIds, process_cache, text_ids
-from .words import pieces
+from .wordids import ID_PIECE, WordIds, text_ids
+from .words import pieces, process_cache
 
 MAGIC, CLOSING = b"WMTOKEN1", "WMTOKEN1END"
 HEADER = "<8sIIQII"

@@ -12,15 +12,13 @@ not grow with the vocabulary of the corpus.
 
 from __future__ import annotations
 
-import sys
-import types
 from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .words import ragged
+from .words import process_cache, ragged
 
 CACHE_WORDS = 600_000
 ID_PIECE = 6 << 20      # bytes of text encoded at once: the more, the fewer look-ups per word
@@ -31,11 +29,6 @@ _MARK = np.zeros(256, dtype=bool)
 _MARK[list(b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~')] = True
 
 
-def process_cache() -> dict:
-    """A dictionary that lives as long as the worker process."""
-    return sys.modules.setdefault("_layerkit_llm_process", types.ModuleType("_layerkit_llm_process")).__dict__
-
-
 class WordIds:
     def __init__(self, encode_words: Callable[[list[str]], Iterable[np.ndarray]], most: int = CACHE_WORDS):
         self.encode_words, self.most = encode_words, most

@@ -9,6 +9,8 @@ without building Python strings. Every array is bounded: rows are taken in piece
 from __future__ import annotations
 
 import hashlib
+import sys
+import types
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -25,13 +27,19 @@ _SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _BYTE_VALUE = np.random.default_rng(20240607).integers(1, _MASK, size=256, dtype=np.uint64)
 _BYTE_VALUE_LOWER = _BYTE_VALUE.copy()
 _BYTE_VALUE_LOWER[65:91] = _BYTE_VALUE[97:123]
-_powers: dict[tuple[int, int], np.ndarray] = {}
+
+
+def process_cache() -> dict:
+    """A dictionary that lives as long as the worker process. (Code sent by value brings its globals anew
+    with every task; large tables among them would pile up.)"""
+    return sys.modules.setdefault("_layerkit_llm_process", types.ModuleType("_layerkit_llm_process")).__dict__
 
 
 def _power_table(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64 (kept per process, grown by doubling)."""
+    _powers = process_cache().setdefault("powers", {})
     size = 1 << max(10, int(n).bit_length())
-    key = (base, size)
+    key = next((k for k in _powers if k[0] == base and k[1] >= size), (base, size))
     if key not in _powers:
         t = np.ones(size, dtype=np.uint64)
         filled, step = 1, np.uint64(base)
