@@ -36,7 +36,8 @@ from .wordids import ID_PIECE, WordIds, text_ids
 from .words import pieces, process_cache, ragged
 
 VOCABULARY = "word_bpe_49k.json"
-PAIR_TABLE = 2_000_000       # entries of the compatibility table of a worker, emptied when full
+WORDS = 250_000              # words whose ids a worker keeps
+PAIR_TABLE = 400_000       # entries of the compatibility table of a worker, emptied when full
 
 
 def _byte_symbols() -> dict[str, int]:
@@ -224,7 +225,7 @@ def tokenizer(path: str | None) -> tuple[BacktrackingBpe, WordIds]:
     path = path or default_vocabulary()
     if ("bpe", path) not in held:
         bpe = BacktrackingBpe(path)
-        held["bpe", path] = bpe, WordIds(lambda words: map(bpe.encode_word, words))
+        held["bpe", path] = bpe, WordIds(lambda words: map(bpe.encode_word, words), most=WORDS)
     return held["bpe", path]
 
 

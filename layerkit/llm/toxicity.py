@@ -27,7 +27,7 @@ from .scratch import bound_arrow, texts
 from .words import hash_spans, word_spans, pieces
 
 BUCKETS = 1 << 18
-SAMPLE = 3000            # labelled documents of each label used for training, at most
+SAMPLE = 2000            # labelled documents of each label used for training, at most
 LONGEST = 40
 LEAST_DOCUMENTS = 5      # a feature of fewer sampled documents gets no weight
 EPOCHS, RATE, SPARSITY, BIAS = 150, 0.1, 3e-4, -6.0
@@ -102,20 +102,22 @@ def learn(bags: list[tuple[int, np.ndarray, np.ndarray]]) -> np.ndarray:
     bag = np.repeat(np.arange(len(bags)), counts)
     base = np.concatenate(([0], np.cumsum(counts)))[:-1]
     sentence = np.concatenate([s + b for (_, _, s), b in zip(bags, base)]).astype(np.int32)
-    flat = np.concatenate([f for _, f, _ in bags])
     spread = np.zeros(BUCKETS, dtype=np.int32)
     for _, f, _ in bags:
         spread[np.unique(f)] += 1
     used = np.flatnonzero(spread >= LEAST_DOCUMENTS)
     place = np.full(BUCKETS, len(used), dtype=np.int32)        # the others share a place that stays 0
     place[used] = np.arange(len(used))
-    local = place[flat]
+    local = np.concatenate([place[f] for _, f, _ in bags])
+    bags = [None] * len(bags)                                  # what follows needs the arrays only
     share = np.where(labels == 1, (1 - CLEAN_SHARE) / labels.sum(), CLEAN_SHARE / (1 - labels).sum())
     w = np.zeros(len(used) + 2)
     w[-1] = BIAS
     m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, EPOCHS + 1):
-        z = np.bincount(sentence, weights=sum(w[local[:, j]] for j in range(3)), minlength=len(bag)) + w[-1]
+        z = np.full(len(bag), w[-1])
+        for j in range(3):
+            z += np.bincount(sentence, weights=w[local[:, j]], minlength=len(bag))
         z = np.clip(z, -30, 30)
         p = 1 / (1 + np.exp(-z))
         none = np.bincount(bag, weights=np.logaddexp(0, z), minlength=len(bags))     # -log of "no sentence"
@@ -124,7 +126,10 @@ def learn(bags: list[tuple[int, np.ndarray, np.ndarray]]) -> np.ndarray:
         slope = np.where(labels == 1, -np.exp(-none) / any_, 1.0)
         g = (share * slope)[bag] * p
         per_word = g[sentence]
-        gradient = np.append(sum(np.bincount(local[:, j], weights=per_word, minlength=len(used) + 1) for j in range(3)), g.sum())
+        gradient = np.zeros_like(w)
+        for j in range(3):
+            gradient[:-1] += np.bincount(local[:, j], weights=per_word, minlength=len(used) + 1)
+        gradient[-1] = g.sum()
         gradient[:-1] += SPARSITY
         m += 0.1 * (gradient - m)
         v += 0.001 * (gradient ** 2 - v)
@@ -146,8 +151,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
     rows = (bound_arrow(bags.select("doc_id", "toxic", "text"))
             .mapInArrow(_features, "doc_id long, toxic int, features binary, sentences binary").collect())
     rows.sort(key=lambda r: (r["doc_id"], bytes(r["features"])))
-    return learn([(r["toxic"], np.frombuffer(r["features"], np.int32).reshape(-1, 3), np.frombuffer(r["sentences"], np.int32))
-                  for r in rows if r["sentences"]])
+    bags = [(r["toxic"], np.frombuffer(r["features"], np.int32).reshape(-1, 3), np.frombuffer(r["sentences"], np.int32))
+            for r in rows if r["sentences"]]
+    del rows
+    return learn(bags)
 
 
 def _sentence_scores(data, offsets, weights):

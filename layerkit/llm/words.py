@@ -8,6 +8,7 @@ without building Python strings. Every array is bounded: rows are taken in piece
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import sys
 import types
@@ -18,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 
 PIECE = 1 << 21      # bytes of text handled at once (one longer text is a piece of its own)
-BLOCK = 1 << 20      # bytes hashed at once
+BLOCK = 1 << 19      # bytes hashed at once
 _MASK = (1 << 64) - 1
 _BYTE_BASE = 0x9E3779B97F4A7C15
 _WORD_BASE = 0xD6E8FEB86659FD93
@@ -89,8 +90,14 @@ class Words(NamedTuple):
     hashes: np.ndarray
 
 
+_task: list[bool] = []      # one entry once this task has begun
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and row offsets of a text column; null counts as empty."""
+    if not _task:
+        _task.append(True)
+        gc.collect()        # the globals of the worker's earlier tasks
     if column.null_count:
         column = column.fill_null("")
     if not pa.types.is_large_string(column.type):
