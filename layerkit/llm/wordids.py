@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 
 from .words import process_cache, ragged
 
-CACHE_WORDS = 600_000
+CACHE_WORDS = 800_000
 ID_PIECE = 6 << 20      # bytes of text encoded at once: the more, the fewer look-ups per word
 SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
 _ALNUM = np.zeros(256, dtype=bool)
@@ -56,13 +56,15 @@ class WordIds:
 
     def places(self, words: list[str]) -> np.ndarray:
         """Numbers of different words, which become known."""
-        new = [w for w in words if w not in self.place]
+        at = list(map(self.place.get, words))
+        new = [w for w, place in zip(words, at) if place is None]
         if new:
             if self.words + len(new) > self.most:
                 self.clear()
                 new = words
             self._add(new)
-        return np.fromiter(map(self.place.__getitem__, words), dtype=np.int64, count=len(words))
+            at = list(map(self.place.__getitem__, words))
+        return np.array(at, dtype=np.int64)
 
     def ids(self, words: list[str], index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of words[index[0]], words[index[1]], ..., number of ids of each)."""

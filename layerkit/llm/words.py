@@ -95,9 +95,6 @@ _task: list[bool] = []      # one entry once this task has begun
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and row offsets of a text column; null counts as empty."""
-    if not _task:
-        _task.append(True)
-        gc.collect()        # the globals of the worker's earlier tasks
     if column.null_count:
         column = column.fill_null("")
     if not pa.types.is_large_string(column.type):
@@ -157,6 +154,9 @@ def pieces(column: pa.Array, limit: int = PIECE) -> Iterator[tuple[int, np.ndarr
 
 
 def word_batches(column: pa.Array, lower: bool = False) -> Iterator[Words]:
+    if not _task:
+        _task.append(True)
+        gc.collect()        # the globals of the worker's earlier tasks
     for first, data, offsets in pieces(column):
         starts, ends = word_spans(data, offsets)
         bounds = np.searchsorted(starts, offsets)
