@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 
 from .words import process_cache, ragged
 
-CACHE_WORDS = 800_000
+CACHE_WORDS = 700_000
 ID_PIECE = 6 << 20      # bytes of text encoded at once: the more, the fewer look-ups per word
 SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
 _ALNUM = np.zeros(256, dtype=bool)
