@@ -10,12 +10,15 @@ Rows with a NULL key part cannot be matched by key; they are diffed as whole row
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import newest_marker, path_exists, write_marker
+
 ACTION = "_action"
 IS_UPDATE = "_is_update"
 
@@ -85,6 +88,42 @@ def apply_changes(prev: DataFrame, changes: DataFrame, keys: list[str]) -> DataF
     return prev.exceptAll(dels).unionByName(ins)
 
 
+class ChangeFeed:
+    """Change stream on an updated table: the change rows of a keyed ``SnapshotTable`` since the consumer's
+    stored offset, a table version. The offset moves when a batch of changes is applied; the version it
+    will move to is noted before, so a batch that failed half-way is offered again with the same end (the
+    consumer keys its output by that version), even if the table went on meanwhile."""
+
+    def __init__(self, table, offset_path: str, keys: list[str]):
+        self.table, self.path, self.keys = table, offset_path.rstrip("/"), keys
+
+    def pending(self) -> tuple[int, int] | None:
+        """Versions (after, up to) that wait for this consumer; None: nothing new (the gate)."""
+        spark = self.table.spark
+        done, begun = (newest_marker(spark, f"{self.path}/{step}") for step in ("done", "begun"))
+        end = begun if begun > done else self.table.refresh().current_version()
+        return (done, end) if end > done else None
+
+    def changes(self, after: int, upto: int) -> DataFrame:
+        curr = self.table.read(upto)
+        return snapshot_diff(self.table.read(after) if after else curr.limit(0), curr, self.keys)
+
+    def consume(self, apply: Callable[[DataFrame, int], object]):
+        """``apply(changes, version)`` for what is pending; its result, or None when nothing is."""
+        span = self.pending()
+        if span is None:
+            return None
+        self._note("begun", span[1])
+        result = apply(self.changes(*span), span[1])
+        self._note("done", span[1])
+        return result
+
+    def _note(self, step: str, version: int) -> None:
+        marker = f"{self.path}/{step}/{version}"
+        if not path_exists(self.table.spark, marker):
+            write_marker(self.table.spark, marker)
+
+
 def has_changes(df: DataFrame) -> bool:
     """``system$stream_has_data``: true when the change relation is not empty (stops at the first row)."""
     return not df.isEmpty()

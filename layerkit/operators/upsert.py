@@ -1,7 +1,7 @@
 """Keyed upsert (``merge into ... when matched then update ... when not matched then insert``).
 
-Plan: one full outer join of target and source on the key columns (a shuffle on the keys,
-sort-merge, AQE splits skewed partitions). Rows whose key has a NULL part can never match;
+Plan: one full outer join of target and source on the key columns (a shuffle on the keys, sort-merge).
+AQE splits no side of a full outer join; keys are unique on both sides, so none is hot. Rows whose key has a NULL part can never match;
 they bypass the join (a union) so they cannot pile up in the NULL-hash partition.
 Duplicate source keys either raise (default) or collapse to the latest row with a
 partially-aggregated ``max(struct(order..., values...))`` - no per-key window, so one hot

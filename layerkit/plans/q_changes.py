@@ -5,8 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.changes import ACTION, IS_UPDATE, insert_images, snapshot_diff
+from ..operators.changes import ACTION, IS_UPDATE, ChangeFeed, insert_images, snapshot_diff
 from ..operators.history import current_rows, validity_intervals
+from ..session import scratch_path
+from ..sources.snapshot import AppendTable, SnapshotTable
 from ..sources.tables import table
 from .registry import query
 
@@ -60,6 +62,27 @@ def cdc_insert_images(spark, sf):
     return insert_images(snapshot_diff(prev, curr, ["c_custkey"]))
 
 
+@query("change_feed_offset", covers="T4 T5 T7", sql=f"""
+select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 'INSERT' as {ACTION}, false as {IS_UPDATE}, 1 as table_version
+from customer
+union all
+select *, 2 from ({DIFF_SQL})""")
+def change_feed_offset(spark, sf):
+    """Change stream on an updated table, read from the consumer's stored offset: the first load, a run
+    without news (the gate: nothing is applied), then the edited version."""
+    area = scratch_path(spark, "change_feed")
+    customers, seen = SnapshotTable(spark, f"{area}/customer_tbl"), AppendTable(spark, f"{area}/changes_tbl")
+    feed = ChangeFeed(customers, f"{area}/_offset", ["c_custkey"])
+    apply = lambda changes, version: seen.append(changes.withColumn("table_version", F.lit(version)), batch_id=version)
+    prev, curr = customer_snapshots(spark, sf)
+    customers.publish(prev)
+    feed.consume(apply)
+    feed.consume(apply)
+    customers.publish(curr)
+    feed.consume(apply)
+    return seen.read()
+
+
 def order_versions(spark, sf):
     """Each order is a new version of its customer's record, valid from the order date;
     equal dates are ordered by the order key (the change sequence)."""
@@ -95,17 +118,12 @@ INITIAL_FROM, CHANGE_FROM = "1995-01-01", "1998-01-01"
 
 def product_history(spark, sf):
     p = table(spark, sf, "part").select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"),
-                                        F.col("p_type").alias("category"), F.col("p_retailprice").alias("price"))
-    v1 = p.withColumn("valid_from", F.lit(INITIAL_FROM).cast("date")).withColumn("seq", F.lit(1))
-    part = table(spark, sf, "part").select(F.col("p_partkey").alias("product_id"), "p_size")
-    edited = (v1.join(part, "product_id")
-              .withColumn("category", F.when(F.col("p_size") >= 45, F.concat(F.lit("PROMO "), F.col("category")))
+                                        F.col("p_type").alias("category"), F.col("p_retailprice").alias("price"), "p_size")
+    edited = p.withColumn("category", F.when(F.col("p_size") >= 45, F.concat(F.lit("PROMO "), F.col("category")))
                           .otherwise(F.col("category")))
-              .drop("p_size"))
-    changes = snapshot_diff(v1.drop("valid_from", "seq"), edited.drop("valid_from", "seq"), ["product_id"])
-    new_versions = (insert_images(changes).withColumn("valid_from", F.lit(CHANGE_FROM).cast("date"))
-                    .withColumn("seq", F.lit(2)))
-    return v1.unionByName(new_versions)
+    new_versions = insert_images(snapshot_diff(p.drop("p_size"), edited.drop("p_size"), ["product_id"]))
+    version = lambda df, since, seq: df.withColumn("valid_from", F.lit(since).cast("date")).withColumn("seq", F.lit(seq))
+    return version(p.drop("p_size"), INITIAL_FROM, 1).unionByName(version(new_versions, CHANGE_FROM, 2))
 
 
 @query("current_version_join", covers="J5 W3 A8 T6", sql=f"""

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from ..operators.upsert import latest_per_key, load_with_status, observed_upsert, upsert
 from ..session import scratch_path
 from ..sources.partitioned import PartitionedTable
-from ..sources.snapshot import SnapshotTable
+from ..sources.snapshot import AppendTable, SnapshotTable
 from ..sources.stage import FileFormat, create_external_view, land, read_stage, stage_listing
 from ..sources.tables import table
 from ..streaming.ingest import FileIngest
@@ -139,6 +139,33 @@ def stage_listing_q(spark, sf):
     return stage_listing(spark, f"{area}/stage")
 
 
+@query("named_table_append", covers="S22", sql=f"select {ORDERS_COLS_SQL} from orders")
+def named_table_append(spark, sf):
+    """A frame saved as a named table: created, replaced (overwrite), then extended (append)."""
+    area = scratch_path(spark, "named_table")
+    name = "daily_orders_" + area.rsplit("-", 1)[-1]
+    rows, split = _orders_rows(spark, sf), F.lit(D.BATCH_SPLIT).cast("date")
+    early, late = rows.filter(F.col("order_date") < split), rows.filter(F.col("order_date") >= split)
+    for mode, part in (("error", late), ("overwrite", early), ("append", late)):
+        part.write.mode(mode).option("path", f"{area}/{name}").saveAsTable(name)
+    return spark.table(name)
+
+
+@query("insert_literal_rows", covers="S16 S17 S18", sql="""
+select n_nationkey as nation_id, n_name as nation_name, 'table' as origin from nation
+union all select -1, 'UNKNOWN', 'literal' union all select -2, null, 'literal' union all select -3, 'SEA', 'local'""")
+def insert_literal_rows(spark, sf):
+    """A dimension copied from a table, with special members inserted as literal rows and as local rows."""
+    nations = AppendTable(spark, f"{scratch_path(spark, 'literal_rows')}/nation_tbl")
+    copied = table(spark, sf, "nation").select(F.col("n_nationkey").alias("nation_id"), F.col("n_name").alias("nation_name"),
+                                               F.lit("table").alias("origin"))
+    nations.append(copied, batch_id=0)
+    nations.append(spark.sql("select * from values (-1, 'UNKNOWN', 'literal'), (-2, null, 'literal') as t(nation_id, nation_name, origin)"),
+                   batch_id=1)
+    nations.append(spark.createDataFrame([(-3, "SEA", "local")], copied.schema), batch_id=2)
+    return nations.read()
+
+
 # ----------------------------------------------------------------------------- upserts
 ORDER_LINE_KEYS = ["customer", "delivery_date", "baked_good_type"]
 LINE_SCHEMA = T.StructType([
@@ -264,3 +291,44 @@ def stage_folders(spark, sf):
     listing = stage_listing(spark, f"{area}/stage")
     return (listing.filter(F.col("name").endswith(".csv"))
             .select(F.regexp_extract("name", r"/(status=[^/]+)/[^/]+$", 1).alias("folder")).distinct())
+
+
+_DATED_SQL = """select o_orderkey as order_id, case when o_orderstatus <> 'P' then cast(o_orderdate as date) end as order_date,
+       o_totalprice as total_price, o_orderpriority from orders"""
+
+
+@query("merge_null_keys", covers="J8", sql=f"""with o as ({_DATED_SQL})
+select order_id, order_date, case when o_orderpriority = '1-URGENT' and order_date is not null then total_price + 100.0
+                                  else total_price end as total_price from o
+union all
+select order_id, order_date, total_price + 100.0 from o where o_orderpriority = '1-URGENT' and order_date is null""")
+def merge_null_keys(spark, sf):
+    """Merge into a partitioned table where part of the keys has no date: a row whose key has a NULL never
+    matches, so it is inserted once more, and what the NULL partition held stays."""
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.when(F.col("o_orderstatus") != "P", F.to_date("o_orderdate")).alias("order_date"),
+        F.col("o_totalprice").alias("total_price"), "o_orderpriority")
+    target = PartitionedTable(spark, f"{scratch_path(spark, 'merge_null_keys')}/orders_tbl", "order_month",
+                              F.date_format("order_date", "yyyy-MM"))
+    target.publish(orders.drop("o_orderpriority"))
+    urgent = (orders.filter(F.col("o_orderpriority") == "1-URGENT").drop("o_orderpriority")
+              .withColumn("total_price", F.col("total_price") + 100.0))
+    target.merge(urgent, ["order_id", "order_date"], ["total_price"])
+    return target.read().drop("order_month")
+
+
+@query("update_moves_partition", covers="P15 J8", sql="""
+select o_orderkey as order_id, case when o_orderstatus = 'P' then 'done' else o_orderstatus end as status,
+       case when o_orderstatus = 'P' then o_totalprice + 1.0 else o_totalprice end as total_price from orders""")
+def update_moves_partition(spark, sf):
+    """An update of the partitioning column moves rows to another partition; a merge by the new key then
+    finds them there."""
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status"),
+                                               F.col("o_totalprice").alias("total_price"))
+    target = PartitionedTable(spark, f"{scratch_path(spark, 'update_moves')}/orders_tbl", "state", F.col("status"))
+    target.publish(orders)
+    target.update_where(F.col("status") == "P", {"status": F.lit("done")})
+    moved = (orders.filter(F.col("status") == "P").withColumn("status", F.lit("done"))
+             .withColumn("total_price", F.col("total_price") + 1.0))
+    target.merge(moved, ["order_id", "status"], ["total_price"])
+    return target.read().drop("state")

@@ -16,10 +16,10 @@ from ..sources.partitioned import PartitionedTable
 from ..sources.snapshot import AppendTable, SnapshotTable
 from ..sources.stage import FileFormat, land
 from ..sources.tables import table
-from ..streaming.incremental import change_stream, consume, incremental_aggregate, incremental_map
+from ..streaming.incremental import RestatedTable, change_stream, consume, incremental_aggregate, incremental_map
 from ..streaming.ingest import FileIngest, stream_stage
 from . import domain as D
-from .q_changes import CHANGE_FROM, INITIAL_FROM
+from .q_changes import CHANGE_FROM, INITIAL_FROM, product_history
 from .q_relational import STAR_SQL, normalize_orders, partner_dim, product_dim
 from .q_semistructured import SERVICE_ITEMS_SQL, land_json
 from .registry import query
@@ -111,15 +111,23 @@ def _staged_lines_in_two_batches(spark, sf, path):
 
 @query("dynamic_join", covers="T9 J9 J2", sql=STAR_SQL)
 def dynamic_join(spark, sf):
-    """Dynamic table over the star join: each batch of new staging rows is joined with the
-    dimensions as they are at that batch (re-read per batch) and appended."""
+    """Dynamic table over the star join. The products of large sizes are renamed between the deliveries:
+    the first batch is joined with the earlier names, then restated with the current ones."""
     area = scratch_path(spark, "dynamic_join")
-    stg_path, target = f"{area}/stg_lines", AppendTable(spark, f"{area}/orders_tbl")
-    for land_batch in _staged_lines_in_two_batches(spark, sf, stg_path):
+    stg_path = f"{area}/stg_lines"
+    partners, products = SnapshotTable(spark, f"{area}/partner_tbl"), SnapshotTable(spark, f"{area}/product_tbl")
+    target = RestatedTable(spark, f"{area}/orders_tbl", lambda df, dims: normalize_orders(df, dims["partner"], dims["product"]),
+                           {"partner": partners, "product": products})
+    renamed = table(spark, sf, "part").filter("p_size >= 45").select(F.col("p_partkey").alias("product_id"))
+    current = product_dim(spark, sf)
+    earlier = current.join(renamed.withColumn("renamed", F.lit(True)), "product_id", "left").select(
+        F.when(F.col("renamed"), F.concat(F.lit("draft "), "product_name")).otherwise(F.col("product_name")).alias("product_name"),
+        "product_id")
+    partners.publish(partner_dim(spark, sf))
+    for land_batch, names in zip(_staged_lines_in_two_batches(spark, sf, stg_path), (earlier, current)):
+        products.publish(names)
         land_batch()
-        incremental_map(change_stream(spark, stg_path, LINE_TABLE_SCHEMA),
-                        lambda df: normalize_orders(df, partner_dim(spark, sf), product_dim(spark, sf)),
-                        target, f"{area}/_ckpt")
+        target.refresh(change_stream(spark, stg_path, LINE_TABLE_SCHEMA))
     return target.read()
 
 
@@ -130,20 +138,22 @@ def summary_view(summary, products):
             .agg(F.sum("total_quantity").alias("total_quantity")))
 
 
-def product_versions(spark, sf):
-    return table(spark, sf, "part").select(
-        F.col("p_partkey").alias("product_id"), F.concat("p_name", F.lit(" #"), "p_partkey").alias("product_name"),
-        F.col("p_type").alias("category"))
+def current_products(spark, sf):
+    """Open versions of the product history: id, unique name, category."""
+    history = validity_intervals(product_history(spark, sf), ["product_id"], "valid_from", ["seq"])
+    return current_rows(history, from_col="valid_from").select(
+        "product_id", F.concat("product_name", F.lit(" #"), "product_id").alias("product_name"), "category")
 
 
 DYN_AGG_SQL = f"""with o as ({STAR_SQL}),
-cur as (select p_partkey as product_id, p_name || ' #' || p_partkey as product_name, p_type as category from part)
+cur as (select p_partkey as product_id, p_name || ' #' || p_partkey as product_name,
+               case when p_size >= 45 then 'PROMO ' || p_type else p_type end as category from part)
 select o.delivery_date, cur.product_name, cur.category, cast(sum(o.quantity) as bigint) as total_quantity
 from o left join cur on o.product_id = cur.product_id
 group by all"""
 
 
-@query("dynamic_aggregate", covers="T10 A9 J5", sql=DYN_AGG_SQL)
+@query("dynamic_aggregate", covers="T10 A9 J5 W3", sql=DYN_AGG_SQL)
 def dynamic_aggregate(spark, sf):
     """Dynamic aggregate: per batch of new warehouse order rows, delta sums by (date, product)
     are merged additively; product names/categories of the current versions join at read."""
@@ -161,7 +171,7 @@ def dynamic_aggregate(spark, sf):
         incremental_aggregate(orders_tbl.stream(_ORDERS_TBL_SCHEMA),
                               lambda df: df.groupBy(*keys).agg(F.sum("quantity").alias("total_quantity")),
                               keys, ["total_quantity"], summary, f"{area}/_ckpt/agg")
-    return summary_view(summary.read().drop("delivery_month"), product_versions(spark, sf))
+    return summary_view(summary.read().drop("delivery_month"), current_products(spark, sf))
 
 
 _ORDERS_TBL_SCHEMA = T.StructType([

@@ -112,6 +112,13 @@ def read_marker(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def newest_marker(spark: SparkSession, folder: str) -> int:
+    """The largest number that names a marker in the folder (0: none)."""
+    p, fs = _hadoop(spark, folder)
+    names = [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+    return max((int(n) for n in names if n.isdigit()), default=0)
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Rename a file or folder; the target must not exist."""
     p, fs = _hadoop(spark, source)

@@ -131,6 +131,9 @@ class AppendTable:
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.root).drop("batch_id")
 
+    def batch(self, batch_id: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/batch_id={batch_id:010d}")
+
     def stream(self, schema: T.StructType) -> DataFrame:
         """Change stream: rows of batches written since the consumer's checkpoint."""
         return self.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000).parquet(self.root)

@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.snapshot import SnapshotTable
+from ..session import path_exists, write_marker
+from ..sources.snapshot import AppendTable, SnapshotTable
 from .ingest import _run, _start, rows_in
 
 
@@ -65,6 +66,44 @@ def incremental_map(stream: DataFrame, transform: Callable[[DataFrame], DataFram
     return rep
 
 
+class RestatedTable:
+    """Dynamic table over ``transform(rows, dimensions)`` that always shows the newest dimensions.
+
+    New rows are kept by batch and transformed once with the dimensions of the moment. When a dimension has
+    a new version, the refresh transforms all kept rows again and publishes them as a new version.
+    The marker of a combination of dimension versions is written last, so a refresh that failed is
+    repeated; batches are keyed by their id on both sides, so none is added twice."""
+
+    def __init__(self, spark: SparkSession, root: str, transform: Callable[[DataFrame, dict[str, DataFrame]], DataFrame],
+                 dimensions: dict[str, SnapshotTable]):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.transform, self.dimensions = transform, dimensions
+        self.rows = AppendTable(spark, f"{self.root}/rows")
+        self.table = SnapshotTable(spark, f"{self.root}/table")
+
+    def refresh(self, stream: DataFrame) -> dict:
+        """Take in what is new; ``restated`` tells whether older rows were transformed again."""
+        versions = {n: d.refresh().current_version() for n, d in sorted(self.dimensions.items())}
+        shown = f"{self.root}/shown/" + ",".join(f"{n}={v}" for n, v in versions.items())
+        known = path_exists(self.spark, shown)
+        restate = self.table.exists() and not known
+        of = lambda rows: self.transform(rows, {n: d.read(versions[n]) for n, d in self.dimensions.items()})
+
+        def on_batch(df: DataFrame, batch_id: int) -> None:
+            self.rows.append(df, batch_id=batch_id)
+            if not restate:
+                self.table.append(of(self.rows.batch(batch_id)), batch_id=batch_id)
+        report = consume(stream, on_batch, f"{self.root}/_ckpt")
+        if restate:
+            self.table.publish(of(self.rows.read()))
+        if not known:
+            write_marker(self.spark, shown)
+        return report | {"restated": restate}
+
+    def read(self) -> DataFrame:
+        return self.table.read()
+
+
 def additive_merge(current: DataFrame | None, delta: DataFrame, keys: list[str], sum_cols: list[str]) -> DataFrame:
     """Summary after adding ``delta``: sums are additive, so union + re-aggregate by key."""
     both = delta if current is None else current.select(*keys, *sum_cols).unionByName(delta.select(*keys, *sum_cols))
