@@ -4,25 +4,30 @@ Base spans (leftmost, non-overlapping per kind): e-mail addresses, IPv4 addresse
 pass Luhn, phone numbers. Positions are code points, end exclusive. The patterns use possessive
 quantifiers and anchors that keep their meaning but make the search linear in the text.
 
-Information-theoretic sanitisation: a found value is a protected entity. The words that stand near an
-entity are its context. With document frequencies over the whole corpus,
+Information-theoretic sanitisation: a found value is a protected entity, and so is each class it belongs
+to: its kind, the domain of an address, the /24 network of an IP, the first six digits of a card, the first four
+of a phone number. The words of a document (runs of letters, marks and digits, two or more, lower case) stand
+together with all entities of the document. With frequencies over all rows,
 
-    disclosure(term, entity) = PMI(term, entity) / IC(entity)
-                             = (log N - log df(entity) + log co - log df(term)) / (log N - log df(entity)),
+    disclosure(word, entity) = PMI(word, entity) / IC(entity)
+                             = (log N - log df(entity) + log co - log df(word)) / (log N - log df(entity)),
 
-the share of the information about the entity that the term gives away (1: the term occurs only
-where the entity does). A term that stands near the entity in at least ``MIN_SUPPORT`` documents with
-a disclosure of at least ``THRESHOLD`` is a span of kind ``term`` wherever it stands near that entity; one
-of at least ``REMOVE`` is removed by :func:`sanitise`, a weaker one and every base span is generalised
-to the name of its kind.
+the share of the information about the entity that the word gives away (1: the word occurs only
+where the entity does). A word with a disclosure of at least ``THRESHOLD`` is a span of kind ``term`` wherever it
+stands in a document of that entity, when chance explains their meeting with a probability of at most ``ALPHA``
+(Hoeffding's bound on the hypergeometric tail, :func:`_evidence`; no least number of documents: a word and a value
+that share their only document meet by chance with 1 / N). One of at least ``REMOVE`` is removed by
+:func:`sanitise`, a weaker one and every base span is generalised to the name of its kind.
 
 Defined results: a null text counts as empty and has no spans; rows that repeat a doc_id are judged
-each by its own text and count as one document in the statistics; spans of a kind never overlap,
+each by its own text, and each counts in the statistics; spans of a kind never overlap,
 and a term that overlaps a base span is left to the base span.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,9 +41,11 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 HINTS = {"email": "@", "ip": ".", "phone": "+"}     # without this character there is no match
-CONTEXT = 80            # code points on each side of an entity
-MIN_SUPPORT, THRESHOLD, REMOVE = 3, 0.9, 0.98
+ALPHA, THRESHOLD, REMOVE = 1e-3, 0.9, 0.98
+WORD, OTHER = r"[\p{L}\p{M}\p{N}]++", r"[^\p{L}\p{M}\p{N}]++"
+OFTEN = 100             # keys of more than 1 / OFTEN of the rows are few: their counts are broadcast
 _SPAN = "struct<start:int,end:int>"
+_TERMS = "array<struct<start:int,end:int,disclosure:double>>"
 
 
 def _luhn(number: Column) -> Column:
@@ -90,74 +97,105 @@ def find_base(docs: DataFrame) -> DataFrame:
     return t.select("doc_id", "text", *[base_spans(F.col("text"), k).alias(k) for k in KINDS[:4]])
 
 
-def _words_near(text: Column, start: Column, end: Column, context: int) -> Column:
-    """Words (letters only, lower case) wholly inside the context, with their places: the two sides are
-    split at the letters' runs, and lengths are summed along them."""
-    def side(lo: Column, hi: Column) -> Column:
-        piece = F.substring(text, lo + 1, hi - lo)
-        runs = F.regexp_extract_all(piece, F.lit(r"\p{L}++|\P{L}++"), F.lit(0))
-        places = F.aggregate(
-            runs, F.struct(lo.alias("at"), F.array().cast("array<struct<word:string,start:int,end:int>>").alias("words")),
-            lambda acc, r: F.struct((acc["at"] + F.length(r)).alias("at"), F.concat(acc["words"], F.array(F.struct(
-                F.lower(r).alias("word"), acc["at"].alias("start"), (acc["at"] + F.length(r)).alias("end")))).alias("words")),
-            lambda acc: acc["words"])
-        # a run cut by the border of the context is not a whole word
-        return F.filter(places, lambda w: w["word"].rlike(r"^\p{L}{3,}$")
-                        & ((w["start"] > lo) | (lo == 0) | (lo == end)) & ((w["end"] < hi) | (hi == F.length(text)) | (hi == start)))
-
-    left = side(F.greatest(start - context, F.lit(0)), start)
-    right = side(end, F.least(end + context, F.length(text)))
-    return F.concat(left, right)
-
-
-def with_contexts(base: DataFrame, context: int = CONTEXT) -> DataFrame:
-    """doc_id, row (fingerprint of the text), the base arrays and ``near``: an entity and the words near it."""
-    spans = F.concat(*[_of_kind(k, lambda kind, s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-                       for k in KINDS[:4]])
+def _entities(kind: str, text: Column, span: Column) -> Column:
+    """The value of a span and its classes."""
+    value = F.lower(F.substring(text, span["start"] + 1, span["end"] - span["start"]))
+    digits = F.regexp_replace(value, "[^0-9]", "")
+    value, group = {"email": (value, F.substring_index(value, "@", -1)), "ip": (value, F.substring_index(value, ".", 3)),
+                    "card": (digits, F.substring(digits, 1, 6)), "phone": (digits, F.substring(digits, 1, 4))}[kind]
+    return F.array(F.lit(f"{kind}:"), F.concat(F.lit(f"{kind}-class:"), group), F.concat(F.lit(f"{kind}:"), value))
+
+
+def with_entities(base: DataFrame) -> DataFrame:
+    """doc_id, row (fingerprint of the text), key (both), the base arrays, ``entities`` and, where there are any, the text."""
     text = F.col("text")
-    near = F.transform(spans, lambda s: F.struct(
-        F.concat_ws(":", s["kind"], F.lower(F.substring(text, s["start"] + 1, s["end"] - s["start"]))).alias("entity"),
-        _words_near(text, s["start"], s["end"], context).alias("words")))
-    return base.select("doc_id", F.xxhash64("text").alias("row"), *KINDS[:4], near.alias("near"))
+    found = F.array_distinct(F.flatten(F.concat(*[_of_kind(k, lambda kind, s: _entities(kind, text, s)) for k in KINDS[:4]])))
+    row = F.xxhash64("text")
+    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), row.cast("string"))
+    return (base.select("doc_id", row.alias("row"), key.alias("key"), *KINDS[:4], found.alias("entities"), "text")
+            .withColumn("text", F.when(F.size("entities") > 0, F.col("text"))))
 
 
-def contexts(found: DataFrame) -> DataFrame:
-    """One row per word near an entity: row, doc_id, entity, word, start, end."""
-    return (found.select("row", "doc_id", F.explode("near").alias("n")).select("row", "doc_id", "n.entity", F.explode("n.words").alias("w"))
-            .select("row", "doc_id", "entity", "w.word", "w.start", "w.end"))
+def _words(text: Column) -> Column:
+    """The different words of a text."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))
 
 
-def disclosing_terms(docs: DataFrame, near: DataFrame, min_support: int = MIN_SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
-    """(entity, word, disclosure) of the pairs over both bounds; statistics over all documents."""
-    together = (near.groupBy("entity", "word").agg(F.count_distinct("doc_id").alias("co")).where(F.col("co") >= min_support))
-    together = written(together, "op4-together")
-    entities = (near.select("entity", "doc_id").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity")))
-    words = F.array_distinct(F.split(F.lower("text"), r"\P{L}+"))
-    frequency = (texts(docs).select("doc_id", F.explode(words).alias("word")).where(F.length("word") >= 3)
-                 .groupBy("word").agg(F.count(F.lit(1)).alias("df_word")))
-    log_n = F.log(F.lit(float(max(1, docs.count()))))
-    information = log_n - F.log(F.col("df_entity").cast("double"))
-    pmi = information + F.log(F.col("co").cast("double")) - F.log(F.col("df_word").cast("double"))
-    pairs = (together.join(entities, "entity").join(frequency, "word")
-             .withColumn("disclosure", F.when(information > 0, pmi / information).otherwise(F.lit(0.0))))
-    return pairs.where(F.col("disclosure") >= threshold).select("entity", "word", "disclosure")
+def _with_counts(rows: DataFrame, counts: DataFrame, key: str, df: str, least: float) -> DataFrame:
+    """``rows`` joined with ``counts`` by ``key``; the few keys of ``least`` documents or more make no large task."""
+    often = F.broadcast(counts.where(F.col(df) >= least))
+    rest = rows.join(F.broadcast(counts.where(F.col(df) >= least).select(key).distinct()), key, "left_anti")
+    return rows.join(often, key).unionByName(rest.join(counts.where(F.col(df) < least), key))
+
+
+def _evidence(co: Column, drawn: Column, marked: Column, n: Column) -> Column:
+    """-log of a bound on the chance that of ``drawn`` documents ``co`` or more are among ``marked`` of ``n``; 0 if
+    fewer are than chance would give."""
+    share, chance = co / drawn, marked / n
+    none = F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - chance))).otherwise(F.lit(0.0))
+    return F.when(share > chance, drawn * (share * F.log(share / chance) + none)).otherwise(F.lit(0.0))
 
 
-def find_personal_data(docs: DataFrame, context: int = CONTEXT, min_support: int = MIN_SUPPORT,
-                       threshold: float = THRESHOLD) -> DataFrame:
+def entity_rows(base: DataFrame, n: int) -> DataFrame:
+    """(key, entity, copies, df_entity): the entities of each text, the rows that repeat it, the rows of the entity."""
+    members = base.select("key", F.explode("entities").alias("entity")).groupBy("key", "entity").agg(F.count(F.lit(1)).alias("copies"))
+    counts = written(base.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity")), "op4-entities")
+    return _with_counts(members, counts, "entity", "df_entity", max(2.0, n / OFTEN))
+
+
+def entity_words(base: DataFrame) -> DataFrame:
+    """(key, word) of the texts that have entities."""
+    found = base.where("text is not null").select("key", F.explode(_words(F.col("text"))).alias("word"))
+    return found.where(F.length("word") >= 2).distinct()
+
+
+def disclosing_terms(docs: DataFrame, members: DataFrame, words: DataFrame, n: int, threshold: float = THRESHOLD,
+                     alpha: float = ALPHA) -> DataFrame:
+    """(entity, word, df_word, disclosure) of the pairs over both bounds; statistics over all rows."""
+    frequency = (texts(docs).select(F.explode(_words(F.col("text"))).alias("word")).where(F.length("word") >= 2)
+                 .groupBy("word").agg(F.count(F.lit(1)).alias("df_word")))
+    frequency = written(frequency, "op4-frequency")
+    rows, e, w, co = F.lit(float(n)), F.col("df_entity").cast("double"), F.col("df_word").cast("double"), F.col("co").cast("double")
+    counted = _with_counts(words, frequency, "word", "df_word", max(2.0, n / OFTEN))
+    # they meet in df_entity rows at most: a word of more rows than this stays below the threshold
+    able = (e < rows) & (w <= e * F.pow(rows / e, F.lit(1.0 - threshold)) * 1.000001)
+    pairs = (counted.join(members, "key").where(able).groupBy("entity", "word")
+             .agg(F.sum("copies").alias("co"), F.first("df_word").alias("df_word"), F.first("df_entity").alias("df_entity")))
+    disclosure = F.log(rows * co / (e * w)) / F.log(rows / e)
+    evidence = F.greatest(_evidence(co, w, e, rows), _evidence(co, e, w, rows))
+    return (pairs.withColumn("disclosure", disclosure).where((F.col("disclosure") >= threshold) & (evidence >= -math.log(alpha) - 1e-9))
+            .select("entity", "word", "df_word", "disclosure"))
+
+
+def _term_spans(text: Column, terms: Column) -> Column:
+    """(start, end, disclosure) of the words of ``text`` that ``terms`` (word -> disclosure) names: lengths are summed
+    along the runs of words and others."""
+    runs = F.regexp_extract_all(text, F.lit(f"{WORD}|{OTHER}"), F.lit(0))
+
+    def step(acc: Column, run: Column) -> Column:
+        end, known = acc["at"] + F.length(run), F.try_element_at(terms, F.lower(run))
+        span = F.struct(acc["at"].alias("start"), end.alias("end"), known.alias("disclosure"))
+        return F.struct(end.alias("at"), F.when(known.isNotNull(), F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
+
+    first = F.struct(F.lit(0).alias("at"), F.array().cast(_TERMS).alias("spans"))
+    return F.aggregate(runs, first, step, lambda acc: acc["spans"])
+
+
+def find_personal_data(docs: DataFrame, threshold: float = THRESHOLD, alpha: float = ALPHA) -> DataFrame:
     """doc_id, row (fingerprint of the text), the four base arrays and ``term``: array of (start, end,
-    disclosure). Texts are searched once; what is found is small."""
-    base = written(with_contexts(find_base(docs), context), "op4-base")
-    near = contexts(base)
-    terms = written(disclosing_terms(docs, near, min_support, threshold), "op4-terms")
-    hits = (near.join(terms, ["entity", "word"])
-            .groupBy("doc_id", "row", "start", "end").agg(F.max("disclosure").alias("disclosure"))
-            .groupBy("doc_id", "row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "disclosure"))).alias("near_terms")))
-    hits = hits.select(F.col("doc_id").alias("h_doc"), F.col("row").alias("h_row"), "near_terms")
-    b = base.join(hits, F.col("doc_id").eqNullSafe(F.col("h_doc")) & (F.col("row") == F.col("h_row")), "left")
+    disclosure). Texts are searched once for base spans and once for words."""
+    base = written(with_entities(find_base(docs)), "op4-base")
+    n = max(1, base.count())
+    members = written(entity_rows(base, n), "op4-members")
+    words = written(entity_words(base), "op4-words")
+    terms = written(disclosing_terms(docs, members, words, n, threshold, alpha), "op4-terms")
+    hits = (_with_counts(words, terms, "word", "df_word", max(2.0, n / OFTEN)).join(members, ["key", "entity"])
+            .groupBy("key", "word").agg(F.max("disclosure").alias("disclosure"))
+            .groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("word", "disclosure"))).alias("terms")))
+    b = base.join(hits, "key", "left")
     taken = F.concat(*[F.col(k) for k in KINDS[:4]])
-    free = F.filter(F.coalesce("near_terms", F.array().cast("array<struct<start:int,end:int,disclosure:double>>")),
-                    lambda t: ~F.exists(taken, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
+    spans = F.when(F.col("terms").isNotNull(), _term_spans(F.col("text"), F.col("terms"))).otherwise(F.array().cast(_TERMS))
+    free = F.filter(spans, lambda t: ~F.exists(taken, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
     return b.select("doc_id", "row", *KINDS[:4], free.alias("term"))
 
 

@@ -173,6 +173,21 @@ def test_op4_disclosing_terms(spark):
     assert "[EMAIL]" in clean[0][0] and clean[100][0] == dict(docs)[100]
 
 
+def test_op4_terms_of_rare_values_and_classes(spark):
+    rng = random.Random(16)
+    docs = [(i, prose(rng, 40)) for i in range(1500)]
+    far = prose(rng, 60)                                     # more than 80 code points
+    docs.append((2000, f"staff K7731 {far} mail one@solo.example.net {far}"))                   # a value in one document
+    docs += [(2001 + i, f"QX {far} call +49 30 55512{i:02} {prose(rng, 5)}") for i in range(6)]    # a class; 2 letters
+    found = pii.find_personal_data(frame(spark, docs))
+    got = by_id(pii.report(found), "spans", "n_term")
+    text = dict(docs)
+    at = text[2000].index("K7731")
+    assert f"term:{at}:{at + 5}" in got[2000][0].split(",")
+    assert all("term:0:2" in got[2001 + i][0].split(",") for i in range(6))
+    assert all(got[i][1] == 0 for i in range(1500))
+
+
 def test_op5_targets_and_positions(spark):
     rng = random.Random(8)
     rows = [(i, prose(rng, rng.randrange(1, 40)), "en", rng.choice(["a"] * 30 + ["b", "c", "d", None, "", "é"]), 0) for i in range(3000)]
