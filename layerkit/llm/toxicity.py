@@ -6,8 +6,10 @@ its features)``; its words, and the first four and five bytes of its words, are
 are labelled; the gradient of the document's likelihood shares a toxic label among the sentences by their
 own probability, so training also finds which sentences offend (:func:`offending_sentences`).
 
-Labels are learned from rows whose ``crc32(doc_id) mod 5`` is not 0. Training uses a bounded sample of at most
-``SAMPLE`` documents of each label, in order of a hash of the doc_id; scoring covers every whole text.
+Labels are learned from rows whose ``crc32(doc_id) mod 5`` is not 0. Training uses a sample of at most
+``SAMPLE`` documents of each label, in order of a hash of the doc_id, each text of a doc_id once; the documents of
+each feature are counted in Spark and only words with a feature of ``LEAST_DOCUMENTS`` or more come to the driver
+(16 bytes each: rows are bounded, bytes grow with the sampled texts). Scoring covers every whole text.
 
 Sentences end at ``. ! ?``, at a line break, or after ``LONGEST`` words.
 
@@ -23,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import bound_arrow, texts
+from .scratch import bound_arrow, texts, written
 from .words import hash_spans, word_spans, pieces
 
 BUCKETS = 1 << 18
-SAMPLE = 2000            # labelled documents of each label used for training, at most
+SAMPLE = 3000            # labelled documents of each label used for training, at most
 LONGEST = 40
 LEAST_DOCUMENTS = 5      # a feature of fewer sampled documents gets no weight
 EPOCHS, RATE, SPARSITY, BIAS = 150, 0.1, 3e-4, -6.0
@@ -87,28 +89,52 @@ def _features(batches):
                 names=["doc_id", "toxic", "features", "sentences"])
 
 
-def learn(bags: list[tuple[int, np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Weights (the last one is the bias) from (label, features [words, 3], sentence of each word) of documents.
+def _spread(batches):
+    """Documents of each feature, summed over the batches of a task."""
+    spread = np.zeros(BUCKETS, dtype=np.int64)
+    for batch in batches:
+        for f in batch.column("features"):
+            spread[np.unique(np.frombuffer(f.as_buffer(), np.int32))] += 1
+    used = np.flatnonzero(spread)
+    yield pa.record_batch([pa.array(used), pa.array(spread[used])], names=["feature", "documents"])
+
+
+def _telling(used: np.ndarray):
+    """Bags without the words that have no used feature; features become their places in ``used``."""
+    def run(batches):
+        place = np.full(BUCKETS, len(used), dtype=np.int32)        # the others share a place that stays 0
+        place[used] = np.arange(len(used))
+        for batch in batches:
+            columns = [[], [], []]
+            for f, t in zip(batch.column("features"), batch.column("sentences")):
+                local = place[np.frombuffer(f.as_buffer(), np.int32).reshape(-1, 3)]
+                sentence = np.frombuffer(t.as_buffer(), np.int32)
+                keep = (local < len(used)).any(axis=1)
+                for c, v in zip(columns, (int(sentence[-1]) + 1, local[keep].tobytes(), sentence[keep].tobytes())):
+                    c.append(v)
+            yield pa.record_batch([batch.column("doc_id"), batch.column("toxic"), pa.array(columns[0], pa.int32())]
+                                  + [pa.array(c, pa.binary()) for c in columns[1:]],
+                                  names=["doc_id", "toxic", "n_sentences", "features", "sentences"])
+    return run
+
+
+def learn(bags: list[tuple[int, int, np.ndarray, np.ndarray]], used: np.ndarray) -> np.ndarray:
+    """Weights (the last one is the bias) from (label, number of sentences, places in ``used`` [words, 3], sentence of
+    each word) of documents.
 
     Full-batch Adam on the noisy-or likelihood. Weights of features are evidence: they are never negative,
     and a penalty on their sum keeps all but the telling ones at 0."""
     weights = np.zeros(BUCKETS + 1, dtype=np.float64)
-    labels = np.array([y for y, _, _ in bags], dtype=float)
+    labels = np.array([y for y, _, _, _ in bags], dtype=float)
     if not len(labels) or labels.min() == labels.max():
         weights[-1] = -np.inf
         return weights
     weights[-1] = BIAS
-    counts = [int(s[-1]) + 1 for _, _, s in bags]
+    counts = [n for _, n, _, _ in bags]
     bag = np.repeat(np.arange(len(bags)), counts)
     base = np.concatenate(([0], np.cumsum(counts)))[:-1]
-    sentence = np.concatenate([s + b for (_, _, s), b in zip(bags, base)]).astype(np.int32)
-    spread = np.zeros(BUCKETS, dtype=np.int32)
-    for _, f, _ in bags:
-        spread[np.unique(f)] += 1
-    used = np.flatnonzero(spread >= LEAST_DOCUMENTS)
-    place = np.full(BUCKETS, len(used), dtype=np.int32)        # the others share a place that stays 0
-    place[used] = np.arange(len(used))
-    local = np.concatenate([place[f] for _, f, _ in bags])
+    sentence = np.concatenate([s + b for (_, _, _, s), b in zip(bags, base)]).astype(np.int32)
+    local = np.concatenate([f for _, _, f, _ in bags])
     bags = [None] * len(bags)                                  # what follows needs the arrays only
     share = np.where(labels == 1, (1 - CLEAN_SHARE) / labels.sum(), CLEAN_SHARE / (1 - labels).sum())
     w = np.zeros(len(used) + 2)
@@ -147,14 +173,19 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
     order = (F.md5(F.col("doc_id").cast("string").cast("binary")), "doc_id")
     chosen = known.where("toxic = 1").orderBy(*order).limit(sample).unionByName(known.where("toxic = 0").orderBy(*order).limit(sample))
     chosen = chosen.select(F.col("doc_id").alias("label_id"), "toxic")
-    bags = texts(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))       # at most 2 * sample rows
-    rows = (bound_arrow(bags.select("doc_id", "toxic", "text"))
-            .mapInArrow(_features, "doc_id long, toxic int, features binary, sentences binary").collect())
-    rows.sort(key=lambda r: (r["doc_id"], bytes(r["features"])))
-    bags = [(r["toxic"], np.frombuffer(r["features"], np.int32).reshape(-1, 3), np.frombuffer(r["sentences"], np.int32))
-            for r in rows if r["sentences"]]
+    bags = texts(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("doc_id", "toxic", "text")
+    bags = bags.dropDuplicates(["doc_id", "text"])            # repeated rows are learned from once
+    bags = written(bound_arrow(bags).mapInArrow(_features, "doc_id long, toxic int, features binary, sentences binary")
+                   .where(F.octet_length("sentences") > 0), "op7-sample")
+    often = (bags.select("features").mapInArrow(_spread, "feature long, documents long")
+             .groupBy("feature").agg(F.sum("documents").alias("documents")).where(F.col("documents") >= LEAST_DOCUMENTS))
+    used = np.sort(np.array([r["feature"] for r in often.select("feature").collect()], dtype=np.int64))
+    rows = bags.mapInArrow(_telling(used), "doc_id long, toxic int, n_sentences int, features binary, sentences binary").collect()
+    rows.sort(key=lambda r: (r["doc_id"], bytes(r["features"]), bytes(r["sentences"])))
+    bags = [(r["toxic"], r["n_sentences"], np.frombuffer(r["features"], np.int32).reshape(-1, 3), np.frombuffer(r["sentences"], np.int32))
+            for r in rows]
     del rows
-    return learn(bags)
+    return learn(bags, used)
 
 
 def _sentence_scores(data, offsets, weights):

@@ -288,6 +288,16 @@ def test_op7_held_out_accuracy_on_the_tables(spark):
     assert sum(r["predicted"] == r["toxic"] for r in rows) >= 0.95 * len(rows)
 
 
+def test_op7_sample_and_repeated_rows(spark):
+    import inspect
+    assert inspect.signature(toxicity.train).parameters["sample"].default == 3000
+    rng = random.Random(13)
+    docs = [(i, f"{prose(rng, 12)}. {prose(rng, 5)} {'vilefoo' if i % 3 == 0 else 'fair'}.") for i in range(120)]
+    lab = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(120)], "doc_id long, quality int, toxic int")
+    once, repeated = (toxicity.train(frame(spark, d), lab) for d in (docs, docs + docs[:9] * 30))
+    assert np.allclose(once, repeated) and once[:-1].any()
+
+
 def test_op7_labels_of_one_kind(spark):
     df = frame(spark, [(1, "a b"), (2, "c d")])
     lab = spark.createDataFrame([(1, 1, 0), (2, 1, 0)], "doc_id long, quality int, toxic int")
