@@ -7,7 +7,9 @@ again as the next one's ``docs``. All but the last return the columns of ``docum
 2. exact_dedup: of equal texts the row with the largest doc_id stays;
 3. near_dedup: one document of each group of near-duplicates stays;
 4. mix: a row for each copy that the mix takes, range-sorted by training position;
-5. encode: doc_id, n_tokens and the token ids (little-endian unsigned 32-bit integers), one row per copy.
+5. encode: doc_id, n_tokens and the token ids (little-endian unsigned 32-bit integers), one row per copy, and
+   position: the place of the copy in the training order. A scan does not keep the order of files, so it is taken
+   from the numbers of the file and the row in it (ascending, with gaps between files).
 
 No SQL states the first and third stage at full size, so ORACLE_SQL is None; the whole run is tested
 against brute force.
@@ -16,6 +18,7 @@ against brute force.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from layerkit.llm import bpe, exactdedup, mixing, neardup, toxicity
 from layerkit.llm.scratch import written
@@ -39,7 +42,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encode(docs)
+    def number(pattern: str):
+        return F.regexp_extract("_metadata.file_name", pattern, 1).cast("long")
+
+    # part (a task of the sort), file of the task, row: 2^12 files of 2^32 rows a task
+    place = (number("^part-([0-9]+)-") * (1 << 12) + number("-c([0-9]+)[.]")) * (1 << 32) + F.col("_metadata.row_index")
+    return bpe.encode(docs.withColumn("position", place), carry=("position",))
 
 
 STAGES = [("toxicity", remove_toxic), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("mix", mix), ("encode", encode)]

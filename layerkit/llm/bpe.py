@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .scratch import bound_arrow, texts
 from .wordids import ID_PIECE, WordIds, text_ids
@@ -229,7 +230,7 @@ def tokenizer(path: str | None) -> tuple[BacktrackingBpe, WordIds]:
     return held["bpe", path]
 
 
-def _encode(path):
+def _encode(path, carry=()):
     def run(batches):
         bpe, cache = tokenizer(path)
         for batch in batches:
@@ -238,8 +239,9 @@ def _encode(path):
                 n = len(bounds) - 1
                 yield pa.record_batch(
                     [batch.column("doc_id").slice(first, n), pa.array(np.diff(bounds)),
-                     pa.array([ids[a:b].astype("<u4").tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())],
-                    names=["doc_id", "n_tokens", "ids"])
+                     pa.array([ids[a:b].astype("<u4").tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())]
+                    + [batch.column(c).slice(first, n) for c in carry],
+                    names=["doc_id", "n_tokens", "ids", *carry])
     return run
 
 
@@ -268,10 +270,11 @@ def _decode(path):
     return run
 
 
-def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
+def encode(docs: DataFrame, path: str | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_tokens and ids (little-endian unsigned 32-bit integers). ``path``: the vocabulary file, at the
-    same place on every executor."""
-    return bound_arrow(texts(docs)).mapInArrow(_encode(path), "doc_id long, n_tokens long, ids binary")
+    same place on every executor. ``carry``: more columns (long)."""
+    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), *carry)
+    return bound_arrow(rows).mapInArrow(_encode(path, carry), "doc_id long, n_tokens long, ids binary" + "".join(f", {c} long" for c in carry))
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:

@@ -415,6 +415,19 @@ def test_stages_on_nulls_repeats_and_clashing_columns(spark):
     assert near >= {(1, text), (4, None), (6, ""), (7, "same id"), (7, "other text")} and (2, text) not in near
 
 
+def test_pipeline_keeps_the_training_order(spark):
+    from layerkit.llm.scratch import written
+    rng = random.Random(17)                    # long and short files: the scan reads the large ones first
+    rows = [(i, f"d{i} " + prose(rng, rng.choice([1, 3, 900])), "en", "abc"[i % 3], 0) for i in range(300)]
+    mixed = mixing.mix(spark.createDataFrame(rows, SCHEMA)).cache()
+    want = [r["doc_id"] for r in mixed.collect()]
+    out = corpus_pipeline.encode(spark, written(mixed, "order"), SF001)
+    got = out.orderBy("position").collect()
+    assert out.columns == ["doc_id", "n_tokens", "ids", "position"] and len({r["position"] for r in got}) == len(got)
+    assert [r["doc_id"] for r in got] == want
+    assert len(want) > 100
+
+
 def test_pipeline_against_brute_force(spark):
     import pyarrow.parquet as pq
     from tokenizers import Tokenizer
