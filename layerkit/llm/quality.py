@@ -2,9 +2,9 @@
 
 The zstandard ratio (bytes / compressed bytes) of a text depends on its length, so each length band has
 its own limits: a ratio above the upper limit marks repetitive text, one below the lower limit
-incompressible text. The whole document is judged, and so is every chunk of ``CHUNK`` bytes (a last chunk
-of less than half of that is left to the whole-document ratio). A document is kept when the base rules
-pass and no ratio leaves its band.
+incompressible text. The whole document is judged, and so is every chunk of ``CHUNK`` bytes, the last one with
+the limits of its own size (one of fewer than ``LEAST`` bytes with the bytes before it, up to ``LEAST``). A
+document is kept when the base rules pass and no ratio leaves its band.
 
 Base measures: words, code points in words, symbols ``#*$%&|<>``, lines that repeat an earlier line, and
 words in 8-word windows that occur twice or more.
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from .scratch import bound_arrow, texts
 from .words import mix, window_hashes, word_batches
 
-CHUNK, LEVEL = 4096, 3
+CHUNK, LEAST, LEVEL = 4096, 128, 3
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 # upper end of the length band in bytes: (least ratio, greatest ratio)
 BANDS = ((128, 0.6, 1.7), (256, 0.9, 1.85), (512, 1.05, 2.0), (1024, 1.2, 2.2), (2048, 1.3, 2.28), (4096, 1.4, 2.4),
@@ -45,11 +45,10 @@ def ratios(raw: bytes, compress, chunk: int = CHUNK) -> tuple[float, float, floa
     fits, chunks = low <= whole <= high, []
     if len(raw) > chunk:
         for i in range(0, len(raw), chunk):
-            part = raw[i:i + chunk]
-            if 2 * len(part) >= chunk:
-                chunks.append(len(part) / len(compress(part)))
-                low, high = limits(len(part))
-                fits = fits and low <= chunks[-1] <= high
+            part = raw[min(i, max(0, len(raw) - LEAST)):i + chunk]
+            chunks.append(len(part) / len(compress(part)))
+            low, high = limits(len(part))
+            fits = fits and low <= chunks[-1] <= high
     return whole, min(chunks, default=whole), max(chunks, default=whole), fits
 
 

@@ -112,6 +112,19 @@ def test_op2_bands(spark):
     assert got[2][2] < got[1][2] < got[3][2]
 
 
+def test_op2_judges_the_last_chunk():
+    import base64
+    import zstandard
+    compress = zstandard.ZstdCompressor(level=quality.LEVEL).compress
+    import pyarrow.parquet as pq
+    rng = random.Random(21)
+    texts = pq.read_table(f"{SF001}/documents.parquet").column("text").to_pylist()
+    clean = [t.encode() for t in texts if t and len(t.encode()) > 8192 and quality.ratios(t.encode(), compress)[3]]
+    junk = base64.b64encode(bytes(rng.randrange(256) for _ in range(1530)))
+    assert clean and not any(quality.ratios(c[:4096] + junk, compress)[3] for c in clean)
+    assert all(quality.ratios(c[:4096 + n], compress)[3] for c in clean for n in (1, 100, 1500))
+
+
 @pytest.fixture(scope="module")
 def library():
     from tokenizers import Tokenizer
