@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..sources.tables import table
-from . import bpe, exactdedup, licenses, mixing, neardup, pii, quality, substring, toxicity, wavelet
+from . import bpe, exactdedup, fptree, licenses, lines, mixing, neardup, pii, quality, spelling, substring, toxicity, wavelet
 
 
 def op1_debruijn_substring_dedup(spark, sf_dir):
@@ -46,8 +46,21 @@ def op10_heavy_hitter_dedup(spark, sf_dir):
     return exactdedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_fptree_search(spark, sf_dir):
+    return fptree.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_line_dedup(spark, sf_dir):
+    return lines.digest(lines.cleaned(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_debruijn_substring_dedup, op2_compression_quality, op3_backtracking_bpe, op4_information_pii, op5_curriculum_mix,
-    op6_wavelet_tokens, op7_mil_toxicity, op8_bayesian_near_dedup, op9_license_dice, op10_heavy_hitter_dedup)}
+    op6_wavelet_tokens, op7_mil_toxicity, op8_bayesian_near_dedup, op9_license_dice, op10_heavy_hitter_dedup,
+    op11_spelling_variants, op12_fptree_search, op13_line_dedup)}
 ORACLE = {"op1_debruijn_substring_dedup": substring.ORACLE, "op5_curriculum_mix": mixing.ORACLE, "op8_bayesian_near_dedup": neardup.ORACLE, "op9_license_dice": licenses.ORACLE,
-          "op10_heavy_hitter_dedup": exactdedup.ORACLE}
+          "op10_heavy_hitter_dedup": exactdedup.ORACLE, "op11_spelling_variants": spelling.ORACLE, "op12_fptree_search": fptree.ORACLE, "op13_line_dedup": lines.ORACLE}

@@ -10,7 +10,8 @@ from ..conftest import SF001
 from ..test_plans import FORBIDDEN, plan_text
 from ..test_queries import _bag
 
-NATIVE = ("op4_", "op5_", "op9_", "op10_")
+NATIVE = ("op4_", "op5_", "op9_", "op10_", "op13_")
+OTHER_ROWS = ("op11_", "op12_")        # a row per word, or per item and place
 
 
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
@@ -24,7 +25,7 @@ def test_query(spark, name):
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"create view {t} as select * from read_parquet('{SF001}/{t}.parquet')")
-    assert len(rows) == con.execute("select count(*) from documents").fetchone()[0]
+    assert name.startswith(OTHER_ROWS) or len(rows) == con.execute("select count(*) from documents").fetchone()[0]
     if name in catalog.ORACLE:
         res = con.execute(catalog.ORACLE[name])
         cols = [d[0] for d in res.description]
