@@ -59,10 +59,9 @@ def snapshot_diff(prev: DataFrame, curr: DataFrame, keys: list[str],
     keyed = j.select(F.inline(F.filter(imgs, lambda x: x.isNotNull())))
 
     # NULL-key rows: whole-row multiset difference; variants are compared through their JSON text
-    variants = {c for c in cols if isinstance(curr.schema[c].dataType, T.VariantType)}
-    as_text = lambda df: df.filter(_any_null(keys)).select(*[F.to_json(c).alias(c) if c in variants else F.col(c) for c in cols])
-    back = [F.parse_json(c).alias(c) if c in variants else F.col(c) for c in cols]
-    pn, cn = as_text(prev), as_text(curr)
+    variants = _variants(curr)
+    back = _from_text(cols, variants)
+    pn, cn = (_as_text(df.filter(_any_null(keys)), cols, variants) for df in (prev, curr))
     nd = pn.exceptAll(cn).select(*back, F.lit("DELETE").alias(ACTION), F.lit(False).alias(IS_UPDATE))
     ni = cn.exceptAll(pn).select(*back, F.lit("INSERT").alias(ACTION), F.lit(False).alias(IS_UPDATE))
     return keyed.unionByName(nd).unionByName(ni)
@@ -80,12 +79,53 @@ def insert_images(changes: DataFrame) -> DataFrame:
     return changes.filter(F.col(ACTION) == "INSERT").drop(ACTION, IS_UPDATE)
 
 
+def _variants(df: DataFrame) -> set[str]:
+    return {f.name for f in df.schema.fields if isinstance(f.dataType, T.VariantType)}
+
+
+def _as_text(df: DataFrame, cols: list[str], variants: set[str]) -> DataFrame:
+    """Variants as JSON text, so that whole rows can be compared and counted."""
+    return df.select(*[F.to_json(c).alias(c) if c in variants else F.col(c) for c in cols])
+
+
+def _from_text(cols: list[str], variants: set[str]) -> list[Column]:
+    return [F.parse_json(c).alias(c) if c in variants else F.col(c) for c in cols]
+
+
 def apply_changes(prev: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
-    """Inverse of ``snapshot_diff``: prev minus DELETE images plus INSERT images."""
-    cols = prev.columns
-    dels = changes.filter(F.col(ACTION) == "DELETE").select(*cols)
+    """Inverse of ``snapshot_diff``: prev minus DELETE images plus INSERT images (variants by their JSON text)."""
+    cols, variants = prev.columns, _variants(prev)
+    dels = _as_text(changes.filter(F.col(ACTION) == "DELETE"), cols, variants)
     ins = changes.filter(F.col(ACTION) == "INSERT").select(*cols)
-    return prev.exceptAll(dels).unionByName(ins)
+    return _as_text(prev, cols, variants).exceptAll(dels).select(*_from_text(cols, variants)).unionByName(ins)
+
+
+def fold_changes(images: DataFrame, keys: list[str], version: str) -> DataFrame:
+    """The net change of several versions: per key the first row before and the last row after. ``images``
+    are change rows with the number of their version; a key changes at most once a version. A key whose row is
+    in the end what it was has no net change. Rows with a NULL key part are netted as whole rows by count."""
+    cols = [c for c in images.columns if c not in (ACTION, IS_UPDATE, version)]
+    variants, others = _variants(images), [c for c in cols if c not in keys]
+    keyed = images.filter(~_any_null(keys))
+    row = F.struct(*others)
+    before, after = F.col(ACTION) == "DELETE", F.col(ACTION) == "INSERT"
+    # the first image tells whether the key was there before: a DELETE then comes in the first version
+    first = F.min(F.struct(F.col(version), after.alias("new")))
+    last = F.max(F.struct(F.col(version), after.alias("there")))
+    net = keyed.groupBy(*keys).agg(F.min_by(F.when(before, row), F.when(before, F.col(version))).alias("old"),
+                                   F.max_by(F.when(after, row), F.when(after, F.col(version))).alias("new"),
+                                   first.alias("first"), last.alias("last"))
+    had, has = ~F.col("first.new"), F.col("last.there")
+    text = lambda side: F.struct(*[F.to_json(F.col(side)[c]).alias(c) if c in variants else F.col(side)[c].alias(c) for c in others])
+    differs = ~text("old").eqNullSafe(text("new")) if others else F.lit(False)
+    image = lambda side, action: F.struct(*[F.col(c) if c in keys else F.col(side)[c].alias(c) for c in cols],
+                                          F.lit(action).alias(ACTION), (had & has).alias(IS_UPDATE))
+    both = F.array(F.when(had & (~has | differs), image("old", "DELETE")), F.when(has & (~had | differs), image("new", "INSERT")))
+    folded = net.select(F.inline(F.filter(both, lambda x: x.isNotNull())))
+    loose = _as_text(images.filter(_any_null(keys)), [*cols, ACTION], variants)
+    counted = loose.groupBy(*cols).agg(F.sum(F.when(F.col(ACTION) == "INSERT", 1).otherwise(-1)).alias("__n")).where("__n <> 0")
+    netted = counted.select(*_from_text(cols, variants), F.explode(F.sequence(F.lit(1), F.abs("__n"))).alias("__i"), F.when(F.col("__n") > 0, "INSERT").otherwise("DELETE").alias(ACTION))
+    return folded.unionByName(netted.drop("__i").withColumn(IS_UPDATE, F.lit(False)))
 
 
 class ChangeFeed:
@@ -105,6 +145,8 @@ class ChangeFeed:
         return (done, end) if end > done else None
 
     def changes(self, after: int, upto: int) -> DataFrame:
+        if hasattr(self.table, "changes"):          # written with the versions: read in proportion to the change
+            return self.table.changes(after, upto, self.keys)
         curr = self.table.read(upto)
         return snapshot_diff(self.table.read(after) if after else curr.limit(0), curr, self.keys)
 

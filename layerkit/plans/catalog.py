@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_changes, q_load, q_misc, q_relational, q_semistructured, q_sql, q_streaming  # noqa: F401
+from . import q_changes, q_load, q_misc, q_relational, q_semistructured, q_sql, q_streaming, q_tables  # noqa: F401
 from .registry import COVERS, ORACLE, QUERIES
 
 

@@ -13,11 +13,13 @@ from pyspark.sql import types as T
 
 from ..operators.upsert import latest_per_key, load_with_status, observed_upsert, upsert
 from ..session import scratch_path
+from ..sources.manifest import ManifestTable
 from ..sources.partitioned import PartitionedTable
 from ..sources.snapshot import AppendTable, SnapshotTable
-from ..sources.stage import FileFormat, create_external_view, land, read_stage, stage_listing
+from ..sources.stage import FileFormat, StageDirectory, create_external_view, land, read_stage, stage_listing
 from ..sources.tables import table
-from ..streaming.ingest import FileIngest
+from ..streaming.ingest import FileIngest, purge
+from ..streaming.ledger import LedgerLoad, LoadFailedError
 from . import domain as D
 from .registry import query
 
@@ -192,7 +194,8 @@ def order_line_flow(spark, sf, area):
         target.merge(batch, ORDER_LINE_KEYS, ["quantity", "source_file_name", "load_ts"],
                      update_exprs={"load_ts": F.current_timestamp()},
                      insert_exprs={"load_ts": F.current_timestamp()},
-                     on_duplicate="latest", order_cols=["order_date", "quantity"])
+                     on_duplicate="latest", order_cols=["order_date", "quantity"],
+                     batch_key=f"{ingest.checkpoint_path}#{batch_id}")      # a replayed batch is not merged again
 
     split = F.lit(D.BATCH_SPLIT).cast("date")
     land(lines.filter(F.col("order_date") < split), ingest.stage_path, fmt)
@@ -332,3 +335,67 @@ def update_moves_partition(spark, sf):
              .withColumn("total_price", F.col("total_price") + 1.0))
     target.merge(moved, ["order_id", "status"], ["total_price"])
     return target.read().drop("state")
+
+
+@query("copy_history", covers="S26 S4 S9", sql="""
+with f as (select o_orderstatus as status, count(*) as n from orders group by 1)
+select 'daily_orders' as table_name, 'status=' || status as load_unit, 'LOADED' as status, n as rows_loaded, 0 as errors from f where status <> 'P'
+union all
+select 'daily_orders', 'status=P', 'LOAD_FAILED', 0, n from f where status = 'P'
+union all
+select 'daily_orders', 'status=P', 'LOADED', n, 0 from f where status = 'P'""")
+def copy_history(spark, sf):
+    """Copy history of one table within the last hour, from the ledger that the loads keep. A delivery whose dates cannot be
+    read fails and is listed with its error; delivered again under the same names with other content it is loaded."""
+    area = scratch_path(spark, "copy_history")
+    fmt = FileFormat.csv()
+    schema = T.StructType([f for f in ORDERS_CSV_SCHEMA.fields if f.name != "status"])
+    rows = _orders_rows(spark, sf)
+    target, other = (ManifestTable(spark, f"{area}/{n}", ["order_id"]) for n in ("orders_tbl", "other_tbl"))
+    load = LedgerLoad(spark, f"{area}/stage", target, "daily_orders", schema, fmt)
+    land(rows.filter("status <> 'P'"), load.stage_path, fmt, partition_by=["status"])
+    load.run()
+    broken = rows.filter("status = 'P'").withColumn("order_date", F.concat(F.lit("on "), F.col("order_date").cast("string")))
+    land(broken, load.stage_path, fmt, partition_by=["status"])
+    try:
+        load.run()
+    except LoadFailedError:
+        pass                                       # the ledger has it
+    purge(spark, load.pending().withColumnRenamed("file_size", "size"))
+    land(rows.filter("status = 'P'"), load.stage_path, fmt, partition_by=["status"])
+    load.run()
+    load.run()                                     # nothing is pending
+    LedgerLoad(spark, f"{area}/stage", other, "other_orders", schema, fmt).run()
+    if target.read().count() != rows.count():
+        raise RuntimeError("the table does not hold every order once")
+    history = load.history(since=F.current_timestamp() - F.expr("INTERVAL 1 HOUR"))
+    return (history.groupBy("table_name", F.regexp_extract("file_name", r"^([^/]+)/", 1).alias("load_unit"), "status")
+            .agg(F.sum("row_count").alias("rows_loaded"), F.sum("error_count").alias("errors")))
+
+
+@query("stage_directory", covers="S13 S14", sql="""
+select 'status=' || o_orderstatus as folder, cast(sum(length(o_orderkey::varchar || ',' || o_custkey || ',' || cast(cast(o_orderdate as date) as varchar)) + 1) as bigint) as bytes,
+       count(*) as rows
+from orders where o_orderstatus <> 'F' group by 1""")
+def stage_directory(spark, sf):
+    """Stored directory of a stage: files that came are listed, with their sizes, from the next refresh on, and so are files that went; the
+    external table reads what the directory lists."""
+    area = scratch_path(spark, "stage_directory")
+    fmt = FileFormat.csv(skip_header=False)
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("order_date"), F.col("o_orderstatus").alias("status"))
+    directory = StageDirectory(spark, f"{area}/stage", f"{area}/directory")
+    land(rows.filter("status <> 'O'"), directory.stage_path, fmt, partition_by=["status"])
+    first = directory.refresh()
+    land(rows.filter("status = 'O'"), directory.stage_path, fmt, partition_by=["status"])
+    before = directory.files().count()
+    purge(spark, directory.files().where(F.col("name").startswith("status=F/")))
+    if before != first["added"] or directory.files().count() != before:
+        raise RuntimeError("the directory changed without a refresh")
+    second = directory.refresh()
+    if not second["added"] or not second["removed"] or second["changed"]:
+        raise RuntimeError(f"refresh reported {second}")
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()), T.StructField("order_date", T.DateType())])
+    folder = F.regexp_extract(F.col("source_file_name"), "^([^/]+)/", 1).alias("folder")
+    counted = directory.read(schema, fmt).groupBy(folder).agg(F.count("order_date").alias("rows"))
+    sizes = directory.files().groupBy(F.regexp_extract("name", "^([^/]+)/", 1).alias("folder")).agg(F.sum("size").alias("bytes"))
+    return sizes.join(counted, "folder").select("folder", "bytes", "rows")

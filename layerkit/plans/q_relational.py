@@ -151,11 +151,12 @@ def partner_dim(spark, sf):
     return c.select(F.col("c_custkey").alias("partner_id"), F.col("c_name").alias("partner_name"))
 
 
-def normalize_orders(stg, partners, products):
-    """Staged order lines (names) -> warehouse order rows (surrogate keys): two inner equi-joins."""
+def normalize_orders(stg, partners, products, keep=()):
+    """Staged order lines (names) -> warehouse order rows (surrogate keys): two inner equi-joins. ``keep``: columns of
+    the lines that go along."""
     return (stg.join(partners, stg.customer == partners.partner_name)
             .join(products, stg.baked_good_type == products.product_name)
-            .select("partner_id", "product_id", "delivery_date", "order_date", "quantity"))
+            .select("partner_id", "product_id", "delivery_date", "order_date", "quantity", *keep))
 
 
 STAR_SQL = f"""with ord as ({D.ORDER_LINES_SQL}),

@@ -12,11 +12,12 @@ from ..operators.history import current_rows, validity_intervals
 from ..operators.reporting import RunLog, run_summary_message
 from ..operators.semistructured import flatten_items, flatten_partner_orders, keyed_document_columns
 from ..session import scratch_path
+from ..sources.manifest import ManifestTable
 from ..sources.partitioned import PartitionedTable
 from ..sources.snapshot import AppendTable, SnapshotTable
 from ..sources.stage import FileFormat, land
 from ..sources.tables import table
-from ..streaming.incremental import RestatedTable, change_stream, consume, incremental_aggregate, incremental_map
+from ..streaming.incremental import ROW_ID, MaintainedJoin, change_stream, consume, incremental_aggregate, incremental_map
 from ..streaming.ingest import FileIngest, stream_stage
 from . import domain as D
 from .q_changes import CHANGE_FROM, INITIAL_FROM, product_history
@@ -105,30 +106,36 @@ LINE_TABLE_SCHEMA = T.StructType([
 def _staged_lines_in_two_batches(spark, sf, path):
     lines = D.order_lines(spark, sf)
     split = F.lit(D.BATCH_SPLIT).cast("date")
-    yield lambda: lines.filter(F.col("order_date") < split).write.mode("append").parquet(path)
-    yield lambda: lines.filter(F.col("order_date") >= split).write.mode("append").parquet(path)
+    return (lambda: lines.filter(F.col("order_date") < split).write.mode("append").parquet(path),
+            lambda: lines.filter(F.col("order_date") >= split).write.mode("append").parquet(path))
 
 
 @query("dynamic_join", covers="T9 J9 J2", sql=STAR_SQL)
 def dynamic_join(spark, sf):
-    """Dynamic table over the star join. The products of large sizes are renamed between the deliveries:
-    the first batch is joined with the earlier names, then restated with the current ones."""
+    """Dynamic table over the star join. The products of large sizes are renamed between the deliveries: what they
+    concern of the first batch is joined again, the rest stays."""
     area = scratch_path(spark, "dynamic_join")
     stg_path = f"{area}/stg_lines"
-    partners, products = SnapshotTable(spark, f"{area}/partner_tbl"), SnapshotTable(spark, f"{area}/product_tbl")
-    target = RestatedTable(spark, f"{area}/orders_tbl", lambda df, dims: normalize_orders(df, dims["partner"], dims["product"]),
-                           {"partner": partners, "product": products})
+    partners = ManifestTable(spark, f"{area}/partner_tbl", ["partner_id"])
+    products = ManifestTable(spark, f"{area}/product_tbl", ["product_id"])
+    cluster = ["baked_good_type"]
+    target = MaintainedJoin(spark, f"{area}/orders_tbl",
+                            lambda df, dims: normalize_orders(df, dims["partner"], dims["product"], keep=[*cluster, ROW_ID]),
+                            {"partner": (partners, ["partner_id"], "customer", "partner_name"),
+                             "product": (products, ["product_id"], "baked_good_type", "product_name")}, cluster)
     renamed = table(spark, sf, "part").filter("p_size >= 45").select(F.col("p_partkey").alias("product_id"))
     current = product_dim(spark, sf)
-    earlier = current.join(renamed.withColumn("renamed", F.lit(True)), "product_id", "left").select(
-        F.when(F.col("renamed"), F.concat(F.lit("draft "), "product_name")).otherwise(F.col("product_name")).alias("product_name"),
-        "product_id")
+    large = current.join(renamed, "product_id", "left_semi").select(*current.columns)
+    earlier = large.withColumn("product_name", F.concat(F.lit("draft "), "product_name"))
     partners.publish(partner_dim(spark, sf))
-    for land_batch, names in zip(_staged_lines_in_two_batches(spark, sf, stg_path), (earlier, current)):
-        products.publish(names)
-        land_batch()
-        target.refresh(change_stream(spark, stg_path, LINE_TABLE_SCHEMA))
-    return target.read()
+    products.publish(current.join(renamed, "product_id", "left_anti").select(*current.columns).unionByName(earlier))
+    first, second = _staged_lines_in_two_batches(spark, sf, stg_path)
+    first()
+    target.refresh(change_stream(spark, stg_path, LINE_TABLE_SCHEMA))
+    products.merge(large, ["product_id"], ["product_name"])
+    second()
+    target.refresh(change_stream(spark, stg_path, LINE_TABLE_SCHEMA))
+    return target.read().drop(*cluster)
 
 
 def summary_view(summary, products):

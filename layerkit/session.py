@@ -114,9 +114,13 @@ def read_marker(spark: SparkSession, path: str) -> str:
 
 def newest_marker(spark: SparkSession, folder: str) -> int:
     """The largest number that names a marker in the folder (0: none)."""
+    return max((int(n) for n in child_names(spark, folder) if n.isdigit()), default=0)
+
+
+def child_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files and folders in a folder (none if there is no such folder)."""
     p, fs = _hadoop(spark, folder)
-    names = [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
-    return max((int(n) for n in names if n.isdigit()), default=0)
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
 
 
 def move(spark: SparkSession, source: str, target: str) -> None:

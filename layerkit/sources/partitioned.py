@@ -1,158 +1,42 @@
-"""Keyed table stored as a partitioned Parquet folder, merged partition by partition.
+"""Keyed table partitioned by a value derived from its rows.
 
-For a large target only the partitions that the source touches are read, merged and rewritten
-(``partitionOverwriteMode=dynamic``); the rest of the table is not touched. This is valid because the
-partition column is derived from the merge key, so a merge never moves a key between partitions; an
-update that changes it moves the row. NULL is a partition like any other.
-
-A write has two steps: the new partitions go to a staging folder, then over the table's partitions. A
-failure before the second step leaves the table as it was. With a ``batch_key`` (a micro-batch that may be
-replayed) the staged folder is noted first and the finished batch after, so a replay skips a finished
-batch and copies a staged one again, and never merges twice.
-
-The table is known by its marker file, which holds the schema: values come back with the types they
-were written with (a partition value ``007`` stays text).
+A :class:`ManifestTable` that clusters its rows by the partition column, an ordinary (last) column of the data
+files: NULL, '' and any other value are partitions of their own and keep their types. A merge rewrites the
+files that hold matched keys and nothing else. Where the key fixes the partition, files of other partitions
+are not looked at; where it does not, the old row is found by its key and moves with its new
+partition. A replayed batch (``batch_key``) is skipped; a failed write leaves the table as it was.
 """
 
 from __future__ import annotations
 
-import hashlib
-import json
-
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import Column, DataFrame, SparkSession
 
-from ..operators.upsert import ACTION, merge_frame
-from ..session import drop_folder, path_exists, read_marker, scratch_path, write_marker
+from .manifest import FILE_ROWS, ManifestTable
 
 
-class PartitionedTable:
-    def __init__(self, spark: SparkSession, path: str, partition_col: str, partition_of: Column):
-        self.spark = spark
-        self.path = path.rstrip("/")
+class PartitionedTable(ManifestTable):
+    def __init__(self, spark: SparkSession, path: str, partition_col: str, partition_of: Column, *, file_rows: int = FILE_ROWS):
+        super().__init__(spark, path, [partition_col], file_rows=file_rows)
         self.partition_col = partition_col
-        self.partition_of = partition_of      # expression over key columns giving the partition value
-        self.marker = f"{self.path}/_table/schema"
-
-    def exists(self) -> bool:
-        # written after the first write: a write that failed half-way left no table
-        return path_exists(self.spark, self.marker)
-
-    def schema(self) -> T.StructType:
-        return T.StructType.fromJson(json.loads(read_marker(self.spark, self.marker)))
-
-    def read(self) -> DataFrame:
-        return self.spark.read.schema(self.schema()).parquet(self.path)
-
-    def _in(self, values: list) -> Column:
-        """Rows of the partitions (prunes the scan)."""
-        col = F.col(self.partition_col)
-        known = [v for v in values if v is not None]
-        return col.isin(known) | col.isNull() if None in values else col.isin(known)
-
-    def _touched(self, df: DataFrame) -> list:
-        """Partition values: one row per partition, not per row."""
-        return [r[0] for r in df.select(self.partition_col).distinct().collect()]
-
-    def _publish_stage(self, stage: str, schema: T.StructType) -> None:
-        """Copy staged partitions over the table's; doing it again changes nothing."""
-        first = not self.exists()
-        mode = "static" if first else "dynamic"
-        (self.spark.read.schema(schema).parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", mode)
-         .partitionBy(self.partition_col).parquet(self.path))
-        if first:
-            write_marker(self.spark, self.marker, schema.json())
-
-    def _batch_file(self, batch_key: str, step: str) -> str:
-        return f"{self.path}/_batches/{hashlib.sha1(batch_key.encode()).hexdigest()}.{step}"
-
-    def _replayed(self, batch_key: str | None) -> bool:
-        """Whether a batch needs no merge any more: it is finished, or staged and now copied."""
-        if batch_key is None:
-            return False
-        if path_exists(self.spark, self._batch_file(batch_key, "done")):
-            return True
-        noted = self._batch_file(batch_key, "staged")
-        if not path_exists(self.spark, noted):
-            return False
-        note = json.loads(read_marker(self.spark, noted))
-        self._publish_stage(note["stage"], T.StructType.fromJson(note["schema"]))
-        write_marker(self.spark, self._batch_file(batch_key, "done"))
-        return True
-
-    def merge(self, source: DataFrame, keys: list[str], update_cols: list[str], *, batch_key: str | None = None, **kw) -> dict:
-        """Upsert ``source`` (same columns as the table, without the partition column). A replayed batch
-        reports no rows."""
-        if self._replayed(batch_key):
-            return {"updated": 0, "inserted": 0}
-        src = source.withColumn(self.partition_col, self.partition_of).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            return self._merge(src, keys, update_cols, batch_key, **kw)
-        finally:
-            src.unpersist()
+        self.partition_of = partition_of      # expression over the row giving the partition value
 
-    def _merge(self, src: DataFrame, keys: list[str], update_cols: list[str], batch_key: str | None, **kw) -> dict:
-        if not self.exists():   # empty target: the join folds away (empty relation) and nothing is read back
-            merged = merge_frame(src.limit(0), src, keys + [self.partition_col], update_cols, **kw)
-        else:
-            tgt = self.read().filter(self._in(self._touched(src)))
-            merged = merge_frame(tgt.select(*src.columns), src, keys + [self.partition_col], update_cols, **kw)
-        # range-partition on (partition, key): a task writes a contiguous slice of few partitions,
-        # and a large partition is split over several tasks (bounded files and task sizes).
-        # The counts are observed above the exchange so the range-bound sampling job is not counted.
-        obs = Observation("partition_merge")
-        ranged = merged.repartitionByRange(self.partition_col, *keys).observe(
-            obs, F.count(F.when(F.col(ACTION) == "update", 1)).alias("updated"),
-            F.count(F.when(F.col(ACTION) == "insert", 1)).alias("inserted"))
-        self._write(ranged.drop(ACTION), batch_key)
-        return {k: int(v) for k, v in obs.get.items()}
+    def _derive(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(self.partition_col, self.partition_of)
 
-    def _write(self, out: DataFrame, batch_key: str | None = None) -> None:
-        stage = scratch_path(self.spark, "merge_stage")
-        out.write.partitionBy(self.partition_col).parquet(stage)
-        # the partition column comes last in a partitioned folder
-        fields = [f for f in out.schema.fields if f.name != self.partition_col] + [out.schema[self.partition_col]]
-        schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
-        if batch_key is not None:
-            write_marker(self.spark, self._batch_file(batch_key, "staged"), json.dumps({"stage": stage, "schema": schema.jsonValue()}))
-        self._publish_stage(stage, schema)
-        if batch_key is not None:
-            write_marker(self.spark, self._batch_file(batch_key, "done"))
+    def _fixed_by(self, keys: list[str], df: DataFrame) -> bool:
+        """Whether the key columns alone give the partition (by the columns that the analysed expression refers to)."""
+        refers = df.select(self.partition_of)._jdf.queryExecution().analyzed().references().mkString("\n")
+        return {name.rsplit("#", 1)[0] for name in refers.split("\n") if name} <= set(keys)
 
-    def update_where(self, cond: Column, assignments: dict[str, Column]) -> int:
-        """``update T set c = expr where cond``: only partitions that hold matching rows, or receive
-        them, are rewritten. Returns the number of rows updated."""
-        t = self.read()
-        hit = F.coalesce(cond, F.lit(False))
-        new = [(F.when(hit, e).otherwise(F.col(c)) if (e := assignments.get(c)) is not None else F.col(c)).alias(c)
-               for c in t.columns if c != self.partition_col]
-        moved = t.filter(hit).select(*new).withColumn(self.partition_col, self.partition_of)
-        left = self._touched(t.filter(hit))
-        if not left:
-            return 0
-        touched = list({*left, *self._touched(moved)})
-        obs = Observation("partition_update")
-        part = t.filter(self._in(touched)).observe(obs, F.count(F.when(hit, 1)).alias("updated"))
-        out = part.select(*new).withColumn(self.partition_col, self.partition_of)
-        still = set(self._touched(out))
-        emptied = self._folders([v for v in left if v not in still])
-        self._write(out)
-        # a partition that all rows left was not overwritten: what it held has moved
-        for folder in emptied:
-            drop_folder(self.spark, folder)
-        return int(obs.get["updated"])
+    def merge(self, source: DataFrame, keys: list[str], update_cols: list[str], **kw) -> dict:
+        """Upsert ``source`` (columns of the table without the partition column)."""
+        return super().merge(self._derive(source), keys, update_cols, prune=self._fixed_by(keys, source), finish=self._derive, **kw)
 
-    def _folders(self, values: list) -> list[str]:
-        """Folders of partitions (the metadata path is percent-encoded)."""
-        path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-        rows = self.read().filter(self._in(values)).select(F.regexp_replace(path, "/[^/]*$", "").alias("folder")) if values else None
-        return [r["folder"] for r in rows.distinct().collect()] if values else []
+    def update_where(self, cond: Column, assignments: dict[str, Column], **kw) -> int:
+        """``update T set c = expr where cond``; rows move with the partition value."""
+        return super().update_where(cond, assignments, finish=self._derive, **kw)
 
-    def publish(self, df: DataFrame) -> None:
+    def publish(self, df: DataFrame, **kw) -> int:
         """Create / replace the whole table (``create table as select``)."""
-        out = df.withColumn(self.partition_col, self.partition_of)
-        out.repartitionByRange(self.partition_col).write.mode("overwrite").partitionBy(self.partition_col).parquet(self.path)
-        fields = [f for f in out.schema.fields if f.name != self.partition_col] + [out.schema[self.partition_col]]
-        write_marker(self.spark, self.marker, T.StructType(fields).json())
+        rows = df.drop(self.partition_col) if self.partition_col in df.columns else df
+        return super().publish(self._derive(rows), **kw)

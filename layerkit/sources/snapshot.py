@@ -1,64 +1,46 @@
 """Versioned snapshot tables on plain Parquet.
 
 Parquet tables have no row-level MERGE/UPDATE and a static overwrite of a path that the
-same plan reads destroys its input. A table is therefore a folder of immutable versions
-``data/v00001, data/v00002, ...`` and a small append-only log ``_log`` (one row per
-published version, with the micro-batch id that produced it). Readers take the newest
-logged version; a writer writes ``v+1`` beside ``v`` and publishes it by appending a log
-row. A replayed streaming batch whose id is already logged is skipped (exactly once).
+same plan reads destroys its input. A table is therefore a set of immutable folders, one per
+version and never shared by two writers, and a commit log with one entry per version (kind, folder, the
+micro-batch that produced it). Readers take the newest logged version. A replayed batch whose id is logged
+is skipped. Of two writers one commits a version first: an append then goes on top of it, a full
+version, computed from what is no longer the newest one, fails with ``ConcurrentWriteError``.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import move, path_exists
-
-_LOG_SCHEMA = T.StructType([
-    T.StructField("version", T.LongType(), False),
-    T.StructField("batch_id", T.LongType(), True),
-    T.StructField("published_at", T.TimestampType(), False),
-    T.StructField("kind", T.StringType(), False),     # full | append
-])
+from ..session import child_names, drop_folder, move, path_exists
+from .commits import CommitLog, ConcurrentWriteError
 
 
 class SnapshotTable:
-    """Versioned table. The log (one row per published version, small and bounded by the
-    number of writes) is read once into the object and kept in step with its own writes;
-    ``refresh()`` re-reads it when another writer may have published."""
+    """Versioned table. The log is read once into the object and kept in step with its own writes;
+    ``refresh()`` takes in what other writers published."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._entries: list[tuple] | None = None
+        self.log = CommitLog(spark, f"{self.root}/_log")
 
     # -- log -----------------------------------------------------------------
     def refresh(self) -> "SnapshotTable":
-        if not path_exists(self.spark, f"{self.root}/_log"):   # no version published yet
-            self._entries = []
-        else:
-            log = self.spark.read.schema(_LOG_SCHEMA).parquet(f"{self.root}/_log")
-            self._entries = sorted((r.version, r.batch_id, r.kind) for r in log.select("version", "batch_id", "kind").collect())
+        self.log.refresh()
         return self
 
-    def _log_entries(self) -> list[tuple]:
-        if self._entries is None:
-            self.refresh()
-        return self._entries
-
     def current_version(self) -> int:
-        e = self._log_entries()
-        return e[-1][0] if e else 0
+        return self.log.version()
 
     def has_batch(self, batch_id: int) -> bool:
-        return any(b == batch_id for _, b, _ in self._log_entries())
+        return any(e["batch"] == batch_id for e in self.log.entries)
 
     def version_path(self, v: int) -> str:
-        return f"{self.root}/data/v{v:05d}"
+        return f"{self.root}/{self.log.entries[v - 1]['path']}"
 
     # -- read / write --------------------------------------------------------
     def exists(self) -> bool:
@@ -66,26 +48,31 @@ class SnapshotTable:
 
     def read(self, version: int | None = None) -> DataFrame:
         """Rows of a version: its last full image plus the append deltas logged after it."""
-        entries = self._log_entries()
+        entries = self.log.entries
         if not entries:
             raise FileNotFoundError(f"no published version in {self.root}")
-        v = version or self.current_version()
-        upto = [e for e in entries if e[0] <= v]
-        full = max([e[0] for e in upto if e[2] == "full"], default=1)
-        return self.spark.read.parquet(*[self.version_path(e[0]) for e in upto if e[0] >= full])
+        v = version or len(entries)
+        full = max((k for k in range(1, v + 1) if entries[k - 1]["kind"] == "full"), default=1)
+        return self.spark.read.parquet(*[self.version_path(k) for k in range(full, v + 1)])
 
     def _write(self, df: DataFrame, kind: str, batch_id, partition_by) -> int:
         if batch_id is not None and self.has_batch(batch_id):
             return self.current_version()
-        v = self.current_version() + 1
-        w = df.write.mode("overwrite")  # a leftover of a failed attempt at v is replaced
+        path = f"data/{uuid.uuid4().hex}"
+        w = df.write
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(self.version_path(v))
-        row = [(v, batch_id, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), kind)]
-        self.spark.createDataFrame(row, _LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.root}/_log")
-        self._entries.append((v, batch_id, kind))
-        return v
+        w.parquet(f"{self.root}/{path}")
+        while not self.log.commit({"batch": batch_id, "kind": kind, "path": path}):
+            self.refresh()
+            replayed = batch_id is not None and self.has_batch(batch_id)
+            if replayed or kind == "full":
+                drop_folder(self.spark, f"{self.root}/{path}")
+            if replayed:
+                break
+            if kind == "full":
+                raise ConcurrentWriteError(f"{self.root}: version {self.current_version()} was published meanwhile")
+        return self.current_version()
 
     def publish(self, df: DataFrame, *, batch_id: int | None = None, partition_by: list[str] | None = None) -> int:
         """Full refresh (``truncate; insert`` / ``create or replace``): ``df`` becomes the next version."""
@@ -93,8 +80,6 @@ class SnapshotTable:
 
     def append(self, df: DataFrame, *, batch_id: int | None = None) -> int:
         """``insert into T select ...``: only the new rows are written, as a delta version."""
-        if not self.exists():
-            return self._write(df, "full", batch_id, None)
         return self._write(df, "append", batch_id, None)
 
     def compact(self, num_files: int | None = None) -> int:
@@ -107,7 +92,7 @@ class SnapshotTable:
 
 
 class AppendTable:
-    """Append-only table fed by micro-batches: each batch has its own folder ``batch_id=<n>``. The folder
+    """Append-only table fed by micro-batches: each batch has its own folder ``batch-<n>``. The folder
     is written aside and renamed into the table, so it appears whole and once: a replayed batch finds
     it and keeps its files, which consumers of the table may already have read."""
 
@@ -116,11 +101,15 @@ class AppendTable:
         self.root = root.rstrip("/")
 
     def exists(self) -> bool:
-        return path_exists(self.spark, self.root)
+        """Whether a batch is in the table (one that failed on its way is not)."""
+        return any(n.startswith("batch-") for n in child_names(self.spark, self.root))
+
+    def _folder(self, batch_id: int) -> str:
+        return f"{self.root}/batch-{batch_id:010d}"
 
     def append(self, df: DataFrame, *, batch_id: int) -> bool:
         """Whether rows were written (not: the batch is in the table already)."""
-        folder = f"{self.root}/batch_id={batch_id:010d}"
+        folder = self._folder(batch_id)
         if path_exists(self.spark, folder):
             return False
         aside = f"{self.root}/_staged/{batch_id:010d}"
@@ -129,11 +118,11 @@ class AppendTable:
         return True
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.root).drop("batch_id")
+        return self.spark.read.option("recursiveFileLookup", "true").parquet(self.root)
 
     def batch(self, batch_id: int) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/batch_id={batch_id:010d}")
+        return self.spark.read.parquet(self._folder(batch_id))
 
     def stream(self, schema: T.StructType) -> DataFrame:
         """Change stream: rows of batches written since the consumer's checkpoint."""
-        return self.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000).parquet(self.root)
+        return self.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000).option("recursiveFileLookup", "true").parquet(self.root)

@@ -110,6 +110,54 @@ def stage_listing(spark: SparkSession, stage_path: str) -> DataFrame:
                     F.col("modificationTime").alias("last_modified")))
 
 
+class StageDirectory:
+    """Directory table of a stage: the files as of the last refresh, kept as versions of a small table.
+
+    Reads go by the stored list, not by a new listing, so a file that came or went is seen from the next refresh on. A
+    refresh compares the listing with the stored list (name, size, time) and says what was added, changed and removed."""
+
+    COLUMNS = ("name", "size", "last_modified")
+
+    def __init__(self, spark: SparkSession, stage_path: str, state_path: str):
+        from .snapshot import SnapshotTable
+        self.spark, self.stage_path = spark, stage_path.rstrip("/")
+        self.state = SnapshotTable(spark, state_path)
+
+    def files(self) -> DataFrame:
+        """name (relative to the stage), path, size, last_modified."""
+        return self.state.refresh().read() if self.state.refresh().exists() else self._listing().limit(0)
+
+    def _listing(self) -> DataFrame:
+        root = _strip_scheme(self.stage_path) + "/"
+        listed = stage_listing(self.spark, self.stage_path).where(~F.col("name").rlike("/[_.][^/]*$"))
+        return listed.select(F.substring(F.col("name"), F.instr(F.col("name"), F.lit(root)) + F.lit(len(root)), F.length("name")).alias("name"),
+                             F.col("name").alias("path"), "size", "last_modified")
+
+    def refresh(self) -> dict:
+        """Number of files added, changed and removed since the last refresh; a new version only if there are any."""
+        now, old = self._listing().persist(), self.files()
+        try:
+            both = now.select("name", F.struct("size", "last_modified").alias("new")).join(
+                old.select("name", F.struct("size", "last_modified").alias("old")), "name", "full_outer")
+            kind = F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "removed").when(F.col("new") != F.col("old"), "changed")
+            news = {r["kind"]: r["n"] for r in both.select(kind.alias("kind")).where("kind is not null").groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+            if news:
+                self.state.publish(now.coalesce(4))
+            return {k: int(news.get(k, 0)) for k in ("added", "changed", "removed")}
+        finally:
+            now.unpersist()
+
+    def read(self, schema: T.StructType, fmt: FileFormat = FileFormat.csv(), computed: dict[str, Column] | None = None) -> DataFrame:
+        """External table over the files of the last refresh, with computed columns and the file name."""
+        paths = [r["path"] for r in self.files().select("path").collect()]           # one per file
+        if not paths:
+            df = self.spark.createDataFrame([], schema).withColumn("source_file_name", F.lit(None).cast("string"))
+        else:
+            reader = self.spark.read.options(**fmt.options).schema(schema)
+            df = (reader.csv(paths) if fmt.kind == "csv" else reader.json(paths)).withColumn("source_file_name", relative_file(self.stage_path))
+        return df.select(*[c.alias(n) for n, c in computed.items()], "source_file_name") if computed else df
+
+
 def create_external_view(spark: SparkSession, name: str, stage_path: str, schema: T.StructType,
                          fmt: FileFormat = FileFormat.csv(), computed: dict[str, Column] | None = None) -> DataFrame:
     """External table: schema-on-read over files, with computed columns, registered as a view.

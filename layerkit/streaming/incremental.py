@@ -18,16 +18,21 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import path_exists, write_marker
+from ..operators.changes import ACTION, ChangeFeed
+from ..session import newest_marker, path_exists, write_marker
+from ..sources.manifest import ManifestTable
 from ..sources.snapshot import AppendTable, SnapshotTable
 from .ingest import _run, _start, rows_in
 
 
 def change_stream(spark: SparkSession, table_path: str, schema: T.StructType,
-                  max_files_per_trigger: int | None = 1000) -> DataFrame:
+                  max_files_per_trigger: int | None = 1000, partitioned: bool = False) -> DataFrame:
     """Rows appended to a Parquet table since the consumer's checkpoint (a backlog is consumed in
-    batches of at most ``max_files_per_trigger`` files)."""
+    batches of at most ``max_files_per_trigger`` files). Subfolders are read too; their names are columns only
+    of a ``partitioned`` table."""
     r = spark.readStream.schema(schema)
+    if not partitioned:
+        r = r.option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.parquet(table_path)
@@ -104,6 +109,123 @@ class RestatedTable:
         return self.table.read()
 
 
+ROW_ID = "row_id"
+
+
+class MaintainedJoin:
+    """Dynamic table over a join of append-only facts with dimension tables, kept up from both sides.
+
+    Facts get a ``row_id`` and are kept, clustered by ``cluster`` (a column they are joined by). ``transform(facts,
+    dimensions)`` is the join; it keeps ``row_id`` and the cluster columns. A refresh takes three steps:
+
+    1. A batch that is kept but not shown (an earlier refresh failed in between) is shown first, with the dimension
+       versions shown so far.
+    2. Of each dimension the change rows since the version shown are read. Facts that meet a value of the join column
+       that some changed row has now or had before are joined again; their old results are taken out and the new ones
+       put in, in one version of the table. Files without such a row stay.
+    3. New facts are kept and their results appended, each batch once.
+
+    ``dimensions``: name -> (ManifestTable, its key columns, join column of the facts, join column of the dimension)."""
+
+    def __init__(self, spark: SparkSession, root: str, transform: Callable[[DataFrame, dict[str, DataFrame]], DataFrame],
+                 dimensions: dict[str, tuple[ManifestTable, list[str], str, str]], cluster: list[str], **options):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.transform, self.dimensions, self.cluster = transform, dimensions, cluster
+        self.facts = ManifestTable(spark, f"{self.root}/facts", cluster, **options)
+        self.table = ManifestTable(spark, f"{self.root}/table", cluster, **options)
+
+    def _shown(self, name: str) -> int:
+        return newest_marker(self.spark, f"{self.root}/shown/{name}")
+
+    def _joined(self, facts: DataFrame, versions: dict[str, int]) -> DataFrame:
+        return self.transform(facts, {n: d[0].read(versions[n]) for n, d in self.dimensions.items()})
+
+    def _show_batch(self, batch_key: str, versions: dict[str, int]) -> None:
+        if not self.table.refresh().has_batch(batch_key):
+            self.table.append(self._joined(self.facts.batch(batch_key), versions), batch_key=batch_key)
+
+    def _restate(self, before: dict[str, int], versions: dict[str, int]) -> dict:
+        parts = []
+        for name, (dimension, keys, fact_col, dim_col) in self.dimensions.items():
+            if before[name] < versions[name]:
+                changed = dimension.changes(before[name], versions[name], keys)
+                values = changed.select(F.col(dim_col).alias(fact_col)).where(F.col(fact_col).isNotNull()).distinct()
+                known = self.facts.read()
+                if fact_col in self.cluster:        # only files whose range meets a changed value
+                    known = self.facts.read_files(self.facts.touched_files(values, [fact_col], prune=self.cluster == [fact_col]))
+                parts.append(known.join(values, fact_col, "left_semi"))
+        if not parts:
+            return {"deleted": 0, "inserted": 0}
+        concerned = parts[0]
+        for part in parts[1:]:
+            concerned = concerned.unionByName(part)
+        concerned = concerned.dropDuplicates([ROW_ID])
+        label = ",".join(f"{n}={v}" for n, v in sorted(versions.items()))
+        return self.table.replace_keys(concerned, self._joined(concerned, versions), [*self.cluster, ROW_ID], batch_key=f"dimensions:{label}")
+
+    def refresh(self, stream: DataFrame) -> dict:
+        """Take in what is new on either side; ``restated`` counts the results taken out and put in again."""
+        versions = {n: d[0].refresh().current_version() for n, d in sorted(self.dimensions.items())}
+        before = {n: self._shown(n) for n in versions}
+        restated = {"deleted": 0, "inserted": 0}
+        if self.facts.exists():
+            for entry in self.facts.log.entries:
+                self._show_batch(entry["batch"], before)
+            restated = self._restate(before, versions)
+        for name, version in versions.items():
+            if version > before[name]:
+                write_marker(self.spark, f"{self.root}/shown/{name}/{version}")
+
+        def on_batch(df: DataFrame, batch_id: int) -> None:
+            key = f"batch:{batch_id}"
+            if not self.facts.refresh().has_batch(key):
+                self.facts.append(df.withColumn(ROW_ID, F.concat(F.lit(f"{batch_id}-"), F.monotonically_increasing_id())), batch_key=key)
+            self._show_batch(key, versions)
+        return consume(stream, on_batch, f"{self.root}/_ckpt") | {"restated": restated}
+
+    def read(self) -> DataFrame:
+        return self.table.refresh().read().drop(ROW_ID)
+
+
+class MaintainedAggregate:
+    """Dynamic aggregate over a keyed table that also changes rows: sums by ``keys``, kept from signed change rows.
+
+    A refresh reads the net change rows since the stored offset; an INSERT image counts +1, a DELETE image -1. Their
+    sums per group are merged into the kept sums by addition. A group keeps its number of rows, and per sum
+    the number of values: a group without rows disappears, a sum without values is NULL. A batch of
+    changes that is offered again is not added twice. NULL is a group value like others."""
+
+    GROUP, ROWS = "__group", "__rows"
+
+    def __init__(self, spark: SparkSession, root: str, source: ManifestTable, source_keys: list[str], keys: list[str], sum_cols: list[str],
+                 of: Callable[[DataFrame], DataFrame] = lambda df: df, **options):
+        self.keys, self.sum_cols, self.of = keys, sum_cols, of
+        self.kept = ManifestTable(spark, f"{root.rstrip('/')}/kept", [self.GROUP], **options)
+        self.feed = ChangeFeed(source, f"{root.rstrip('/')}/_offset", source_keys)
+
+    def _delta(self, images: DataFrame) -> DataFrame:
+        sign = F.when(F.col(ACTION) == "INSERT", 1).otherwise(-1)
+        rows = self.of(images)
+        sums = [F.sum(F.coalesce(F.col(c), F.lit(0)) * sign).alias(c) for c in self.sum_cols]
+        counts = [F.sum(F.when(F.col(c).isNotNull(), sign).otherwise(0)).alias(f"__n_{c}") for c in self.sum_cols]
+        delta = rows.groupBy(*self.keys).agg(*sums, *counts, F.sum(sign).alias(self.ROWS))
+        # NULL parts are left out of the text, so it names every group
+        return delta.withColumn(self.GROUP, F.to_json(F.struct(*self.keys)))
+
+    def refresh(self) -> dict | None:
+        """Rows of the summary updated and inserted; None: nothing new."""
+        added = [*self.sum_cols, *[f"__n_{c}" for c in self.sum_cols], self.ROWS]
+
+        def apply(images: DataFrame, version: int) -> dict:
+            return self.kept.merge(self._delta(images), [self.GROUP], added, combine={c: (lambda t, s: t + s) for c in added},
+                                   on_duplicate="unique", keep=F.col(self.ROWS) != 0, batch_key=f"upto:{version}")
+        return self.feed.consume(apply)
+
+    def read(self) -> DataFrame:
+        sums = [F.when(F.col(f"__n_{c}") != 0, F.col(c)).alias(c) for c in self.sum_cols]
+        return self.kept.refresh().read().select(*self.keys, *sums)
+
+
 def additive_merge(current: DataFrame | None, delta: DataFrame, keys: list[str], sum_cols: list[str]) -> DataFrame:
     """Summary after adding ``delta``: sums are additive, so union + re-aggregate by key."""
     both = delta if current is None else current.select(*keys, *sum_cols).unionByName(delta.select(*keys, *sum_cols))

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
-from ..sources.stage import FileFormat, _load_ts, relative_file
+from ..session import path_exists, scratch_path
+from ..sources.stage import FileFormat, _load_ts, _strip_scheme, relative_file, stage_listing
 
 
 def stream_stage(spark: SparkSession, stage_path: str, schema: T.StructType | None,
@@ -89,6 +90,23 @@ def _start(writer, processing_time: str, start_path: str | None = None):
     return writer.start(start_path) if start_path else writer.start()
 
 
+def purge(spark: SparkSession, files: list[tuple[str, int, _dt.datetime]] | DataFrame) -> int:
+    """Delete staged files noted as (path, size, last_modified); one that was delivered again since, with another size or
+    time, is not the file that was noted and stays. Returns the number of files deleted.
+
+    The driver walks the noted files (metadata: one entry a file), through the stage's own file system."""
+    jvm, conf, n = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), 0
+    noted = files.select("path", "size", F.unix_millis("last_modified").alias("millis")).toLocalIterator() if isinstance(files, DataFrame) else files
+    for path, size, when in noted:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            status = fs.getFileStatus(p)
+            if (status.getLen(), status.getModificationTime()) == (size, when) and fs.delete(p, False):
+                n += 1
+    return n
+
+
 def rows_in(batches: list[tuple]) -> int:
     return sum(b[2] for b in batches)
 
@@ -109,40 +127,37 @@ class FileIngest:
     max_files_per_trigger: int | None = 1000
 
     def source(self) -> DataFrame:
-        # purge = true: the source removes files of committed batches itself (cleanSource);
-        # files of the last batch are removed by ``purge_loaded`` right after the commit.
         return stream_stage(self.spark, self.stage_path, self.schema, self.fmt,
                             variant_col=self.variant_col, load_ts=self.load_ts,
-                            max_files_per_trigger=self.max_files_per_trigger,
-                            clean_source="delete" if self.purge else None)
-
-    def purge_loaded(self, since=None) -> int:
-        """Delete staged files whose rows are in the target (``purge = true``). With ``since`` only
-        rows loaded at or after that time are looked at (a pushed-down filter on ``load_ts``: the
-        files written by earlier runs are skipped by their statistics). The file list is one row
-        per file, not per row."""
+                            max_files_per_trigger=self.max_files_per_trigger)
+
+    def _staged(self) -> DataFrame:
+        """What lies in the stage: path, size and time of each file."""
+        root = self.stage_path.rstrip("/") + "/"
+        listing = stage_listing(self.spark, self.stage_path)
+        at = F.instr("name", F.lit(_strip_scheme(root))) + F.lit(len(_strip_scheme(root)))
+        return listing.select(F.col("name").alias("path"), F.substring(F.col("name"), at, F.length("name")).alias("source_file_name"), "size", "last_modified")
+
+    def _purge_batches(self, noted: DataFrame, since) -> int:
+        """Delete the files noted before the load whose rows the load has committed (``purge = true``)."""
         loaded = self.read()
-        if since is not None:
+        if since is not None:                  # the files of earlier runs are skipped by their statistics
             loaded = loaded.filter(F.col("load_ts") >= F.lit(since))
-        names = [r[0] for r in loaded.select("source_file_name").distinct().collect()]
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        n = 0
-        for name in names:
-            p = jvm.org.apache.hadoop.fs.Path(self.stage_path.rstrip("/") + "/" + name)
-            fs = p.getFileSystem(conf)
-            if fs.exists(p) and fs.delete(p, False):
-                n += 1
-        return n
+        return purge(self.spark, noted.join(loaded.select("source_file_name").distinct(), "source_file_name", "left_semi"))
 
     def run(self) -> int:
         """Load files not loaded before into the target (Parquet file sink, exactly once). Returns rows."""
         w = (self.source().writeStream.format("parquet").outputMode("append")
              .option("checkpointLocation", self.checkpoint_path))
         started = _dt.datetime.now(_dt.timezone.utc) - _dt.timedelta(seconds=1)
+        noted = None
+        if self.purge and path_exists(self.spark, self.stage_path):
+            path = scratch_path(self.spark, "purge_notes")       # the list as of now, whatever is delivered meanwhile
+            self._staged().write.parquet(path)
+            noted = self.spark.read.parquet(path)
         batches = _run(self.spark, w, self.target_path)
-        if self.purge:
-            self.purge_loaded(since=started if self.load_ts is None else None)
+        if noted is not None:
+            self._purge_batches(noted, started if self.load_ts is None else None)
         return rows_in(batches)
 
     def start_continuous(self, processing_time: str = "1 minute"):

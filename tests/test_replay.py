@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from layerkit.sources.commits import CommitLog
 from layerkit.sources.partitioned import PartitionedTable
 from layerkit.sources.snapshot import AppendTable
 from layerkit.sources.stage import FileFormat
@@ -63,7 +64,7 @@ def test_update_moves_rows_between_partitions(spark, tmp_area):
     assert t.merge(spark.createDataFrame([(D(2030, 3, 5), "a", 8)], SCH), ["day", "id"], ["q"]) == {"updated": 1, "inserted": 0}
 
 
-@pytest.mark.parametrize("fail_at", ["after the merge", "while copying"])
+@pytest.mark.parametrize("fail_at", ["after the merge", "before the commit"])
 def test_replayed_batch_is_added_once(spark, tmp_area, fail_at, monkeypatch):
     facts = AppendTable(spark, f"{tmp_area}/facts")
     total = month_table(spark, f"{tmp_area}/sum")
@@ -79,13 +80,13 @@ def test_replayed_batch_is_added_once(spark, tmp_area, fail_at, monkeypatch):
             return out
         monkeypatch.setattr(PartitionedTable, "merge", merge)
     else:
-        real = PartitionedTable._publish_stage
+        real = CommitLog.commit
 
-        def publish(self, stage, schema):
-            if state.pop("fail", False):
-                raise RuntimeError("lost while copying")
-            real(self, stage, schema)
-        monkeypatch.setattr(PartitionedTable, "_publish_stage", publish)
+        def commit(self, entry):
+            if self is total.log and state.pop("fail", False):
+                raise RuntimeError("lost before the commit")
+            return real(self, entry)
+        monkeypatch.setattr(CommitLog, "commit", commit)
 
     def run():
         return incremental_aggregate(facts.stream(spark.createDataFrame([], SCH).schema),
@@ -133,7 +134,24 @@ def test_every_batch_is_counted(spark, tmp_area, local_dir):
                       schema=spark.createDataFrame([], "h int").schema, max_files_per_trigger=1)
     assert copy.run() == 150 and copy.read().count() == 150
     assert copy.run() == 0
-    assert copy.purge_loaded() == 150 and os.listdir(local_dir) == []
+
+
+def test_purge_leaves_what_was_delivered_again(spark, tmp_area, local_dir, monkeypatch):
+    def deliver(name, *lines):
+        with open(os.path.join(local_dir, name), "w") as f:
+            f.write("\n".join(["h", *lines, ""]))
+    for i in range(40):
+        deliver(f"f {i:02d}+.csv", str(i))
+    copy = FileIngest(spark, local_dir, f"{tmp_area}/t", f"{tmp_area}/_c", FileFormat.csv(), schema=spark.createDataFrame([], "h int").schema, purge=True)
+    real = FileIngest._purge_batches
+
+    def late(self, noted, since):
+        deliver("f 07+.csv", "700", "701")               # after the load, before the purge, under a loaded name
+        deliver("new.csv", "9")
+        return real(self, noted, since)
+    monkeypatch.setattr(FileIngest, "_purge_batches", late)
+    assert copy.run() == 40
+    assert sorted(n for n in os.listdir(local_dir) if n.endswith(".csv") and n[0] != ".") == ["f 07+.csv", "new.csv"]
 
 
 def test_target_lag_returns_the_running_query(spark, tmp_area):
