@@ -7,9 +7,10 @@ are labelled; the gradient of the document's likelihood shares a toxic label amo
 own probability, so training also finds which sentences offend (:func:`offending_sentences`).
 
 Labels are learned from rows whose ``crc32(doc_id) mod 5`` is not 0. Training uses a sample of at most
-``SAMPLE`` documents of each label, in order of a hash of the doc_id, each text of a doc_id once; the documents of
-each feature are counted in Spark and only words with a feature of ``LEAST_DOCUMENTS`` or more come to the driver
-(16 bytes each: rows are bounded, bytes grow with the sampled texts). Scoring covers every whole text.
+``SAMPLE`` documents of each label, in order of a hash of the doc_id, each text of a doc_id once. The sample is written
+and stays in Spark: in each step the weights go to ``PARTS`` tasks, each returns the loss and the gradient of its part (at
+most 8 * ``BUCKETS`` bytes), and the driver adds them up. Nothing of a text, and nothing whose size grows with the texts, comes
+to the driver. The fit is a quasi-Newton descent over non-negative weights (:func:`minimise`). Scoring covers every whole text.
 
 Sentences end at ``. ! ?``, at a line break, or after ``LONGEST`` words.
 
@@ -32,7 +33,8 @@ BUCKETS = 1 << 18
 SAMPLE = 3000            # labelled documents of each label used for training, at most
 LONGEST = 40
 LEAST_DOCUMENTS = 5      # a feature of fewer sampled documents gets no weight
-EPOCHS, RATE, SPARSITY, BIAS = 150, 0.1, 3e-4, -6.0
+STEPS, MEMORY, SPARSITY, BIAS = 30, 8, 3e-4, -6.0
+PARTS = 12               # tasks that share the sample
 CLEAN_SHARE = 0.8        # weight of all clean documents together
 _END = np.zeros(256, dtype=bool)
 _END[list(b".!?")] = True
@@ -90,13 +92,13 @@ def _features(batches):
 
 
 def _spread(batches):
-    """Documents of each feature, summed over the batches of a task."""
-    spread = np.zeros(BUCKETS, dtype=np.int64)
+    """Documents, and toxic documents, of each feature, summed over the batches of a task."""
+    spread = np.zeros((2, BUCKETS), dtype=np.int64)
     for batch in batches:
-        for f in batch.column("features"):
-            spread[np.unique(np.frombuffer(f.as_buffer(), np.int32))] += 1
-    used = np.flatnonzero(spread)
-    yield pa.record_batch([pa.array(used), pa.array(spread[used])], names=["feature", "documents"])
+        for f, toxic in zip(batch.column("features"), batch.column("toxic").to_pylist()):
+            spread[int(toxic == 1), np.unique(np.frombuffer(f.as_buffer(), np.int32))] += 1
+    used = np.flatnonzero(spread.any(axis=0))
+    yield pa.record_batch([pa.array(used), pa.array(spread.sum(axis=0)[used]), pa.array(spread[1][used])], names=["feature", "documents", "toxic"])
 
 
 def _telling(used: np.ndarray):
@@ -118,56 +120,119 @@ def _telling(used: np.ndarray):
     return run
 
 
-def learn(bags: list[tuple[int, int, np.ndarray, np.ndarray]], used: np.ndarray) -> np.ndarray:
-    """Weights (the last one is the bias) from (label, number of sentences, places in ``used`` [words, 3], sentence of
-    each word) of documents.
+def loss_and_gradient(w: np.ndarray, labels: np.ndarray, share: np.ndarray, bag: np.ndarray, sentence: np.ndarray, places: np.ndarray) -> tuple[float, np.ndarray]:
+    """Weighted negative log-likelihood of noisy-or bags and its gradient.
+
+    labels, share: per bag; bag: of each sentence; sentence, places [words, 3]: of each word. ``w`` holds a weight
+    for each place, an unused one (features without a weight) and the bias."""
+    z = np.full(len(bag), w[-1])
+    for j in range(3):
+        z += np.bincount(sentence, weights=w[places[:, j]], minlength=len(bag))
+    z = np.clip(z, -30, 30)
+    none = np.bincount(bag, weights=np.logaddexp(0, z), minlength=len(labels))       # -log of "no sentence"
+    any_ = np.maximum(-np.expm1(-none), 1e-12)
+    loss = float((share * np.where(labels == 1, -np.log(any_), none)).sum())
+    # d loss / d z: p for clean documents, -p (1 - P) / P for toxic ones
+    slope = share * np.where(labels == 1, -np.exp(-none) / any_, 1.0)
+    g = slope[bag] / (1 + np.exp(-z))
+    gradient = np.zeros_like(w)
+    for j in range(3):
+        gradient[:-1] += np.bincount(places[:, j], weights=g[sentence], minlength=len(w) - 1)
+    gradient[-1] = g.sum()
+    gradient[-2] = 0.0
+    return loss, gradient
+
+
+def minimise(evaluate, w: np.ndarray, steps: int = STEPS, memory: int = MEMORY) -> np.ndarray:
+    """Quasi-Newton descent (limited memory) on ``evaluate(w)`` plus ``SPARSITY`` times the sum of the weights,
+    which are never negative; the last one, the bias, is free and not penalised.
+
+    Weights at 0 that the gradient would make negative are left out of a step; a step is cut back to the
+    non-negative weights and halved until the loss falls enough."""
+    def full(w):
+        loss, gradient = evaluate(w)
+        gradient[:-2] += SPARSITY
+        return loss + SPARSITY * w[:-2].sum(), gradient
+
+    value, gradient = full(w)
+    pairs: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(steps):
+        free = (w > 0) | (gradient < 0)
+        free[-1], free[-2] = True, False
+        slope = np.where(free, gradient, 0.0)
+        step, parts = slope.copy(), []
+        for s, y in reversed(pairs):
+            a = (s @ step) / (s @ y)
+            step -= a * y
+            parts.append(a)
+        step *= (pairs[-1][0] @ pairs[-1][1]) / (pairs[-1][1] @ pairs[-1][1]) if pairs else 0.5 / max(np.abs(slope).max(), 1e-12)
+        for (s, y), a in zip(pairs, reversed(parts)):
+            step += s * (a - (y @ step) / (s @ y))
+        step = np.where(free & (step * slope > 0), step, 0.0)
+        if not step.any():
+            pairs = []
+            step = slope * (0.5 / max(np.abs(slope).max(), 1e-12))
+        length, moved = 1.0, False
+        for _ in range(6):
+            new = w - length * step
+            new[:-1] = np.maximum(new[:-1], 0.0)
+            there, slope_there = full(new)
+            if there <= value + 1e-4 * (gradient @ (new - w)):
+                moved = True
+                break
+            length /= 2
+        if not moved:
+            break
+        s, y = new - w, slope_there - gradient
+        if s @ y > 1e-12:
+            pairs = (pairs + [(s, y)])[-memory:]
+        done = value - there < 1e-3 * value
+        w, value, gradient = new, there, slope_there
+        if done:
+            break
+    return w
+
+
+def _gradient_step(shared, size: int):
+    """Loss and gradient of the rows of a task, batch by batch."""
+    def run(batches):
+        w, share_of = shared.value
+        loss, gradient = 0.0, np.zeros(size)
+        for batch in batches:
+            labels = np.array(batch.column("toxic"))
+            counts = np.array(batch.column("n_sentences"))
+            base = np.cumsum(counts) - counts
+            places = [np.frombuffer(f.as_buffer(), np.int32).reshape(-1, 3) for f in batch.column("features")]
+            sentence = [np.frombuffer(t.as_buffer(), np.int32) + b for t, b in zip(batch.column("sentences"), base)]
+            if len(labels):
+                part, g = loss_and_gradient(w, labels, np.where(labels == 1, share_of[1], share_of[0]), np.repeat(np.arange(len(labels)), counts),
+                                            np.concatenate(sentence), np.concatenate(places))
+                loss, gradient = loss + part, gradient + g
+        yield pa.record_batch([pa.array([loss]), pa.array([gradient.tobytes()], pa.binary())], names=["loss", "gradient"])
+    return run
 
-    Full-batch Adam on the noisy-or likelihood. Weights of features are evidence: they are never negative,
-    and a penalty on their sum keeps all but the telling ones at 0."""
-    weights = np.zeros(BUCKETS + 1, dtype=np.float64)
-    labels = np.array([y for y, _, _, _ in bags], dtype=float)
-    if not len(labels) or labels.min() == labels.max():
-        weights[-1] = -np.inf
-        return weights
-    weights[-1] = BIAS
-    counts = [n for _, n, _, _ in bags]
-    bag = np.repeat(np.arange(len(bags)), counts)
-    base = np.concatenate(([0], np.cumsum(counts)))[:-1]
-    sentence = np.concatenate([s + b for (_, _, _, s), b in zip(bags, base)]).astype(np.int32)
-    local = np.concatenate([f for _, _, f, _ in bags])
-    bags = [None] * len(bags)                                  # what follows needs the arrays only
-    share = np.where(labels == 1, (1 - CLEAN_SHARE) / labels.sum(), CLEAN_SHARE / (1 - labels).sum())
-    w = np.zeros(len(used) + 2)
-    w[-1] = BIAS
-    m, v = np.zeros_like(w), np.zeros_like(w)
-    for t in range(1, EPOCHS + 1):
-        z = np.full(len(bag), w[-1])
-        for j in range(3):
-            z += np.bincount(sentence, weights=w[local[:, j]], minlength=len(bag))
-        z = np.clip(z, -30, 30)
-        p = 1 / (1 + np.exp(-z))
-        none = np.bincount(bag, weights=np.logaddexp(0, z), minlength=len(bags))     # -log of "no sentence"
-        any_ = np.maximum(-np.expm1(-none), 1e-9)
-        # d loss / d z: p for clean documents, -p (1 - P) / P for toxic ones
-        slope = np.where(labels == 1, -np.exp(-none) / any_, 1.0)
-        g = (share * slope)[bag] * p
-        per_word = g[sentence]
-        gradient = np.zeros_like(w)
-        for j in range(3):
-            gradient[:-1] += np.bincount(local[:, j], weights=per_word, minlength=len(used) + 1)
-        gradient[-1] = g.sum()
-        gradient[:-1] += SPARSITY
-        m += 0.1 * (gradient - m)
-        v += 0.001 * (gradient ** 2 - v)
-        w -= RATE * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-6)
-        w[:-1] = np.maximum(w[:-1], 0.0)
-        w[-2] = 0.0
-    weights[used], weights[-1] = w[:-2], w[-1]
-    return weights
+
+def evaluator(bags: DataFrame, size: int, share_of: tuple[float, float]):
+    """``evaluate(w)`` over written bags: the sums of what the tasks return (a bounded number of bounded rows)."""
+    def evaluate(w: np.ndarray) -> tuple[float, np.ndarray]:
+        shared = bags.sparkSession.sparkContext.broadcast((w, share_of))
+        try:
+            rows = bags.mapInArrow(_gradient_step(shared, size), "loss double, gradient binary").collect()
+        finally:
+            shared.unpersist()
+        rows.sort(key=lambda r: r["loss"])                    # the same sum whatever task comes first
+        gradient = np.zeros(size)
+        for r in rows:
+            gradient += np.frombuffer(r["gradient"])
+        return sum(r["loss"] for r in rows), gradient
+    return evaluate
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarray:
-    """Weights learned from a bounded sample of the labelled rows that are not held out."""
+    """Weights (the last one is the bias) learned from a bounded sample of the labelled rows that are not held out.
+
+    Weights of features are evidence: they are never negative, and a penalty on their sum keeps all but the
+    telling ones at 0. A feature that no toxic document has would stay at 0, so it is left out."""
     known = (labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     order = (F.md5(F.col("doc_id").cast("string").cast("binary")), "doc_id")
@@ -177,15 +242,21 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
     bags = bags.dropDuplicates(["doc_id", "text"])            # repeated rows are learned from once
     bags = written(bound_arrow(bags).mapInArrow(_features, "doc_id long, toxic int, features binary, sentences binary")
                    .where(F.octet_length("sentences") > 0), "op7-sample")
-    often = (bags.select("features").mapInArrow(_spread, "feature long, documents long")
-             .groupBy("feature").agg(F.sum("documents").alias("documents")).where(F.col("documents") >= LEAST_DOCUMENTS))
-    used = np.sort(np.array([r["feature"] for r in often.select("feature").collect()], dtype=np.int64))
-    rows = bags.mapInArrow(_telling(used), "doc_id long, toxic int, n_sentences int, features binary, sentences binary").collect()
-    rows.sort(key=lambda r: (r["doc_id"], bytes(r["features"]), bytes(r["sentences"])))
-    bags = [(r["toxic"], r["n_sentences"], np.frombuffer(r["features"], np.int32).reshape(-1, 3), np.frombuffer(r["sentences"], np.int32))
-            for r in rows]
-    del rows
-    return learn(bags, used)
+    spread = bags.select("toxic", "features").mapInArrow(_spread, "feature long, documents long, toxic long").groupBy("feature")
+    often = spread.agg(F.sum("documents").alias("documents"), F.sum("toxic").alias("toxic")).where((F.col("documents") >= LEAST_DOCUMENTS) & (F.col("toxic") > 0))
+    used = np.sort(np.array([r["feature"] for r in often.select("feature").collect()], dtype=np.int64))      # at most BUCKETS
+    told = bags.repartition(PARTS, "doc_id").sortWithinPartitions("doc_id", "features")
+    told = written(told.mapInArrow(_telling(used), "doc_id long, toxic int, n_sentences int, features binary, sentences binary"), "op7-bags")
+    count = {r["toxic"]: r["count"] for r in told.groupBy("toxic").count().collect()}
+    weights = np.zeros(BUCKETS + 1, dtype=np.float64)
+    if set(count) != {0, 1}:
+        weights[-1] = -np.inf
+        return weights
+    w = np.zeros(len(used) + 2)
+    w[-1] = BIAS
+    w = minimise(evaluator(told, len(w), (CLEAN_SHARE / count[0], (1 - CLEAN_SHARE) / count[1])), w)
+    weights[used], weights[-1] = w[:-2], w[-1]
+    return weights
 
 
 def _sentence_scores(data, offsets, weights):

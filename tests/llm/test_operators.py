@@ -151,6 +151,64 @@ def test_op3_equals_the_library(spark, library):
                       for d, i in want.items()}
 
 
+def test_op3_equals_the_library_on_every_code_point(library):
+    encoder = bpe.BacktrackingBpe(bpe.default_vocabulary())
+    points = [c for c in (*range(0x21, 0x32000), *range(0xE0000, 0xE0200), *range(0xF0000, 0xF0010)) if not 0xD800 <= c < 0xE000]
+    different = []
+    for k in range(0, len(points), 20_000):
+        some = [f"a{chr(c)}!" for c in points[k:k + 20_000]]
+        different += [w for w, e in zip(some, library.encode_batch(some, add_special_tokens=False)) if encoder.encode_word(w).tolist() != e.ids]
+    assert different == []
+
+
+def test_op3_equals_the_library_on_random_strings(library):
+    rng = random.Random(23)
+    encoder = bpe.BacktrackingBpe(bpe.default_vocabulary())
+    cache = wordids.WordIds(lambda words: map(encoder.encode_word, words))
+    blocks = [(0x20, 0x7F), (0xA0, 0x250), (0x300, 0x370), (0x370, 0x530), (0x530, 0x600), (0x900, 0xD00), (0x1C80, 0x2100), (0x3040, 0x3100), (0xA640, 0xAC00), (0x1F300, 0x1F700)]
+    texts = ["".join(chr(rng.randrange(*rng.choice(blocks))) for _ in range(rng.randrange(1, 12))) for _ in range(20_000)]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    got = []
+    for t in texts:
+        raw = np.frombuffer(t.encode(), np.uint8)
+        got.append(wordids.text_ids(cache, raw, np.array([0, len(raw)]))[0].tolist())
+    assert got == want
+
+
+def test_op3_long_texts_are_taken_in_blocks(library, monkeypatch):
+    encoder = bpe.BacktrackingBpe(bpe.default_vocabulary())
+    cache = wordids.WordIds(lambda words: map(encoder.encode_word, words))
+    monkeypatch.setattr(wordids, "ID_PIECE", 50)
+    monkeypatch.setattr(bpe, "TABLE_IDS", 7)
+    for text in (" ".join(samples()[:60]), "x" * 500, "ab " * 40 + "y" * 200 + " z" * 90, " " * 300, "é" * 90 + " <|endoftext|> " * 20):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        ids, bounds = wordids.text_ids(cache, raw, np.array([0, len(raw)]))
+        want = library.encode(text, add_special_tokens=False).ids
+        assert ids.tolist() == want and bounds.tolist() == [0, len(want)]
+        assert encoder.decimals(ids).decode() == " ".join(map(str, want))
+        assert encoder.decode(ids).decode() == library.decode(want, skip_special_tokens=False)
+
+
+def test_op3_memory_of_a_long_text():
+    """A text of 50 MB within 600 MB, measured in a process of its own."""
+    import subprocess
+    import sys
+    code = """
+import resource, numpy as np, pyarrow as pa
+from layerkit.llm import bpe
+word = "".join(chr(97 + i * 7 % 26) + "é"[i % 5:] + " ." [i % 9 == 0] for i in range(1000))
+batch = pa.record_batch([pa.array([1]), pa.array([word * (50_000_000 // len(word.encode()))])], names=["doc_id", "text"])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+rows = [r for b in bpe._digest(None)([batch]) for r in b.to_pylist()]
+print(rows[0]["n_tokens"], resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024)
+"""
+    from ..conftest import ROOT
+    out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr
+    tokens, peak = out.stdout.split()
+    assert int(tokens) > 5_000_000 and float(peak) < 900       # 50 MB of text twice, ids, the vocabulary's tables
+
+
 def test_op3_small_cache_gives_the_same_ids(library):
     encoder = bpe.BacktrackingBpe(bpe.default_vocabulary())
     cache = wordids.WordIds(lambda words: map(encoder.encode_word, words), most=40)
@@ -311,6 +369,50 @@ def test_op7_sample_and_repeated_rows(spark):
     assert np.allclose(once, repeated) and once[:-1].any()
 
 
+def test_op7_gradient_against_brute_force(spark):
+    import math
+    from pyspark.sql import functions as F
+    rng = random.Random(17)
+    n_places, bags, rows = 9, [], []
+    for d in range(20):
+        sentences = [[[rng.randrange(n_places + 1) for _ in range(3)] for _ in range(rng.randrange(1, 5))] for _ in range(rng.randrange(1, 4))]
+        bags.append((d, d % 3 == 0, sentences))
+        words = [w for s in sentences for w in s]
+        at = [k for k, s in enumerate(sentences) for _ in s]
+        rows.append((d, int(d % 3 == 0), len(sentences), np.array(words, np.int32).tobytes(), np.array(at, np.int32).tobytes()))
+    share = (0.8 / 13, 0.2 / 7)
+    w = np.array([rng.random() * 0.6 for _ in range(n_places)] + [0.0, -2.0])
+
+    def loss(w):
+        total = 0.0
+        for _, toxic, sentences in bags:
+            none = math.prod(1 - 1 / (1 + math.exp(-(w[-1] + sum(w[f] for word in s for f in word)))) for s in sentences)
+            total -= share[toxic] * math.log(1 - none if toxic else none)
+        return total
+
+    table = spark.createDataFrame(rows, "doc_id long, toxic int, n_sentences int, features binary, sentences binary").repartition(4, F.col("doc_id"))
+    value, gradient = toxicity.evaluator(table, len(w), share)(w)
+    assert math.isclose(value, loss(w), rel_tol=1e-9)
+    for j in [*range(n_places), n_places + 1]:
+        step = np.zeros(len(w))
+        step[j] = 1e-5
+        assert math.isclose(gradient[j], (loss(w + step) - loss(w - step)) / 2e-5, rel_tol=1e-4, abs_tol=1e-8)
+    assert gradient[n_places] == 0
+
+
+def test_op7_descent_finds_the_minimum():
+    target = np.array([0.0, 2.0, 0.0, 1.0, 0.0, -3.0])            # the place before the last is not used
+
+    def evaluate(w):
+        d = w - target
+        scale = np.array([1.0, 4.0, 2.0, 9.0, 0.0, 1.0])
+        gradient = scale * d
+        gradient[0] += 1.0                                         # the loss falls towards negative weights
+        return float((scale * d * d).sum() / 2 + w[0]), gradient
+    w = toxicity.minimise(evaluate, np.zeros(6), steps=60)
+    assert np.allclose(w, target, atol=0.1) and w[0] == 0 and w[2] == 0
+
+
 def test_op7_labels_of_one_kind(spark):
     df = frame(spark, [(1, "a b"), (2, "c d")])
     lab = spark.createDataFrame([(1, 1, 0), (2, 1, 0)], "doc_id long, quality int, toxic int")
