@@ -11,7 +11,9 @@ merging pair by pair gives.
 
 Before that a text is normalised and split as the vocabulary file says: NFC, white space, lower case, the
 split pattern, byte symbols, and a marker on the last byte of each piece. The marked bytes are symbols
-of their own here (256 + byte), so a piece is a plain sequence of symbols.
+of their own here (256 + byte), so a piece is a plain sequence of symbols. Words outside ASCII are normalised and split
+by the library's own normaliser and splitter: which characters are letters, and what their lower case is, depends on
+its version of Unicode. Ids and text are hashed in blocks, and a long text is encoded in blocks.
 
 Decoding has one string that holds the text of every token and a table of offsets into it.
 
@@ -23,7 +25,8 @@ from __future__ import annotations
 
 import hashlib
 import json
-import unicodedata
+import os
+from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
@@ -38,6 +41,7 @@ from .words import pieces, process_cache, ragged
 
 VOCABULARY = "word_bpe_49k.json"
 WORDS = 250_000              # words whose ids a worker keeps
+TABLE_IDS = 1 << 16          # ids turned into bytes at once
 PAIR_TABLE = 400_000       # entries of the compatibility table of a worker, emptied when full
 
 
@@ -55,7 +59,12 @@ class BacktrackingBpe:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        model, to_byte = spec["model"], _byte_symbols()
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")     # Spark runs a task per core
+        from tokenizers import Tokenizer
+        library = Tokenizer.from_file(path)
+        self.normalise, self.split_normal = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
+        self.to_byte = _byte_symbols()
+        model, to_byte = spec["model"], self.to_byte
         suffix = model["end_of_word_suffix"]
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
@@ -183,24 +192,21 @@ class BacktrackingBpe:
         return np.array(out, dtype=np.uint32)
 
     def _plain(self, text: str) -> list[int]:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
-            # character by character: a final sigma is lower-cased as any other
-            text = "".join(map(str.lower, text)) if "Σ" in text or "İ" in text else text.lower()
-        else:
-            text = text.lower()
         out: list[int] = []
-        for piece in self.split.findall(text):
-            raw = piece.encode("utf-8")
+        if text.isascii():
+            pieces_ = (p.encode("ascii") for p in self.split.findall(text.lower()))
+        else:                      # the splitter gives byte symbols
+            pieces_ = (bytes(map(self.to_byte.__getitem__, p)) for p, _ in self.split_normal(self.normalise(text)))
+        for raw in pieces_:
             out += self.encode_piece(raw[:-1].decode("latin-1") + chr(raw[-1] + 256))
         return out
 
     def decode(self, ids: np.ndarray) -> bytes:
         """Text of the ids, one blank between tokens."""
-        return from_table(self.text_table, ids)
+        return b"".join(from_table(self.text_table, ids))
 
     def decimals(self, ids: np.ndarray) -> bytes:
-        return from_table(self.decimal_table, ids)
+        return b"".join(from_table(self.decimal_table, ids))
 
 
 def offset_table(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -208,11 +214,20 @@ def offset_table(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             np.concatenate(([0], np.cumsum([len(s) for s in strings]))))
 
 
-def from_table(table: tuple[np.ndarray, np.ndarray], ids: np.ndarray) -> bytes:
-    """The strings of the ids one after the other, without the last byte (a blank)."""
+def from_table(table: tuple[np.ndarray, np.ndarray], ids: np.ndarray) -> Iterator[bytes]:
+    """The strings of the ids one after the other in blocks, without the last byte (a blank)."""
     data, offsets = table
-    ids = ids.astype(np.int64)
-    return data[ragged(offsets[ids], offsets[ids + 1] - offsets[ids])].tobytes()[:-1]
+    for k in range(0, len(ids), TABLE_IDS):
+        some = ids[k:k + TABLE_IDS].astype(np.int64)
+        block = data[ragged(offsets[some], offsets[some + 1] - offsets[some])].tobytes()
+        yield block if k + TABLE_IDS < len(ids) else block[:-1]
+
+
+def _sha256(blocks: Iterator[bytes]) -> str:
+    digest = hashlib.sha256()
+    for block in blocks:
+        digest.update(block)
+    return digest.hexdigest()
 
 
 def default_vocabulary() -> str:
@@ -248,14 +263,14 @@ def _encode(path, carry=()):
 def _digest(path):
     def run(batches):
         bpe, cache = tokenizer(path)
-        sha = lambda raw: hashlib.sha256(raw).hexdigest()
         for batch in batches:
             for first, data, offsets in pieces(batch.column("text"), ID_PIECE):
                 ids, bounds = text_ids(cache, data, offsets)
                 spans = list(zip(bounds[:-1], bounds[1:]))
                 yield pa.record_batch(
                     [batch.column("doc_id").slice(first, len(spans)), pa.array(np.diff(bounds)),
-                     pa.array([sha(bpe.decimals(ids[a:b])) for a, b in spans]), pa.array([sha(bpe.decode(ids[a:b])) for a, b in spans])],
+                     pa.array([_sha256(from_table(bpe.decimal_table, ids[a:b])) for a, b in spans]),
+                     pa.array([_sha256(from_table(bpe.text_table, ids[a:b])) for a, b in spans])],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
     return run
 

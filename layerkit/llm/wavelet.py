@@ -20,6 +20,7 @@ so one very long document makes a longer shard.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import struct
 import zlib
@@ -256,14 +257,24 @@ def _documents(batches):
                 names=["partition", "shard", "doc_id", "within", "n_tokens", "ids_crc32"])
 
 
+@contextlib.contextmanager
+def shard_by_shard(spark: SparkSession):
+    """One file an Arrow batch for the jobs run inside; the caller's setting comes back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """One row per document, from the shard files: doc_id, start, n_tokens, ids_crc32."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where("length > 0").select("content")
-    conf = spark.conf
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")      # a shard at a time
-    docs = written(files.mapInArrow(
-        _documents, "partition long, shard long, doc_id long, within long, n_tokens long, ids_crc32 long"), "op6-read")
-    conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    with shard_by_shard(spark):
+        docs = written(files.mapInArrow(
+            _documents, "partition long, shard long, doc_id long, within long, n_tokens long, ids_crc32 long"), "op6-read")
     # ids before a shard: partitions first, then the shards of a partition
     shards = docs.groupBy("partition", "shard").agg(F.sum("n_tokens").alias("n"))
     whole = shards.groupBy("partition").agg(F.sum("n").alias("n"))

@@ -2,7 +2,8 @@
 
 Words are the runs between ASCII blanks; the tokenizers here never join text across a blank, so the ids
 of a text are the ids of its words one after the other. To have fewer different words, texts are first
-prepared in ways that leave their ids alone: A-Z becomes lower case (the normaliser does it anyway), and a
+prepared in ways that leave their ids alone: A-Z becomes lower case (the normaliser does it anyway; not before a
+character outside ASCII, which may be a mark that composes with one case only), and a
 blank is put where a letter or digit is followed by an ASCII mark other than the apostrophe (the split
 pattern parts them anyway). Pieces that hold the string of a special token are left as they are.
 
@@ -83,6 +84,11 @@ def prepared(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     d = np.frombuffer(lower, dtype=np.uint8)
     if len(d) < 2:
         return d, offsets
+    beyond = np.flatnonzero(d[1:] >= 0x80)
+    beyond = beyond[d[beyond] != data[beyond]]
+    if len(beyond):
+        d = d.copy()
+        d[beyond] = data[beyond]
     # ASCII letters and digits, and the two-byte letters U+00C0 to U+00FF
     letter = _ALNUM[d]
     letter[1:] |= (d[:-1] == 0xC3) & (d[1:] >= 0x80) & (d[1:] != 0x97) & (d[1:] != 0xB7)
@@ -91,7 +97,27 @@ def prepared(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def text_ids(cache: WordIds, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all texts, bounds of each text's ids) of texts data[offsets[i]:offsets[i + 1]]."""
+    """(ids of all texts, bounds of each text's ids) of texts data[offsets[i]:offsets[i + 1]]. A text of more than
+    ``ID_PIECE`` bytes is taken in blocks that end at blanks."""
+    if len(offsets) == 2 and len(data) > ID_PIECE:
+        parts, at = [], 0
+        while at < len(data):
+            end = at + ID_PIECE
+            if end < len(data):
+                blank = np.flatnonzero(data[at + 1:end] == 0x20)
+                if not len(blank):                     # a very long word
+                    rest = data[end:].tobytes().find(b" ")
+                    blank = [(rest if rest >= 0 else len(data) - end) + ID_PIECE - 1]
+                end = at + 1 + int(blank[-1])
+            end = min(end, len(data))
+            parts.append(text_ids(cache, data[at:end], np.array([0, end - at]))[0] if end - at < len(data) else _ids(cache, data, offsets)[0])
+            at = end
+        ids = np.concatenate(parts)
+        return ids, np.array([0, len(ids)])
+    return _ids(cache, data, offsets)
+
+
+def _ids(cache: WordIds, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = prepared(data, offsets)
     texts = pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data))
     split = pc.ascii_split_whitespace(texts)
