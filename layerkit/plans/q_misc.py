@@ -7,7 +7,7 @@ import datetime as _dt
 from pyspark.sql import functions as F
 
 from ..functions.geo import METRES_PER_KM, haversine_m, parse_wkt_point
-from ..operators.layout import cluster_by, layout_report, write_with_bloom
+from ..operators.layout import cluster_by, depth_histogram, layout_report, write_with_bloom
 from ..operators.policy import apply_mask, apply_row_policy, protected_view
 from ..operators.reporting import daily_report, newest_first, topk_recent
 from ..session import scratch_path
@@ -109,11 +109,32 @@ def bloom_point_lookup(spark, sf):
             .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("total_quantity")))
 
 
-@query("layout_report", covers="L2")
+LAYOUT_FILES_SQL = """
+r as (select case when o_orderkey % 50 = 0 then o_orderkey // 400 + 3 else o_orderkey // 400 end as g, min(o_orderkey) as lo, max(o_orderkey) as hi from orders group by 1),
+f as (select a.g, any_value(a.lo) as lo, any_value(a.hi) as hi, count(*) - 1 as others, count(*) filter (where b.lo <= a.lo and (b.lo < a.lo or b.g <= a.g)) as depth
+      from r a join r b on b.lo <= a.hi and b.hi >= a.lo group by a.g)"""
+
+
+def _overlapping_files(spark, sf):
+    """Orders in files whose key ranges are known: one file per 400 keys, with every fiftieth key three files on."""
+    path = scratch_path(spark, "layout_orders")
+    key = F.col("o_orderkey")
+    group = F.floor(key / 400) + F.when(key % 50 == 0, 3).otherwise(0)
+    table(spark, sf, "orders").select("o_orderkey", group.alias("g")).coalesce(1).write.partitionBy("g").parquet(path)
+    return path
+
+
+@query("layout_report", covers="L2", sql=f"""with {LAYOUT_FILES_SQL}
+select count(*) as total_files, count(*) filter (where lo = hi) as constant_files, avg(others) as average_overlaps, avg(depth) as average_depth,
+       max(depth) as max_depth from f""")
 def layout_report_q(spark, sf):
-    path = scratch_path(spark, "layout_lineitem")
-    cluster_by(table(spark, sf, "lineitem"), path, ["l_suppkey"])
-    return layout_report(spark, path, "l_suppkey")
+    return layout_report(spark, _overlapping_files(spark, sf), "o_orderkey")
+
+
+@query("layout_depths", covers="L2", sql=f"with {LAYOUT_FILES_SQL} select depth, count(*) as files from f group by depth")
+def layout_depths(spark, sf):
+    """Histogram of the clustering depth."""
+    return depth_histogram(spark, _overlapping_files(spark, sf), "o_orderkey")
 
 
 @query("geo_enriched_ctas", covers="S20 P2 F6 F7", sql=f"""

@@ -108,3 +108,44 @@ def maintained_aggregate(spark, sf):
     facts.merge(dearer.withColumn("price", F.col("price") + 5), ["o_orderkey"], ["price"])
     sums.refresh()
     return sums.read()
+
+
+ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice"
+
+
+@query("recluster_after_append", covers="L1", sql=f"select {ORDER_COLS} from orders")
+def recluster_after_append(spark, sf):
+    """A table clustered by customer gets more orders of some customers; only the files that then overlap are rewritten, until no
+    customer range is covered twice."""
+    orders = _orders(spark, sf)
+    target = ManifestTable(spark, scratch_path(spark, "recluster"), ["o_custkey", "o_orderkey"], file_rows=_file_rows(orders))
+    cut = orders.agg(F.percentile_approx("o_custkey", 0.8).alias("cut"))
+    late = (F.col("o_custkey") > F.col("cut")) & (F.col("o_orderkey") % 3 == 0)
+    marked = orders.join(F.broadcast(cut)).withColumn("late", late).drop("cut")
+    target.publish(marked.where("not late").drop("late"))
+    target.append(marked.where("late").drop("late"))
+    before, was = set(target.files()), target.depths().agg(F.max("depth"), F.avg("depth")).first()
+    target.recluster(rounds=40)
+    now = target.depths().agg(F.max("depth"), F.avg("depth")).first()
+    if not (was[0] > 1 == now[0] and now[1] == 1 and before & set(target.files())):
+        raise RuntimeError(f"depth was {was}, is {now}")
+    return target.read()
+
+
+LOOKUP_KEY = 40
+
+
+@query("indexed_point_lookup", covers="L3", sql=f"select {ORDER_COLS} from orders where o_custkey = {LOOKUP_KEY}")
+def indexed_point_lookup(spark, sf):
+    """Equality look-up through the value-to-file index, kept up over an append and a merge: only the files that the index names
+    are read."""
+    orders = _orders(spark, sf)
+    target = ManifestTable(spark, scratch_path(spark, "lookup"), ["o_orderkey"], file_rows=_file_rows(orders), index=["o_custkey"])
+    target.publish(orders.where("o_orderkey % 3 <> 1").withColumn("o_totalprice", F.lit(0.0)))
+    target.append(orders.where("o_orderkey % 3 = 1"))
+    target.merge(orders.where(f"o_custkey = {LOOKUP_KEY} or o_orderkey % 3 <> 1"), ["o_orderkey"], ["o_totalprice"])
+    rows = target.lookup("o_custkey", LOOKUP_KEY)
+    held = target.read().where(F.col("o_custkey") == LOOKUP_KEY).select(data_file()).distinct().count()
+    if not held <= len(rows.inputFiles()) < len(target.files()) / 2:
+        raise RuntimeError(f"{len(rows.inputFiles())} files read, {held} hold the key, {len(target.files())} there are")
+    return rows

@@ -11,6 +11,9 @@ the version, so a replayed batch is known. Of two writers the second repeats its
 * A merge narrows the files by the key runs of its source (smallest and largest cluster values of ``RUNS`` range
   partitions, against the manifest), finds the files that really hold one of its keys by a semi-join that
   reads the key columns only, and rewrites those. New keys go to new files.
+* ``index`` names columns with a value-to-file index: per new folder of files the hashes of their values, sorted; a
+  look-up finds its files there and reads no other.
+* ``recluster`` rewrites the files that overlap most and leaves the others.
 * ``changes(after, upto)`` reads the change rows of these versions only, and folds several changes of a
   key into one net change.
 
@@ -31,6 +34,7 @@ from pyspark.sql import types as T
 
 from ..operators.changes import ACTION as IMAGE
 from ..operators.changes import IS_UPDATE, fold_changes, snapshot_diff
+from ..operators.layout import sweep
 from ..operators.upsert import ACTION, merge_frame
 from ..session import drop_folder
 from .commits import CommitLog, ConcurrentWriteError
@@ -47,9 +51,9 @@ def data_file() -> Column:
 
 
 class ManifestTable:
-    def __init__(self, spark: SparkSession, root: str, cluster: list[str], *, file_rows: int = FILE_ROWS):
+    def __init__(self, spark: SparkSession, root: str, cluster: list[str], *, file_rows: int = FILE_ROWS, index: list[str] = ()):
         self.spark, self.root = spark, root.rstrip("/")
-        self.cluster, self.file_rows = cluster, file_rows
+        self.cluster, self.file_rows, self.index = cluster, file_rows, list(index)
         self.log = CommitLog(spark, f"{self.root}/_log")
 
     # -- versions -------------------------------------------------------------
@@ -106,6 +110,19 @@ class ManifestTable:
         paths = [p for r in listed.collect() for p in (r["files"] or [r["folder"]])]
         return self._read_files(sorted(paths), self.schema(version))
 
+    def lookup(self, column: str, value) -> DataFrame:
+        """Rows with ``column = value``; only files that the index names are read. (The hash of NULL is the hash's seed; NULL equals
+        nothing, as in SQL.)"""
+        if column not in self.index:
+            raise ValueError(f"no index on {column}")
+        typed = F.lit(value).cast(self.schema()[column].dataType)
+        live = self.manifest().select("file")
+        folders = [r[0] for r in live.select(F.substring_index("file", "/", 1)).distinct().collect()]
+        entries = self.spark.read.parquet(*[f"{self.root}/{self._index_folder(f, column)}" for f in folders]) if folders else None
+        files = [] if entries is None else sorted(r["file"] for r in entries.where(F.col("hash") == F.xxhash64(typed)).select("file").distinct()
+                                                  .join(live, "file", "left_semi").collect())
+        return self.read_files(files).where(F.col(column) == typed)
+
     # -- writing --------------------------------------------------------------
     def _transact(self, batch_key: str | None, build: Callable[[], tuple[dict, object]], nothing):
         """Publish what ``build`` made on the newest version; again if another writer was first."""
@@ -129,8 +146,15 @@ class ManifestTable:
         by = list(dict.fromkeys([*self.cluster, *order]))
         ordered = after(rows.repartitionByRange(*by).sortWithinPartitions(*by))
         ordered.write.option("maxRecordsPerFile", self.file_rows).parquet(f"{self.root}/{folder}")
+        for column in self.index:
+            values = self.spark.read.schema(ordered.schema).parquet(f"{self.root}/{folder}").select(F.xxhash64(column).alias("hash"), data_file().alias("file"))
+            values.distinct().repartitionByRange("hash").sortWithinPartitions("hash").write.parquet(f"{self.root}/{self._index_folder(folder, column)}")
         return folder
 
+    @staticmethod
+    def _index_folder(data: str, column: str) -> str:
+        return f"index/{data.rsplit('/', 1)[-1]}/{column}"
+
     def _statistics(self, folder: str, schema: T.StructType) -> DataFrame:
         """Manifest rows of new files (reads their cluster columns)."""
         key = F.struct(*self.cluster)
@@ -320,6 +344,37 @@ class ManifestTable:
         finally:
             gone.unpersist()
 
+    # -- layout ------------------------------------------------------------------
+    def depths(self) -> DataFrame:
+        """Per file: range of cluster values, depth where it starts, number of files that overlap it."""
+        return sweep(self.manifest().select(F.col("file").alias("file_name"), F.col("lo").alias("min_key"), F.col("hi").alias("max_key")))
+
+    def recluster(self, most_depth: int = 1, *, rounds: int = 10, file_bytes: int | None = None) -> int:
+        """While some value lies in more than ``most_depth`` files, rewrite the files that hold the deepest one, by range (files of
+        about ``file_bytes``, if given). Other files stay. Returns the number of files rewritten; rows do not change."""
+        done = 0
+        for _ in range(rounds):
+            def build():
+                deepest = self.depths().where(F.col("depth") > most_depth).orderBy(F.desc("depth"), "min_key").limit(1).select("min_key")
+                # the row holds one value: files whose range holds it
+                hit = self.manifest().join(F.broadcast(deepest), (F.col("lo") <= F.col("min_key")) & (F.col("hi") >= F.col("min_key")), "left_semi").select("file", "rows", "bytes").collect()
+                if not hit:
+                    return None, 0
+                schema, files = self.schema(), [r["file"] for r in hit]
+                rows_of, kept = sum(r["rows"] for r in hit), self.file_rows
+                if file_bytes:
+                    self.file_rows = max(1, int(file_bytes * rows_of / max(1, sum(r["bytes"] for r in hit))))
+                try:
+                    data = self._write_data(self._read_files(files, schema))
+                finally:
+                    self.file_rows = kept
+                return {"kind": "recluster", "schema": schema.json(), "data": data, "manifest": self._write_manifest(files, data, schema), "changes": None}, len(files)
+            n = self._transact(None, build, 0)
+            if not n:
+                break
+            done += n
+        return done
+
     # -- change feed -----------------------------------------------------------
     def change_rows(self, version: int, keys: list[str]) -> DataFrame:
         """The images of one version. Inserted files are their own images; a replaced table is compared."""
@@ -330,7 +385,7 @@ class ManifestTable:
             rows = self.spark.read.schema(self.schema(version)).parquet(f"{self.root}/{entry['added']}")
             return rows.select("*", F.lit("INSERT").alias(IMAGE), F.lit(False).alias(IS_UPDATE))
         now = self.read(version)
-        if entry["kind"] == "note":
+        if entry["kind"] in ("note", "recluster"):
             return now.limit(0).select("*", F.lit("INSERT").alias(IMAGE), F.lit(False).alias(IS_UPDATE))
         return snapshot_diff(self.read(version - 1) if version > 1 else now.limit(0), now, keys)
 
