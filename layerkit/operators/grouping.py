@@ -1,24 +1,39 @@
 """Bounded groups: split a grouping key into chunks of bounded size.
 
-When rows of one key must be gathered (a nested document, a text block), a key that holds
-a large share of all rows would land in one task and one row. ``bounded_chunks`` adds a
-chunk number so that each (key, chunk) holds about ``max_rows`` rows: the per-key count is
-a partially aggregated ``count`` (one row per key), joined back on the key (AQE splits a
-skewed join partition), and rows are spread over ``ceil(count / max_rows)`` chunks by a
-hash of their own columns.
+When rows of one key must be gathered (a nested document, a text block), a key that holds a large share of all
+rows would land in one task and one row. ``bounded_chunks`` numbers the rows of each key and cuts the numbers
+into chunks of at most ``max_rows`` rows, in two levels: rows are spread over ``SLICES`` slices of the key by a hash of
+their place in the input (not of their columns, so equal rows spread too), numbered inside the slice, and moved on
+by the sizes of the slices before theirs (one row per key and slice). A chunk is full but for the last one of
+its key, whatever the rows look like; no task sees more than a slice of a key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 
-def bounded_chunks(df: DataFrame, keys: list[str], max_rows: int = 256, spread_cols: list[str] | None = None,
-                   chunk_col: str = "chunk") -> DataFrame:
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    spread = spread_cols or [c for c in df.columns if c not in keys]
-    n_chunks = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(max_rows)).cast("long"))
-    return (df.join(counts, keys, "inner")
-            .withColumn(chunk_col, F.pmod(F.xxhash64(*spread), n_chunks))
-            .drop("__n"))
+SLICES = 64
+
+
+def bounded_chunks(df: DataFrame, keys: list[str], max_rows: int = 256, chunk_col: str = "chunk", slices: int = SLICES) -> DataFrame:
+    """``df`` with ``chunk_col``: 0, 1, ... within each key. NULL keys form one group."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "chunks")
+    place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(slices))
+    # written: the slice of a row is data from here on, also when a task is repeated
+    df.withColumn("__slice", place).write.parquet(path)
+    rows = spark.read.schema(df.withColumn("__slice", place).schema).parquet(path)
+    sizes = rows.groupBy(*keys, "__slice").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__slice").alias("__s"),
+                           F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    inside = Window.partitionBy(*keys, "__slice").orderBy(F.lit(0))
+    numbered = rows.withColumn("__row", F.row_number().over(inside) - 1)
+    same = F.col("__slice") == F.col("__s")
+    for i, k in enumerate(keys):
+        same &= F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    chunk = F.floor((F.col("__before") + F.col("__row")) / F.lit(max_rows)).cast("long")
+    return numbered.join(offsets, same).select(*df.columns, chunk.alias(chunk_col))

@@ -51,6 +51,17 @@ def validity_intervals(df: DataFrame, keys: list[str], from_col: str, tie_cols:
     return joined.select(*df.columns, end.alias(to_col))
 
 
+def current_versions(df: DataFrame, keys: list[str], from_col: str, tie_cols: list[str], to_col: str = "valid_to", open_end=OPEN_END) -> DataFrame:
+    """The rows that :func:`validity_intervals` leaves open and :func:`current_rows` keeps, without building the other
+    intervals: per key the last row that starts before ``open_end``. A partially aggregated ``max_by``, so a hot key costs one row a
+    task; NULL keys form one group, a NULL start is never current."""
+    end = F.lit(open_end).cast(df.schema[from_col].dataType)
+    rest = [c for c in df.columns if c not in keys]
+    # NULLs sort first, in the window as in a struct
+    last = df.where(F.col(from_col) < end).groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(from_col, *tie_cols)).alias("__last"))
+    return last.select(*[F.col(c) if c in keys else F.col("__last")[c].alias(c) for c in df.columns], end.alias(to_col))
+
+
 def current_rows(intervals: DataFrame, to_col: str = "valid_to", open_end=OPEN_END,
                  from_col: str | None = None) -> DataFrame:
     """Rows whose interval is open (``valid_to = '9999-12-31'``). With ``from_col`` given, zero-length

@@ -37,7 +37,28 @@ def newest_first(df: DataFrame, ts_col: str, id_col: str) -> DataFrame:
     return df.orderBy(F.col(ts_col).desc(), F.col(id_col).asc())
 
 
+class MessageLog:
+    """Append-only log of messages (event_id, ts, severity, message); several writers may append."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        from ..sources.snapshot import SnapshotTable
+        self.rows = SnapshotTable(spark, root)
+
+    def append(self, messages: DataFrame) -> None:
+        self.rows.refresh().append(messages.select("event_id", "ts", "severity", "message"))
+
+    def log(self, message: str, severity: str = "INFO") -> None:
+        """One message, now."""
+        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        one = self.rows.spark.createDataFrame([(uuid.uuid4().int >> 65, now, severity, message)], "event_id long, ts timestamp_ntz, severity string, message string")
+        self.append(one.coalesce(1))
+
+    def read(self) -> DataFrame:
+        return self.rows.refresh().read()
+
+
 # ---------------------------------------------------------------------------- run log
+# Names and order of the log's columns (fixed values)
 RUN_LOG_SCHEMA = T.StructType([
     T.StructField("run_group_id", T.StringType()),
     T.StructField("root_task_name", T.StringType()),

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.changes import ACTION, IS_UPDATE, ChangeFeed, insert_images, snapshot_diff
-from ..operators.history import current_rows, validity_intervals
+from ..operators.history import current_versions, validity_intervals
 from ..session import scratch_path
 from ..sources.snapshot import AppendTable, SnapshotTable
 from ..sources.tables import table
@@ -107,8 +107,7 @@ def scd2_intervals(spark, sf):
 @query("scd2_current", covers="W3", sql=f"""with h as ({SCD2_SQL})
 select * from h where valid_to = date '9999-12-31' and valid_from < valid_to""")
 def scd2_current(spark, sf):
-    h = validity_intervals(order_versions(spark, sf), ["customer_id"], "valid_from", ["version_seq"])
-    return current_rows(h, from_col="valid_from")
+    return current_versions(order_versions(spark, sf), ["customer_id"], "valid_from", ["version_seq"])
 
 
 # Product history: an initial copy of ``part`` valid from a fixed date, then a re-categorisation
@@ -134,8 +133,7 @@ select cast(l.l_shipdate as date) as delivery_date, cur.product_name, cur.catego
 from lineitem l left join cur on l.l_partkey = cur.product_id
 group by all""")
 def current_version_join(spark, sf):
-    hist = validity_intervals(product_history(spark, sf), ["product_id"], "valid_from", ["seq"])
-    cur = current_rows(hist, from_col="valid_from").select("product_id", "product_name", "category")
+    cur = current_versions(product_history(spark, sf), ["product_id"], "valid_from", ["seq"]).select("product_id", "product_name", "category")
     li = table(spark, sf, "lineitem")
     return (li.join(cur, li.l_partkey == cur.product_id, "left")
             .groupBy(F.to_date("l_shipdate").alias("delivery_date"), "product_name", "category")

@@ -57,6 +57,18 @@ def csv_copy_load(spark, sf):
     return ingest.read().select(*ORDERS_CSV_SCHEMA.names)
 
 
+@query("load_time_column", covers="S8 S7", sql="""
+select o_orderkey as order_id, 'status=' || o_orderstatus as folder, timestamp '2024-02-01 03:04:05.678901' as load_ts from orders""")
+def load_time_column(spark, sf):
+    """Each row of a load carries the load's time, here a given one, and the file it came from."""
+    area = scratch_path(spark, "load_time")
+    fmt = FileFormat.csv()
+    land(_orders_rows(spark, sf), f"{area}/stage", fmt, partition_by=["status"])
+    schema = T.StructType([f for f in ORDERS_CSV_SCHEMA.fields if f.name != "status"])
+    rows = read_stage(spark, f"{area}/stage", schema, fmt, load_ts="2024-02-01 03:04:05.678901")
+    return rows.select("order_id", F.regexp_extract("source_file_name", "^([^/]+)/", 1).alias("folder"), F.col("load_ts").cast("timestamp_ntz").alias("load_ts"))
+
+
 @query("path_scoped_load", covers="S6", sql=f"""
 select o_orderkey as order_id, o_custkey as customer_id, o_totalprice as total_price,
        cast(o_orderdate as date) as order_date from orders where o_orderstatus = 'F'""")

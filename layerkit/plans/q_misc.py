@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from ..functions.geo import METRES_PER_KM, haversine_m, parse_wkt_point
 from ..operators.layout import cluster_by, depth_histogram, layout_report, write_with_bloom
 from ..operators.policy import apply_mask, apply_row_policy, protected_view
-from ..operators.reporting import daily_report, newest_first, topk_recent
+from ..operators.reporting import MessageLog, daily_report, newest_first, topk_recent
+from ..operators.reuse import reused
 from ..session import scratch_path
 from ..sources.snapshot import SnapshotTable
 from ..sources.tables import table
@@ -46,10 +47,29 @@ def daily_load_report(spark, sf):
 
 
 @query("event_log_recent", covers="L6 O1", sql="""
-select event_id, ts, user_id, props from events where event_type = 'error' order by ts desc, event_id""")
+select event_id, ts, event_type as severity, props as message from events order by ts desc, event_id""")
 def event_log_recent(spark, sf):
-    ev = table(spark, sf, "events").filter(F.col("event_type") == "error")
-    return newest_first(ev, "ts", "event_id").select("event_id", "ts", "user_id", "props")
+    """Messages appended to the log table (errors by one writer, all others by a second), listed newest first."""
+    log = MessageLog(spark, f"{scratch_path(spark, 'message_log')}/log")
+    messages = table(spark, sf, "events").select("event_id", "ts", F.col("event_type").alias("severity"), F.col("props").alias("message"))
+    log.append(messages.filter(F.col("severity") == "error"))
+    MessageLog(spark, log.rows.root).append(messages.filter(F.col("severity") != "error"))
+    return newest_first(log.read(), "ts", "event_id").select("event_id", "ts", "severity", "message")
+
+
+@query("result_reuse", covers="L9 A2", sql=f"""with s as ({FILTERED_SUM_SQL}) select a.*, b.n from s a, (select count(*) as n from s) b""")
+def result_reuse(spark, sf):
+    """A result used twice with reuse switched on: the second use reads the kept result, which is released at the end."""
+    result = filtered_sum_of(table(spark, sf, "lineitem"))
+    with reused(result) as kept:
+        n = kept.count()
+        if not kept.storageLevel.useMemory:
+            raise RuntimeError("the result is not kept")
+        path = scratch_path(spark, "result_reuse")
+        kept.withColumn("n", F.lit(n).cast("bigint")).write.parquet(path)
+    if result.storageLevel.useMemory:
+        raise RuntimeError("the result was not released")
+    return spark.read.parquet(path)
 
 
 # Role rules of the department policy (fixture: market segments play the departments)
@@ -152,26 +172,25 @@ def geo_enriched_ctas(spark, sf):
     return snap.read()
 
 
-@query("refresh_history", covers="T11 A9")
+@query("refresh_history", covers="T11 A9", sql="""
+select 'user_event_counts' as table_name, 0 as batch_id, count(*) as input_rows from events where event_type = 'click'
+union all select 'user_event_counts', 1, count(*) from events where event_type <> 'click'""")
 def refresh_history(spark, sf):
-    """Refresh history of a dynamic table (event counts per user, maintained additively as new
-    events arrive in two deliveries): one row per refresh (micro-batch), newest first."""
+    """Refresh history of a dynamic table (event counts per user, maintained additively as new events arrive in two deliveries), from
+    the audit table that the refreshes append to: one row per refresh, newest first. A refresh without news adds none."""
     from ..sources.snapshot import AppendTable
-    from ..streaming.incremental import incremental_aggregate
+    from ..streaming.incremental import RefreshAudit, incremental_aggregate
     area = scratch_path(spark, "refresh_history")
     ev = table(spark, sf, "events")
     src = AppendTable(spark, f"{area}/events")
     counts = SnapshotTable(spark, f"{area}/user_event_counts")
-    delta = lambda df: df.groupBy("user_id").agg(F.count(F.lit(1)).alias("events"))
-    hist = []
-    for b, part in enumerate([ev.filter(F.col("event_type") == "click"), ev.filter(F.col("event_type") != "click")]):
-        src.append(part, batch_id=b)
-        rep = incremental_aggregate(change_stream(spark, src.root, ev.schema), delta, ["user_id"], ["events"],
-                                    counts, f"{area}/_ckpt")
-        hist += rep["history"]
-    rows = [(int(b), str(t), int(n), int(d)) for b, t, n, d in hist]
-    return (spark.createDataFrame(rows, "batch_id bigint, refreshed_at string, input_rows bigint, duration_ms bigint")
-            .orderBy(F.col("batch_id").desc()))
+    audit = RefreshAudit(spark, f"{area}/refresh_audit")
+    delta = lambda df: df.groupBy("user_id").agg(F.count(F.lit(1)).alias("events"))
+    for b, part in enumerate([ev.filter(F.col("event_type") == "click"), ev.filter(F.col("event_type") != "click"), None]):
+        if part is not None:
+            src.append(part.coalesce(1), batch_id=b)
+        incremental_aggregate(change_stream(spark, src.root, ev.schema), delta, ["user_id"], ["events"], counts, f"{area}/_ckpt", audit=(audit, "user_event_counts"))
+    return RefreshAudit(spark, f"{area}/refresh_audit").read("user_event_counts").select("table_name", "batch_id", "input_rows")
 
 
 @query("layout_file_totals", covers="L1 L2", sql="""

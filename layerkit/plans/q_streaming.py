@@ -7,8 +7,8 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.changes import has_changes, insert_images, snapshot_diff
-from ..operators.history import current_rows, validity_intervals
+from ..operators.changes import ChangeFeed, insert_images
+from ..operators.history import current_versions
 from ..operators.reporting import RunLog, run_summary_message
 from ..operators.semistructured import flatten_items, flatten_partner_orders, keyed_document_columns
 from ..session import scratch_path
@@ -147,8 +147,7 @@ def summary_view(summary, products):
 
 def current_products(spark, sf):
     """Open versions of the product history: id, unique name, category."""
-    history = validity_intervals(product_history(spark, sf), ["product_id"], "valid_from", ["seq"])
-    return current_rows(history, from_col="valid_from").select(
+    return current_versions(product_history(spark, sf), ["product_id"], "valid_from", ["seq"]).select(
         "product_id", F.concat("product_name", F.lit(" #"), "product_id").alias("product_name"), "category")
 
 
@@ -193,12 +192,12 @@ def _append_observed(table_, df, batch_id) -> int:
     return int(obs.get["n"]) if written else 0
 
 
-def version_dimension(history: AppendTable, prev, curr, keys, seq: int) -> int:
-    """Task body ``insert into DWH.<dim>_TBL select ... from <dim>_STREAM where action = 'INSERT'``:
-    the change rows of the staging dimension are diffed once and their INSERT images appended
-    (with the change sequence used to order equal-date versions). Returns the rows inserted."""
-    images = insert_images(snapshot_diff(prev, curr, keys)).withColumn("change_seq", F.lit(seq))
-    return _append_observed(history, images, seq) if has_changes(images) else 0
+def version_dimension(history: AppendTable, feed: ChangeFeed) -> int:
+    """Task body ``insert into DWH.<dim>_TBL select ... from <dim>_STREAM where action = 'INSERT'``: the INSERT images that wait in the
+    change feed of the staging dimension are appended, with the version as the change sequence that orders equal-date
+    versions, and the feed's offset moves. Returns the rows inserted."""
+    return feed.consume(lambda changes, version: _append_observed(
+        history, insert_images(changes).withColumn("change_seq", F.lit(version)), version)) or 0
 
 
 def gated(log: RunLog, task: str, rows: int) -> None:
@@ -215,26 +214,23 @@ def run_layered_flow(spark, sf, area):
     stg = layered_flatten(spark, sf, area, log)
 
     initial = F.lit(INITIAL_FROM).cast("date")
-    prod_v1 = table(spark, sf, "part").select(
+    products, partners = (AppendTable(spark, f"{area}/dwh/{n}_tbl") for n in ("product", "partner"))
+    stg_products, stg_partners = (ManifestTable(spark, f"{area}/stg/{n}", [f"{n}_id"]) for n in ("product", "partner"))
+    product_feed, partner_feed = (ChangeFeed(t, f"{area}/_offset/{n}", [f"{n}_id"]) for n, t in (("product", stg_products), ("partner", stg_partners)))
+    stg_products.publish(table(spark, sf, "part").select(
         F.col("p_partkey").alias("product_id"), F.concat("p_name", F.lit(" #"), "p_partkey").alias("product_name"),
-        F.col("p_type").alias("category"), "p_size", initial.alias("valid_from"))
-    changed = F.col("p_size") >= 45
-    prod_v2 = (prod_v1.withColumn("category", F.when(changed, F.concat(F.lit("PROMO "), F.col("category")))
-                                  .otherwise(F.col("category")))
-               .withColumn("valid_from", F.when(changed, F.lit(CHANGE_FROM).cast("date")).otherwise(F.col("valid_from"))))
-    products = AppendTable(spark, f"{area}/dwh/product_tbl")
-    products.append(prod_v1.withColumn("change_seq", F.lit(0)), batch_id=0)           # initial copy
-    gated(log, "INSERT_PRODUCT_TASK", version_dimension(products, prod_v1, prod_v2, ["product_id"], 1))
-
-    part_v1 = table(spark, sf, "customer").select(F.col("c_custkey").alias("partner_id"),
-                                                  F.col("c_name").alias("partner_name"), "c_mktsegment",
-                                                  initial.alias("valid_from"))
-    partners = AppendTable(spark, f"{area}/dwh/partner_tbl")
-    partners.append(part_v1.withColumn("change_seq", F.lit(0)), batch_id=0)
-    gated(log, "INSERT_PARTNER_TASK", version_dimension(partners, part_v1, part_v1, ["partner_id"], 1))
-
-    current = current_rows(validity_intervals(products.read(), ["product_id"], "valid_from", ["change_seq"]),
-                           from_col="valid_from").select("product_id", "product_name", "category")
+        F.col("p_type").alias("category"), "p_size", initial.alias("valid_from")), batch_key="first copy")
+    stg_partners.publish(table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("partner_id"), F.col("c_name").alias("partner_name"), "c_mktsegment", initial.alias("valid_from")), batch_key="first copy")
+    version_dimension(products, product_feed)           # the initial copies
+    version_dimension(partners, partner_feed)
+    large = stg_products.read(1).where("p_size >= 45").select(
+        "product_id", "product_name", F.concat(F.lit("PROMO "), "category").alias("category"), "p_size", F.lit(CHANGE_FROM).cast("date").alias("valid_from"))
+    stg_products.merge(large, ["product_id"], ["category", "valid_from"], batch_key="large sizes")
+    gated(log, "INSERT_PRODUCT_TASK", version_dimension(products, product_feed))
+    gated(log, "INSERT_PARTNER_TASK", version_dimension(partners, partner_feed))
+
+    current = current_versions(products.read(), ["product_id"], "valid_from", ["change_seq"]).select("product_id", "product_name", "category")
     orders_tbl = normalize_orders(stg.read(), partner_dim(spark, sf), product_dim(spark, sf))
     summary = SnapshotTable(spark, f"{area}/mgmt/orders_summary")
     obs = Observation("summary_rows")
@@ -261,12 +257,11 @@ def layered_run_end_to_end(spark, sf):
 
 @query("run_summary_message", covers="A10 F5 L5 L4", sql=f"""
 with ol as ({D.ORDER_LINES_SQL}),
-docs as (select count(distinct o_orderkey) as n from lineitem),
 b as (select count(*) filter (where order_date < date '{D.BATCH_SPLIT}') as l1,
              count(*) filter (where order_date >= date '{D.BATCH_SPLIT}') as l2 from ol),
-d as (select count(distinct l.l_orderkey) filter (where cast(o.o_orderdate as date) < date '{D.BATCH_SPLIT}') as d1,
-             count(distinct l.l_orderkey) filter (where cast(o.o_orderdate as date) >= date '{D.BATCH_SPLIT}') as d2
-      from lineitem l join orders o on l.l_orderkey = o.o_orderkey),
+e as (select cast(o.o_orderdate as date) < date '{D.BATCH_SPLIT}' as first, ceil(count(*) / {D.DOC_MAX_LINES}.0) as docs
+      from lineitem l join orders o on l.l_orderkey = o.o_orderkey group by l.l_orderkey, 1),
+d as (select cast(coalesce(sum(docs) filter (where first), 0) as bigint) as d1, cast(coalesce(sum(docs) filter (where not first), 0) as bigint) as d2 from e),
 pr as (select count(*) as n from part where p_size >= 45),
 pipe as ({LAYERED_RUN_SQL})
 select 'Task: COPY_ORDERS_TASK Rows processed: ' || d1 || chr(10) ||

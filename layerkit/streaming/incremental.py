@@ -12,6 +12,7 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from typing import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -38,15 +39,40 @@ def change_stream(spark: SparkSession, table_path: str, schema: T.StructType,
     return r.parquet(table_path)
 
 
+class RefreshAudit:
+    """Audit table of refreshes: table, batch, time, input rows, milliseconds; appended by the refresh, kept when its process ends.
+    A batch that was audited is not audited again."""
+
+    SCHEMA = "table_name string, batch_id bigint, refreshed_at timestamp, input_rows bigint, duration_ms bigint"
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.rows = spark, SnapshotTable(spark, root)
+
+    def record(self, name: str, history: list[tuple]) -> int:
+        new = [(name, int(b), _dt.datetime.fromisoformat(str(t).replace("Z", "+00:00")), int(n), int(d)) for b, t, n, d in history if n > 0]
+        known = {r["batch_id"] for r in self.read(name).where(F.col("batch_id").isin([r[1] for r in new])).select("batch_id").collect()} if new else set()
+        new = [r for r in new if r[1] not in known]
+        if new:
+            self.rows.append(self.spark.createDataFrame(new, self.SCHEMA).coalesce(1))
+        return len(new)
+
+    def read(self, name: str | None = None) -> DataFrame:
+        """Newest first."""
+        rows = self.rows.read() if self.rows.refresh().exists() else self.spark.createDataFrame([], self.SCHEMA)
+        return (rows if name is None else rows.where(F.col("table_name") == name)).orderBy(F.desc("refreshed_at"), F.desc("batch_id"))
+
+
 def consume(stream: DataFrame, on_batch: Callable[[DataFrame, int], None], checkpoint_path: str,
-            processing_time: str | None = None):
+            processing_time: str | None = None, audit: tuple[RefreshAudit, str] | None = None):
     """Run ``on_batch`` for every new micro-batch. Without a processing time: process what is there and
-    return a refresh-history record (T11: batches, input rows). With one (the target lag): return the
-    running query."""
+    return a refresh-history record (T11: batches, input rows), which also goes to the ``audit`` table under the given
+    name. With one (the target lag): return the running query."""
     w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_path)
     if processing_time:
         return _start(w, processing_time)
     batches = _run(stream.sparkSession, w)
+    if audit:
+        audit[0].record(audit[1], batches)
     return {"batches": [b[0] for b in batches if b[2] > 0], "rows": rows_in(batches), "history": batches}
 
 
@@ -234,7 +260,7 @@ def additive_merge(current: DataFrame | None, delta: DataFrame, keys: list[str],
 
 def incremental_aggregate(stream: DataFrame, delta_of: Callable[[DataFrame], DataFrame],
                           keys: list[str], sum_cols: list[str], target, checkpoint_path: str,
-                          processing_time: str | None = None):
+                          processing_time: str | None = None, audit: tuple[RefreshAudit, str] | None = None):
     """Dynamic aggregate table kept at fact grain keys (e.g. date x product id).
 
     ``delta_of(batch)`` gives the batch's partial sums by ``keys``; they are merged additively.
@@ -253,4 +279,4 @@ def incremental_aggregate(stream: DataFrame, delta_of: Callable[[DataFrame], Dat
         else:
             current = target.read() if target.exists() else None
             target.publish(additive_merge(current, delta, keys, sum_cols), batch_id=batch_id)
-    return consume(stream, on_batch, checkpoint_path, processing_time)
+    return consume(stream, on_batch, checkpoint_path, processing_time, audit)

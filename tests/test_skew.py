@@ -28,10 +28,17 @@ def test_bounded_chunks_split_a_hot_key(spark):
     sizes = ch.groupBy("k", "chunk").count()
     hot = sizes.filter("k = 0")
     assert hot.count() >= 10000 // 256                        # the hot key is spread over many chunks
-    assert hot.agg(F.max("count")).first()[0] < 4 * 256        # and no chunk is near the hot key's size
+    assert sizes.agg(F.max("count")).first()[0] == 256         # and no chunk holds more than the bound
+    assert hot.count() == -(-10000 // 256)                     # all but the last one are full
     assert ch.count() == df.count()                            # nothing dropped
 
 
+def test_bounded_chunks_of_equal_rows(spark):
+    rows = spark.createDataFrame([(1, "x")] * 2000 + [(None, "y")] * 700 + [(2, "z")], "k int, v string")
+    sizes = {(r["k"], r["chunk"]): r["count"] for r in bounded_chunks(rows, ["k"], max_rows=256).groupBy("k", "chunk").count().collect()}
+    assert sizes == {(1, c): min(256, 2000 - 256 * c) for c in range(8)} | {(None, c): min(256, 700 - 256 * c) for c in range(3)} | {(2, 0): 1}
+
+
 def test_latest_per_key_is_a_partial_aggregate(spark):
     df = hot_rows(spark)
     out = latest_per_key(df, ["k"], ["w", "v"])
