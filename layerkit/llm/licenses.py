@@ -1,32 +1,40 @@
-"""Licence scan (DataFrame functions only): normalised text units against licence templates by the
-Dice coefficient over word bigrams.
-
-A unit is a line of the text, or the whole text when it has more than one line. A unit is
-normalised (A-Z lower-cased, every run of other characters than ``[a-z0-9]`` is one blank); its
-bigrams are the distinct pairs of neighbouring words. ``dice = 2 |A & B| / (|A| + |B|)`` can only reach
-the threshold t when ``t / (2 - t) <= |A| / |B| <= (2 - t) / t``. Units whose number of word pairs lies
-outside these bounds for every template are dropped before bigrams are built, and each unit is compared
-only with the templates whose size fits. A match shares at least ``t |B| / (2 - t)`` bigrams with the template,
-so it holds one of any ``|B| - that + 1`` of them: a unit without the longest word of each of those is dropped
-by a plain search for these few words. The templates are a fixed list (a parameter), used as a
-literal, so nothing is shuffled and every row is judged where it is read.
-
-Defined results: a null or empty text has no units and no licence; ties between templates go to the
-first name; a licence named on several lines is listed once; repeated rows give repeated results.
+"""Licence scan (DataFrame functions only): windows of normalised words against licence templates by the Dice
+coefficient over word bigrams.
+
+A text is normalised to words (A-Z lower-cased, runs of other characters than ``[a-z0-9]`` part words), line breaks
+included. A window of a template of n words is n consecutive words of the text, or what is left of it at its end, that begin with a word
+pair of the template. ``dice = 2 |A & B| / (|A| + |B|)`` over the distinct word pairs of window and template.
+
+1. Pruning. Sharing x pairs gives at most ``2 x / (x + |B|)``, so a match shares at least ``t |B| / (2 - t)`` pairs with the
+   template and holds one of any ``|B| - that + 1`` of them. Texts without the longest word of any of
+   these pairs are left out, by one look-up of their words in a literal list.
+2. Inverted table: the pairs of the texts that are left are joined with the (fixed, broadcast) table pair -> templates; a
+   text stays a candidate of the templates of which it holds enough distinct pairs.
+3. Windows. A pair counts in the windows that hold it and not its previous occurrence: these start in one interval. So the
+   numbers of distinct shared and distinct own pairs of all windows are running sums over interval ends, one
+   window function per text and template, linear in the text.
+4. Of matches whose best windows overlap, the one with the better Dice stays (ties: the first template).
+
+SPDX identifiers (``SPDX-License-Identifier: ...``) are a rule of their own, without similarity.
+
+Defined results: a null or empty text has no match and no identifier; a licence with several templates is named once; repeated rows give
+repeated results; an empty table gives an empty result; the windows of a very long text are bounded by the text. Other columns, of any
+name, play no part.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
-from operator import or_
+import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scratch import written
+
 THRESHOLD = 0.75
 
-# Names and the usual short notices of public licences.
+# The published wording of short notices, standard headers and whole licence texts.
 TEMPLATES = (
     ("agpl-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -43,108 +51,177 @@ TEMPLATES = (
     ("mit", "Released under the MIT License."),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("unlicense", "This is free and unencumbered software released into the public domain."),
+    ("agpl-3.0", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public
+        License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This
+        program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+        MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details. You should have
+        received a copy of the GNU Affero General Public License along with this program."""),
+    ("apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the
+        License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or
+        agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS
+        OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the
+        License."""),
+    ("bsd-2-clause", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+        following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and
+        the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and
+        the following disclaimer in the documentation and/or other materials provided with the distribution."""),
+    ("bsd-3-clause", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+        following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and
+        the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and
+        the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the
+        copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without
+        specific prior written permission."""),
+    ("bsl-1.0", """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and
+        accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit
+        the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do
+        so, all subject to the following:"""),
+    ("gpl-2.0", """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public
+        License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version. This
+        program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+        MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received
+        a copy of the GNU General Public License along with this program; if not, write to the Free Software Foundation, Inc., 51 Franklin
+        Street, Fifth Floor, Boston, MA 02110-1301 USA."""),
+    ("gpl-3.0", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
+        License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This
+        program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+        MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received
+        a copy of the GNU General Public License along with this program."""),
+    ("isc", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+        provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE
+        AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO
+        EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING
+        FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN
+        CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
+    ("mit", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+        files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify,
+        merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished
+        to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies
+        or substantial portions of the Software."""),
+    ("mit", """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES
+        OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE
+        LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN
+        CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("mpl-2.0", """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+        distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""),
+    ("unlicense", """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use,
+        compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or
+        non-commercial, and by any means."""),
+    ("zlib", """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for
+        any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including
+        commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"""),
 )
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+SPDX = r"SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+-]+(?: (?:AND|OR|WITH) [A-Za-z0-9.+-]+)*)"
 
 
-def normalise(text: Column) -> Column:
-    """Lines of normalised words, one blank between words."""
-    plain = F.regexp_replace(F.translate(text, UPPER, LOWER), "[^a-z0-9\n]+", " ")
-    return F.trim(F.regexp_replace(plain, " ?\n ?", "\n"))
+def template_words(text: str) -> list[str]:
+    return re.findall("[a-z0-9]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text))
 
 
 def template_bigrams(text: str) -> list[str]:
-    words = "".join(c if c in LOWER + "0123456789" else " "
-                    for c in text.translate(str.maketrans(UPPER, LOWER))).split()
+    words = template_words(text)
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
 
 
-def size_bounds(templates=TEMPLATES, threshold: float = THRESHOLD) -> tuple[int, int]:
-    """Fewest and most word pairs of a unit that can match a template."""
-    sizes = [len(template_bigrams(t)) for _, t in templates]
-    ratio = (2 - threshold) / threshold
-    return math.ceil(min(sizes) / ratio), math.floor(max(sizes) * ratio)
+def needed(pairs: int, threshold: float = THRESHOLD) -> int:
+    """Fewest shared pairs of a match with a template of so many distinct pairs."""
+    return math.ceil(threshold * pairs / (2 - threshold) - 1e-9)
 
 
 def marker_words(templates=TEMPLATES, threshold: float = THRESHOLD) -> list[str]:
-    """Words of which every matching unit holds at least one."""
+    """Words of which every text with a match holds at least one."""
     markers = set()
     for _, text in templates:
         bigrams = template_bigrams(text)
-        needed = math.ceil(threshold * len(bigrams) / (2 - threshold) - 1e-9)
         longest = sorted((max(b.split(" "), key=lambda w: (len(w), w)) for b in bigrams), key=lambda w: (-len(w), w))
-        markers.update(longest[:len(bigrams) - needed + 1])
+        markers.update(longest[:len(bigrams) - needed(len(bigrams), threshold) + 1])
     return sorted(markers)
 
 
+def words_of(text: Column) -> Column:
+    """Normalised words; what stands between them goes before lower-casing, so only A-Z is concerned."""
+    plain = F.lower(F.trim(F.regexp_replace(text, "[^A-Za-z0-9]+", " ")))
+    return F.split(plain, " ")
+
+
+def _pairs(df: DataFrame) -> DataFrame:
+    """r1, r2, place, pair: the word pairs of each text."""
+    n = F.size("words") - 1
+    pairs = F.when(n > 0, F.zip_with(F.slice("words", 1, F.greatest(n, F.lit(0))), F.slice("words", 2, F.greatest(n, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b)))
+    return df.select("r1", "r2", F.posexplode(pairs).alias("place", "pair"))
+
+
+def matches(texts: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+    """r1, r2, template, name, place, length, dice: the best window of each text (r1, r2, words) and each template that matches it."""
+    spark = texts.sparkSession
+    listed = [(k, name, len(template_words(text)), len(template_bigrams(text)), needed(len(template_bigrams(text)), threshold)) for k, (name, text) in enumerate(templates)]
+    sizes = spark.createDataFrame(listed, "template int, name string, length int, pairs int, needed int")
+    inverted = spark.createDataFrame([(k, b) for k, (_, text) in enumerate(templates) for b in template_bigrams(text)], "template int, pair string")
+
+    likely = texts.where(F.arrays_overlap("words", F.array(*map(F.lit, marker_words(templates, threshold))))).dropDuplicates(["r1", "r2"])
+    pairs = written(_pairs(likely).withColumn("before", F.lag("place").over(Window.partitionBy("r1", "r2", "pair").orderBy("place"))), "op9-pairs")
+    # the templates are a fixed list: both tables are small whatever the input
+    hits = pairs.join(F.broadcast(inverted), "pair")
+    enough = hits.groupBy("r1", "r2", "template").agg(F.countDistinct("pair").alias("shared")).join(F.broadcast(sizes), "template").where("shared >= needed")
+    candidates = written(enough.select("r1", "r2", "template", "length", "pairs"), "op9-candidates")
+
+    # a pair counts in the windows that start in (before, place] and not before place - length + 2
+    own = pairs.join(candidates, ["r1", "r2"]).join(F.broadcast(inverted.withColumn("shared", F.lit(1))), ["template", "pair"], "left")
+    start = F.greatest(F.coalesce(F.col("before") + 1, F.lit(0)), F.col("place") - F.col("length") + 2)
+    shared = F.coalesce("shared", F.lit(0))
+    point = lambda at, sign, asked: F.struct(at.cast("long").alias("at"), F.lit(sign).alias("own"), (F.lit(sign) * shared).alias("both"), asked.alias("asked"))
+    ends = own.select("r1", "r2", "template", F.inline(F.array(
+        point(start, 1, F.lit(0)), point(F.col("place") + 1, -1, F.lit(0)),
+        F.struct(F.col("place").cast("long").alias("at"), F.lit(0).alias("own"), F.lit(0).alias("both"), shared.alias("asked")))))
+    at = ends.groupBy("r1", "r2", "template", "at").agg(F.sum("own").alias("own"), F.sum("both").alias("both"), F.max("asked").alias("asked"))
+    upto = Window.partitionBy("r1", "r2", "template").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    windows = at.select("r1", "r2", "template", "at", "asked", F.sum("own").over(upto).alias("own"), F.sum("both").over(upto).alias("both")).where("asked = 1")
+    scored = windows.join(F.broadcast(sizes), "template").withColumn("dice", F.round(2.0 * F.col("both") / (F.col("own") + F.col("pairs")), 6)).where(F.col("dice") >= threshold)
+    best = scored.groupBy("r1", "r2", "template", "name", "length").agg(F.max(F.struct("dice", (-F.col("at")).alias("back"))).alias("best"))
+    return best.select("r1", "r2", "template", "name", (-F.col("best.back")).alias("place"), "length", "best.dice")
+
+
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: doc_id, n_units (units within the size bounds), n_matches, licenses (names
-    in order, joined by commas) and best_dice (0 without a match, 6 digits)."""
-    fewest, most = size_bounds(templates, threshold)
-    ratio = (2 - threshold) / threshold
-    literal = F.array(*[F.struct(F.lit(name).alias("name"), F.array(*map(F.lit, template_bigrams(text))).alias("bigrams"))
-                        for name, text in sorted(templates)])
-
-    def pairs(unit: Column) -> Column:
-        return F.length(unit) - F.length(F.translate(unit, " ", ""))
-
-    def bigrams(unit: Column) -> Column:
-        words = F.split(unit, " ")
-        n = F.size(words) - 1
-        return F.array_distinct(F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n),
-                                           lambda a, b: F.concat(a, F.lit(" "), b)))
-
-    def best(mine: Column) -> Column:
-        fitting = F.filter(literal, lambda t: F.size(mine).between(F.size(t["bigrams"]) / ratio, F.size(t["bigrams"]) * ratio))
-        scored = F.transform(fitting, lambda t: F.struct(
-            F.round(F.lit(2.0) * F.size(F.array_intersect(mine, t["bigrams"])) / (F.size(mine) + F.size(t["bigrams"])), 6).alias("dice"),
-            t["name"].alias("name")))
-        # highest Dice first, then the first name (templates are in order of name)
-        return F.aggregate(scored, F.lit(None).cast("struct<dice:double,name:string>"),
-                           lambda acc, s: F.when(acc.isNull() | (s["dice"] > acc["dice"]), s).otherwise(acc))
-
-    lines = docs.select("doc_id", normalise(F.coalesce(F.col("text"), F.lit(""))).alias("plain"))
-    lines = lines.withColumn("lines", F.split("plain", "\n")).withColumn("whole", F.translate("plain", "\n", " "))
-    units = F.when(F.size("lines") > 1, F.concat("lines", F.array("whole"))).otherwise(F.col("lines"))
-    marked = lambda u: reduce(or_, [F.contains(u, F.lit(w)) for w in marker_words(templates, threshold)])
-    fitting = lines.select("doc_id", "plain", F.filter(units, lambda u: pairs(u).between(fewest, most)).alias("units"))
-    # most texts hold no marker at all; then none of their units is searched
-    likely = F.when(marked(F.col("plain")), F.filter("units", marked)).otherwise(F.array().cast("array<string>"))
-    scored = fitting.select("doc_id", F.size("units").cast("long").alias("n_units"),
-                            F.filter(F.transform(likely, lambda u: best(bigrams(u))),
-                                     lambda s: s.isNotNull() & (s["dice"] >= threshold)).alias("found"))
-    return scored.select(
-        "doc_id", "n_units", F.size("found").cast("long").alias("n_matches"),
-        F.array_join(F.array_sort(F.array_distinct(F.transform("found", lambda s: s["name"]))), ",").alias("licenses"),
-        F.coalesce(F.array_max(F.transform("found", lambda s: s["dice"])), F.lit(0.0)).alias("best_dice"))
+    """One row per document: doc_id, n_matches (windows that stay), licenses (names in order, joined by commas), best_dice (0 without a
+    match, 6 digits) and spdx (identifiers in order, joined by commas)."""
+    text = F.coalesce(docs["text"], F.lit(""))
+    key = [F.xxhash64(docs["doc_id"], text).alias("r1"), F.hash(docs["doc_id"], text).alias("r2")]
+    found = matches(docs.select(*key, words_of(text).alias("words")), templates, threshold)
+    all_of = found.groupBy("r1", "r2").agg(F.collect_list(F.struct("template", "name", "place", "length", "dice")).alias("all"))      # at most one per template
+
+    def beaten(x):
+        return F.exists("all", lambda y: (y["place"] < x["place"] + x["length"]) & (x["place"] < y["place"] + y["length"])
+                        & ((y["dice"] > x["dice"]) | ((y["dice"] == x["dice"]) & (y["template"] < x["template"]))))
+    stay = written(all_of.select("r1", "r2", F.filter("all", lambda x: ~beaten(x)).alias("stay")), "op9-found")
+    identifiers = F.when(F.contains(text, F.lit("SPDX-License-Identifier:")), F.regexp_extract_all(text, F.lit(SPDX), F.lit(1)))
+    listed = docs.select(docs["doc_id"].alias("doc_id"), *key, F.array_join(F.array_sort(F.array_distinct(identifiers)), ",").alias("spdx"))
+    return listed.join(stay, ["r1", "r2"], "left").select(
+        "doc_id", F.coalesce(F.size("stay"), F.lit(0)).cast("long").alias("n_matches"),
+        F.coalesce(F.array_join(F.array_sort(F.array_distinct(F.transform("stay", lambda s: s["name"]))), ","), F.lit("")).alias("licenses"),
+        F.coalesce(F.array_max(F.transform("stay", lambda s: s["dice"])), F.lit(0.0)).alias("best_dice"), F.coalesce("spdx", F.lit("")).alias("spdx"))
 
 
 def _oracle(templates=TEMPLATES, threshold: float = THRESHOLD) -> str:
-    fewest, most = size_bounds(templates, threshold)
-    ratio = (2 - threshold) / threshold
-    rows = ", ".join(f"('{n}', '{b}')" for n, t in sorted(templates) for b in template_bigrams(t))
+    pairs = ", ".join(f"({k}, '{b}')" for k, (_, t) in enumerate(templates) for b in template_bigrams(t))
+    sizes = ", ".join(f"({k}, '{n}', {len(template_words(t))}, {len(template_bigrams(t))}, {needed(len(template_bigrams(t)), threshold)})" for k, (n, t) in enumerate(templates))
     return f"""
-with template(name, bigram) as (values {rows}),
-sizes as (select name, count(*) as m from template group by name),
-d as (select doc_id, row_number() over () as rid, trim(regexp_replace(regexp_replace(
-        translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^a-z0-9\n]+', ' ', 'g'), ' ?\n ?', chr(10), 'g'), ' ') as plain
-      from documents),
-u as (select rid, unnest(case when contains(plain, chr(10)) then list_append(string_split(plain, chr(10)), replace(plain, chr(10), ' '))
-                              else [plain] end) as unit from d),
-k as (select rid, row_number() over () as uid, unit from u
-      where length(unit) - length(replace(unit, ' ', '')) between {fewest} and {most}),
-w as (select rid, uid, string_split(unit, ' ') as words from k),
-b as (select rid, uid, list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) as mine from w),
-e as (select rid, uid, len(mine) as n, unnest(mine) as bigram from b),
-s as (select e.rid, e.uid, t.name, round(2.0 * count(*) / (any_value(e.n) + any_value(z.m)), 6) as dice
-      from e join template t using (bigram) join sizes z on z.name = t.name
-      where e.n between z.m / {ratio!r} :: double and z.m * {ratio!r} :: double group by e.rid, e.uid, t.name),
-best as (select rid, uid, arg_min(name, (-dice, name)) as name, max(dice) as dice from s where dice >= {threshold} group by rid, uid),
-found as (select rid, count(*) as n, string_agg(distinct name, ',' order by name) as licenses, max(dice) as best from best group by rid),
-counted as (select rid, count(*) as n from k group by rid)
-select d.doc_id, coalesce(counted.n, 0) :: bigint as n_units, coalesce(found.n, 0) :: bigint as n_matches,
-       coalesce(found.licenses, '') as licenses, coalesce(found.best, 0.0) :: double as best_dice
-from d left join counted using (rid) left join found using (rid)
+with inverted(template, pair) as (values {pairs}), sizes(template, name, length, pairs, needed) as (values {sizes}),
+d as (select doc_id, row_number() over () as rid, coalesce(text, '') as text from documents),
+w as (select rid, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+') as words from d),
+p as (select rid, pos, words[pos] || ' ' || words[pos + 1] as pair from w, unnest(range(1, len(words))) as u(pos)),
+c as (select p.rid, template, count(distinct pair) as n from p join inverted using (pair) group by p.rid, template),
+k as (select c.rid, s.* from c join sizes s using (template) where c.n >= s.needed),
+q as (select distinct k.rid, k.template, p.pos from k join p using (rid) join inverted i on i.template = k.template and i.pair = p.pair),
+x as (select q.rid, q.template, q.pos, count(distinct p.pair) as own, count(distinct p.pair) filter (where i.pair is not null) as both_
+      from q join sizes s using (template) join p on p.rid = q.rid and p.pos between q.pos and q.pos + s.length - 2
+      left join inverted i on i.template = q.template and i.pair = p.pair group by q.rid, q.template, q.pos),
+z as (select x.rid, s.template, s.name, s.length, x.pos, round(2.0 * x.both_ / (x.own + s.pairs), 6)::double as dice from x join sizes s using (template)),
+b as (select rid, template, any_value(name) as name, any_value(length) as length, max(dice) as dice, arg_max(pos, (dice, -pos)) as pos from z where dice >= {threshold} group by rid, template),
+s as (select * from b where not exists (select 1 from b y where y.rid = b.rid and y.pos < b.pos + b.length and b.pos < y.pos + y.length
+                                        and (y.dice > b.dice or (y.dice = b.dice and y.template < b.template)))),
+f as (select rid, count(*) as n, string_agg(distinct name, ',' order by name) as licenses, max(dice) as dice from s group by rid),
+i as (select rid, string_agg(distinct id, ',' order by id) as spdx from (select rid, unnest(regexp_extract_all(text, '{SPDX}', 1)) as id from d) group by rid)
+select d.doc_id, coalesce(f.n, 0)::bigint as n_matches, coalesce(f.licenses, '') as licenses, coalesce(f.dice, 0.0)::double as best_dice, coalesce(i.spdx, '') as spdx
+from d left join f using (rid) left join i using (rid)
 """
 
 

@@ -35,7 +35,7 @@ from ..session import scratch_path
 from .bpe import default_vocabulary
 from .scratch import bound_arrow, texts, written
 from .wordids import ID_PIECE, WordIds, text_ids
-from .words import pieces, process_cache
+from .words import pieces, process_cache, ragged
 
 MAGIC, CLOSING = b"WMTOKEN1", "WMTOKEN1END"
 HEADER = "<8sIIQII"
@@ -271,7 +271,7 @@ def shard_by_shard(spark: SparkSession):
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """One row per document, from the shard files: doc_id, start, n_tokens, ids_crc32."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where("length > 0").select("content")
+    files = _files(spark, path)
     with shard_by_shard(spark):
         docs = written(files.mapInArrow(
             _documents, "partition long, shard long, doc_id long, within long, n_tokens long, ids_crc32 long"), "op6-read")
@@ -286,6 +286,68 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
         "doc_id", (F.col("before") + F.col("within")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where("length > 0").select("content")
+
+
+def _counts(tokens: list[int]):
+    def run(batches):
+        for batch in batches:
+            for raw in batch.column("content"):
+                _, _, _, matrix = read_shard(raw.as_py())
+                yield pa.record_batch([pa.array(tokens, pa.int64()), pa.array([matrix.count(t) for t in tokens], pa.int64())], names=["token", "n"])
+    return run
+
+
+def count_tokens(spark: SparkSession, path: str, tokens: list[int]) -> DataFrame:
+    """token, n: how often each given id occurs in the shards; by rank, no sequence is unpacked."""
+    tokens = sorted(set(tokens))
+    with shard_by_shard(spark):
+        found = written(_files(spark, path).mapInArrow(_counts(tokens), "token long, n long"), "op6-counts")
+    return found.groupBy("token").agg(F.sum("n").alias("n"))
+
+
+def _places(tokens: list[int]):
+    def run(batches):
+        for batch in batches:
+            for raw in batch.column("content"):
+                _, doc_ids, counts, matrix = read_shard(raw.as_py())
+                ends = np.cumsum(counts)
+                for t in tokens:
+                    at = np.array(matrix.occurrences(t), dtype=np.int64)
+                    doc = np.searchsorted(ends, at, side="right")
+                    yield pa.record_batch([pa.array([t] * len(at), pa.int64()), pa.array([doc_ids[d] for d in doc], pa.int64()),
+                                           pa.array(at - (ends - counts)[doc])], names=["token", "doc_id", "place"])
+    return run
+
+
+def locate_tokens(spark: SparkSession, path: str, tokens: list[int]) -> DataFrame:
+    """token, doc_id, place: every occurrence of the given ids, as the place within its document; by rank and select."""
+    tokens = sorted(set(tokens))
+    with shard_by_shard(spark):
+        return written(_files(spark, path).mapInArrow(_places(tokens), "token long, doc_id long, place long"), "op6-places")
+
+
+def _range_of(start: int, stop: int):
+    def run(batches):
+        for batch in batches:
+            for raw in batch.column("content"):
+                _, doc_ids, counts, matrix = read_shard(raw.as_py())
+                first = np.cumsum(counts) - counts
+                lo, hi = first + np.minimum(start, counts), first + np.minimum(stop, counts)
+                ids = matrix.access(ragged(lo, hi - lo))
+                ends = np.cumsum(hi - lo)
+                yield pa.record_batch([pa.array(doc_ids, pa.int64()), pa.array([ids[a:b].tolist() for a, b in zip(ends - (hi - lo), ends)], pa.list_(pa.int64()))],
+                                      names=["doc_id", "ids"])
+    return run
+
+
+def read_range(spark: SparkSession, path: str, start: int, stop: int) -> DataFrame:
+    """doc_id, ids: the ids at places start to stop - 1 of every document, by access to these places alone."""
+    with shard_by_shard(spark):
+        return written(_files(spark, path).mapInArrow(_range_of(start, stop), "doc_id long, ids array<long>"), "op6-range")
+
+
 def round_trip(docs: DataFrame, vocabulary: str | None = None, **options) -> DataFrame:
     path = scratch_path(docs.sparkSession, "op6-shards")
     write_tokens(docs, path, vocabulary, **options)
