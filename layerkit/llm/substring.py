@@ -8,8 +8,7 @@ occurs in a document with a smaller doc_id. Every word covered by a repeat is re
    have equal minimisers, so equal edges always lie in runs of the same minimiser. A run is described by
    its minimiser, a fingerprint of its whole word sequence, and its source coordinate (doc_id, word).
 2. Minimisers of a single document cannot hold a repeat and go. The others are *classes* of equal runs with
-   their source, the smallest (doc_id, word). Fingerprints of 2 x 64 bits at both coordinates verify that
-   occurrence and source hold the same words.
+   their source, the smallest (doc_id, word).
 3. Classes that occur in several documents are compacted: a node between two classes is nonbranching
    when every occurrence of the first goes on with the second and every occurrence of the second comes
    from the first. Both facts are joined, and the chains of nonbranching nodes, which lie side by side in
@@ -17,7 +16,9 @@ occurs in a document with a smaller doc_id. Every word covered by a repeat is re
 4. A document that holds a path (or class) with an earlier source loses its words. Where one minimiser has
    several classes, the runs differ somewhere but may share edges: for the source occurrence of each
    such class the single edges are compared.
-5. Spans meet the texts by doc_id; the words they cover are removed.
+5. Every span is verified at its coordinates: an independent digest (BLAKE2b, 128 bits) of the words at the occurrence
+   must be that of the words at the source; spans that differ (a collision of 64-bit hashes) go.
+6. Spans meet the texts by doc_id; the words they cover are removed.
 
 Hot minimisers (a passage of a third of all documents) are aggregated map-side or joined by joins that
 Spark can split; no step gathers the occurrences of a key. Windows over a document are bounded by it.
@@ -29,6 +30,8 @@ where its fingerprint (of the text) is the same; a null doc_id is never a source
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -132,6 +135,40 @@ def _keep(batches):
                               names=["doc_id", "n_words", "n_removed", "kept_text"])
 
 
+def _digests(batches):
+    """Digests of the words of the wanted spans of each text, joined by one blank."""
+    for batch in batches:
+        ids, keys, want = batch.column("doc_id"), batch.column("text_key"), batch.column("spans")
+        for w in word_batches(batch.column("text")):
+            raw = w.data.tobytes()
+            for i, (lo, hi) in enumerate(zip(w.bounds[:-1], w.bounds[1:])):
+                starts, ends = w.starts[lo:hi], w.ends[lo:hi]
+                plain = b" ".join([raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())])
+                at = np.concatenate(([0], np.cumsum(ends - starts + 1)))
+                spans = want[w.first + i].values
+                word, words = (spans.field(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("word", "words"))
+                inside = word + words < len(at)                 # a false claim may reach beyond its text
+                word, words = word[inside], words[inside]
+                marks = [hashlib.blake2b(plain[a:b - 1], digest_size=16).digest() for a, b in zip(at[word].tolist(), at[word + words].tolist())]
+                n = len(marks)
+                yield pa.record_batch([pa.array([ids[w.first + i].as_py()] * n, pa.int64()), pa.array([keys[w.first + i].as_py()] * n, pa.int64()),
+                                       pa.array(word, pa.int32()), pa.array(words, pa.int32()), pa.array(marks, pa.binary())],
+                                      names=["doc_id", "text_key", "word", "words", "digest"])
+
+
+def verified(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """The spans (doc_id, text_key, word, words, source_doc, source_key, source_word) whose words are those at their source."""
+    at = ["doc_id", "text_key", "word", "words"]
+    origin = spans.select(F.col("source_doc").alias("doc_id"), F.col("source_key").alias("text_key"), F.col("source_word").alias("word"), "words")
+    wanted = (spans.select(*at).unionByName(origin).distinct().groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("word", "words")).alias("spans")))
+    texts_of = _keyed(docs).where("doc_id is not null").join(wanted, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"])
+    digests = written(bound_arrow(texts_of.select("doc_id", "text_key", "text", "spans")).mapInArrow(
+        _digests, "doc_id long, text_key long, word int, words int, digest binary"), "op1-digests")
+    there = digests.select(*[F.col(a).alias(b) for a, b in zip(at, ["source_doc", "source_key", "source_word", "words"])], F.col("digest").alias("source_digest"))
+    return (spans.join(digests, at).join(there, ["source_doc", "source_key", "source_word", "words"]).where("digest = source_digest")
+            .select(*at, "source_doc", "source_word"))
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     return texts(docs).withColumn("text_key", F.xxhash64("text"))
 
@@ -142,7 +179,7 @@ def runs(docs: DataFrame, k: int = K, minimiser: int = MINIMISER) -> DataFrame:
 
 
 def compact(occurrences: DataFrame, k: int = K) -> DataFrame:
-    """Paths of repeated classes: (doc_id, text_key, word, words, source_doc, source_word) per occurrence.
+    """Paths of repeated classes: (doc_id, text_key, word, words, source_doc, source_key, source_word) per occurrence.
 
     ``occurrences`` are runs of classes that occur in several documents, with their source."""
     along = Window.partitionBy("doc_id", "text_key").orderBy("word")
@@ -172,12 +209,11 @@ def compact(occurrences: DataFrame, k: int = K) -> DataFrame:
              .join(paths.select(F.col("path_source").alias("source"), "path_edges"), "source"))
     return (linked.select("doc_id", "text_key", "word", "minimiser", "mark").join(heads, ["minimiser", "mark"])
             .select("doc_id", "text_key", "word", (F.col("path_edges") + k - 1).cast("int").alias("words"),
-                    F.col("source.doc_id").alias("source_doc"), F.col("source.word").alias("source_word")))
+                    F.col("source.doc_id").alias("source_doc"), F.col("source.text_key").alias("source_key"), F.col("source.word").alias("source_word")))
 
 
 def repeated_spans(docs: DataFrame, k: int = K, minimiser: int = MINIMISER) -> DataFrame:
-    """Spans to remove: doc_id, text_key, word, words, source_doc (where they stand first) and, for paths,
-    source_word."""
+    """Spans to remove: doc_id, text_key, word, words, and where they stand first: source_doc, source_word."""
     every = written(runs(docs, k, minimiser), "op1-runs")
     shared = (every.groupBy("minimiser").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
               .select("minimiser"))
@@ -196,12 +232,13 @@ def repeated_spans(docs: DataFrame, k: int = K, minimiser: int = MINIMISER) -> D
     edges = bound_arrow(_keyed(docs).join(first, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"])).mapInArrow(
         _single_edges(k), "doc_id long, text_key long, words_at array<int>, minimiser long, edge long")
     edges = written(edges, "op1-edges")
-    earliest = (edges.groupBy("minimiser", "edge").agg(F.min("doc_id").alias("source_doc"), F.max("doc_id").alias("last_doc"))
-                .where("last_doc > source_doc"))
-    single = (edges.join(earliest, ["minimiser", "edge"]).where(F.col("doc_id") > F.col("source_doc"))
+    stands = F.struct("doc_id", "text_key", F.col("words_at")[0].alias("word"))
+    earliest = (edges.groupBy("minimiser", "edge").agg(F.min(stands).alias("source"), F.max("doc_id").alias("last_doc"))
+                .where("last_doc > source.doc_id"))
+    single = (edges.join(earliest, ["minimiser", "edge"]).where(F.col("doc_id") > F.col("source.doc_id"))
               .select("doc_id", "text_key", F.explode("words_at").alias("word"), F.lit(k).cast("int").alias("words"),
-                      "source_doc", F.lit(None).cast("int").alias("source_word")))
-    return whole.unionByName(single)
+                      F.col("source.doc_id").alias("source_doc"), F.col("source.text_key").alias("source_key"), F.col("source.word").alias("source_word")))
+    return verified(docs, written(whole.unionByName(single), "op1-claims"))
 
 
 def remove_repeats(docs: DataFrame, k: int = K, minimiser: int = MINIMISER) -> DataFrame:

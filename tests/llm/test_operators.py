@@ -97,6 +97,27 @@ def test_op1_spans_name_their_source(spark):
     assert spans
 
 
+def test_op1_verifies_at_the_coordinates(spark):
+    rng = random.Random(41)
+    passage = prose(rng, 80)
+    docs = [(1, prose(rng, 30) + " " + passage), (5, passage + " " + prose(rng, 20)), (9, prose(rng, 100))]
+    df = frame(spark, docs)
+    key = {r["doc_id"]: r["text_key"] for r in substring._keyed(df).collect()}
+    claims = [(5, key[5], 0, 80, 1, key[1], 30), (5, key[5], 10, 50, 1, key[1], 40), (5, key[5], 10, 50, 1, key[1], 41), (9, key[9], 0, 60, 5, key[5], 0)]
+    spans = spark.createDataFrame(claims, "doc_id long, text_key long, word int, words int, source_doc long, source_key long, source_word int")
+    assert sorted((r["doc_id"], r["word"], r["words"], r["source_word"]) for r in substring.verified(df, spans).collect()) == [(5, 0, 80, 30), (5, 10, 50, 40)]
+
+
+def test_op1_colliding_hashes_remove_nothing_wrong(spark, monkeypatch):
+    monkeypatch.setattr(substring, "span_hashes", lambda hashes, lo, hi: np.zeros(len(lo), np.uint64))    # every run looks the same
+    rng = random.Random(43)
+    passage = prose(rng, 70)
+    docs = [(1, passage), (2, passage), (3, passage[:250] + " " + prose(rng, 60)), (4, prose(rng, 70))]
+    got = by_id(substring.digest(substring.remove_repeats(frame(spark, docs))), "n_words", "n_removed", "kept_sha256")
+    want = brute.substring(docs)
+    assert all(got[d][1] <= want[d][1] for d in want) and got[4] == want[4] and got[2][1] <= 70
+
+
 def test_op2_against_brute_force(df, docs):
     got = by_id(quality.measure_quality(df), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
     assert got == {d: brute.quality(t) for d, t in docs}
@@ -522,7 +543,7 @@ def test_op9_against_brute_force(spark):
     assert sum(v[1] > 0 for v in got.values()) > 80
 
 
-@pytest.mark.parametrize("changed, least", [(0.05, 0.95), (0.1, 0.75)])
+@pytest.mark.parametrize("changed, least", [(0.05, 0.9), (0.1, 0.75)])
 def test_op9_recall_on_changed_texts(spark, changed, least):
     rng = random.Random(29)
     docs = [(1000 * k + i, prose(rng, 30) + "\n" + wrapped(rng, t, changed) + "\n" + prose(rng, 30)) for k, (_, t) in enumerate(licenses.TEMPLATES) if len(t) > 300 for i in range(15)]
@@ -579,10 +600,10 @@ def test_stages_on_nulls_repeats_and_clashing_columns(spark):
     text = prose(random.Random(1), 120)
     rows = [(1, text), (2, text), (1, text), (4, None), (None, text), (6, ""), (7, "same id"), (7, "other text")]
     wide = spark.createDataFrame([(d, t, None, None, None, 5, 5, 5, 5, "x", "x", 5, 5, 5) for d, t in rows], CLASHING)
-    for name, stage in corpus_pipeline.STAGES[:-1]:
+    for name, stage in corpus_pipeline.STAGES:
         for d in (wide, wide.limit(0)):
             out = stage(spark, d, SF001)
-            assert out.columns == wide.columns, name
+            assert name == "encode" or out.columns == wide.columns, name
             out.collect()
     kept = {(r["doc_id"], r["text"]) for r in exactdedup.exact_dedup(wide).collect()}
     assert kept == {(2, text), (6, ""), (7, "same id"), (7, "other text")}
@@ -603,6 +624,26 @@ def test_pipeline_keeps_the_training_order(spark):
     assert len(want) > 100
 
 
+def test_pipeline_encode_of_any_frame(spark, library, tmp_area):
+    rows = [(1, "a b"), (2, None), (None, ""), (1, "a b"), (7, "c " * 50)]
+    wide = spark.createDataFrame([(d, t, 5, "x") for d, t in rows], "doc_id long, text string, position long, ids string")
+    wide.coalesce(1).write.parquet(f"{tmp_area}/plain")
+    import glob
+    import os
+    import shutil
+    local = tmp_area.removeprefix("file://").removeprefix("file:")
+    os.makedirs(f"{local}/given")
+    for k, f in enumerate(glob.glob(f"{local}/plain/part-*.parquet")):
+        shutil.copy(f, f"{local}/given/documents{k}.parquet")
+    want = sorted(str((d, library.encode(t or "", add_special_tokens=False).ids)) for d, t in rows)
+    for docs in (wide, wide.limit(0), spark.read.parquet(f"{local}/given"), spark.read.parquet(f"{local}/plain"), wide.join(wide.select("doc_id").distinct(), "doc_id", "left")):
+        out = corpus_pipeline.encode(spark, docs, SF001)
+        assert out.columns == ["doc_id", "n_tokens", "ids", "position"]
+        got = out.collect()
+        assert sorted(str((r["doc_id"], np.frombuffer(r["ids"], "<u4").tolist())) for r in got) in (want, [])
+        assert len({r["position"] for r in got}) == len(got) == docs.count()
+
+
 def test_pipeline_against_brute_force(spark):
     import pyarrow.parquet as pq
     from tokenizers import Tokenizer
