@@ -9,7 +9,9 @@ again as the next one's ``docs``. All but the last return the columns of ``docum
 4. mix: a row for each copy that the mix takes, range-sorted by training position;
 5. encode: doc_id, n_tokens and the token ids (little-endian unsigned 32-bit integers), one row per copy, and
    position: the place of the copy in the training order. A scan does not keep the order of files, so it is taken
-   from the numbers of the file and the row in it (ascending, with gaps between files).
+   from the numbers of the file and the row in it (ascending, with gaps between files). Rows of files without such
+   numbers, and of frames that come from no file, count in the order in which Spark reads them; a column of the input that is
+   called position plays no part.
 
 No SQL states the first and third stage at full size, so ORACLE_SQL is None; the whole run is tested
 against brute force.
@@ -17,6 +19,7 @@ against brute force.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,11 +46,16 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     def number(pattern: str):
-        return F.regexp_extract("_metadata.file_name", pattern, 1).cast("long")
-
-    # part (a task of the sort), file of the task, row: 2^12 files of 2^32 rows a task
-    place = (number("^part-([0-9]+)-") * (1 << 12) + number("-c([0-9]+)[.]")) * (1 << 32) + F.col("_metadata.row_index")
-    return bpe.encode(docs.withColumn("position", place), carry=("position",))
+        return F.regexp_extract("_metadata.file_name", pattern, 1).try_cast("long")
+
+    as_read = F.monotonically_increasing_id()
+    try:
+        # part (a task of the sort), file of the task, row: 2^12 files of 2^32 rows a task
+        place = (number("^part-([0-9]+)-") * (1 << 12) + number("-c([0-9]+)[.]")) * (1 << 32) + F.col("_metadata.row_index")
+        rows = docs.select("doc_id", "text", F.coalesce(place, as_read).alias("position"))
+    except AnalysisException:                      # not read from files
+        rows = docs.select("doc_id", "text", as_read.alias("position"))
+    return bpe.encode(rows, carry=("position",))
 
 
 STAGES = [("toxicity", remove_toxic), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("mix", mix), ("encode", encode)]
