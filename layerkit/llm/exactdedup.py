@@ -7,7 +7,7 @@
 3. The proposals are verified: exact count and winner (largest doc_id) from one aggregation that is
    combined map-side. At most ``heavy`` rows, so the broadcast has a proven size bound.
 4. Rows of a verified heavy digest meet their winner map-side, without a shuffle; all other digests
-   go through an ordinary shuffle, where no group holds more than about ``rows / counters`` rows.
+   go through an ordinary shuffle, where no group holds more than about ``rows / heavy`` rows.
 
 Defined results: a null text counts as empty; rows that repeat a doc_id with an equal text belong to
 one group and all rows that carry the winning doc_id are marked kept; a group whose doc_ids are all

@@ -25,7 +25,8 @@ from .words import mix, window_hashes, word_batches
 
 CHUNK, LEAST, LEVEL = 4096, 128, 3
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
-# upper end of the length band in bytes: (least ratio, greatest ratio)
+# Upper end of the length band in bytes: (least ratio, greatest ratio), at zstandard level 3; chosen by hand. Of the labelled texts of the
+# sf0.1 test tables that pass the base rules, all 3,302 good ones lie inside and 81 of 301 bad ones outside (a test measures it).
 BANDS = ((128, 0.6, 1.7), (256, 0.9, 1.85), (512, 1.05, 2.0), (1024, 1.2, 2.2), (2048, 1.3, 2.28), (4096, 1.4, 2.4),
          (8192, 1.5, 2.48), (16384, 1.5, 2.58), (65536, 1.5, 2.75), (float("inf"), 1.5, 3.0))
 _SYMBOL = np.zeros(256, dtype=bool)

@@ -3,7 +3,7 @@
 Words are the runs between ASCII blanks; the tokenizers here never join text across a blank, so the ids
 of a text are the ids of its words one after the other. To have fewer different words, texts are first
 prepared in ways that leave their ids alone: A-Z becomes lower case (the normaliser does it anyway; not before a
-character outside ASCII, which may be a mark that composes with one case only), and a
+combining mark, U+0300 to U+036F, which may compose with one case only), and a
 blank is put where a letter or digit is followed by an ASCII mark other than the apostrophe (the split
 pattern parts them anyway). Pieces that hold the string of a special token are left as they are.
 
@@ -84,11 +84,10 @@ def prepared(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     d = np.frombuffer(lower, dtype=np.uint8)
     if len(d) < 2:
         return d, offsets
-    beyond = np.flatnonzero(d[1:] >= 0x80)
-    beyond = beyond[d[beyond] != data[beyond]]
-    if len(beyond):
+    marked = np.flatnonzero((d[1:] & 0xFE) == 0xCC)           # the two lead bytes of these marks
+    if len(marked):
         d = d.copy()
-        d[beyond] = data[beyond]
+        d[marked] = data[marked]
     # ASCII letters and digits, and the two-byte letters U+00C0 to U+00FF
     letter = _ALNUM[d]
     letter[1:] |= (d[:-1] == 0xC3) & (d[1:] >= 0x80) & (d[1:] != 0x97) & (d[1:] != 0xB7)

@@ -146,6 +146,14 @@ def test_op2_judges_the_last_chunk():
     assert all(quality.ratios(c[:4096 + n], compress)[3] for c in clean for n in (1, 100, 1500))
 
 
+def test_op2_verdict_on_labelled_rows(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality.measure_quality(docs).where("not base_failed").join(labels, "doc_id").groupBy("quality", "kept").count().collect()
+    n = {(r["quality"], r["kept"]): r["count"] for r in rows}
+    print("op2:", n)
+    assert n.get((1, False), 0) <= 0.001 * n[1, True] and n[0, False] >= 0.2 * n[0, True]
+
+
 @pytest.fixture(scope="module")
 def library():
     from tokenizers import Tokenizer
