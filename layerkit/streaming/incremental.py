@@ -195,8 +195,10 @@ class MaintainedJoin:
         before = {n: self._shown(n) for n in versions}
         restated = {"deleted": 0, "inserted": 0}
         if self.facts.exists():
+            shown = {e["batch"] for e in self.table.refresh().log.entries}
             for entry in self.facts.log.entries:
-                self._show_batch(entry["batch"], before)
+                if entry["batch"] not in shown:
+                    self._show_batch(entry["batch"], before)
             restated = self._restate(before, versions)
         for name, version in versions.items():
             if version > before[name]:

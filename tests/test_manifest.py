@@ -171,12 +171,12 @@ def random_step(rng, spark, t, ids):
         t.append(frame(spark, [(ids[0] - k, "new", k) for k in range(3)] + [(None, "n", 1)]))
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_change_rows_equal_the_snapshot_comparison(spark, tmp_area, seed):
     rng, ids = random.Random(seed), [1000]
     t = ManifestTable(spark, f"{tmp_area}/t", ["id"], file_rows=6)
     t.publish(frame(spark, [(i, "x", i % 5) for i in range(0, 60, 2)]))
-    for _ in range(6):
+    for _ in range(5):
         random_step(rng, spark, t, ids)
     for after, upto in ((1, t.current_version()), (2, 5), (0, 3), (4, 4)):
         now = t.read(upto)
@@ -216,7 +216,7 @@ def test_feed_reads_change_files_only(spark, tmp_area):
 
 # ---- maintained tables ------------------------------------------------------------------------------
 
-@pytest.mark.parametrize("seed", [4, 5])
+@pytest.mark.parametrize("seed", [4])
 def test_maintained_aggregate_equals_the_recomputation(spark, tmp_area, seed):
     rng, ids = random.Random(seed), [1000]
     t = ManifestTable(spark, f"{tmp_area}/t", ["id"], file_rows=6)
@@ -263,7 +263,7 @@ def join_parts(spark, area, file_rows=4):
 FACTS = "good string, who string, q long"
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_maintained_join_equals_the_full_join(spark, tmp_area, seed):
     rng = random.Random(seed)
     products, partners, transform, out = join_parts(spark, tmp_area)
