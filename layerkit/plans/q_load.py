@@ -146,11 +146,23 @@ def purge_load(spark, sf):
     return ingest.read().select(*ORDERS_CSV_SCHEMA.names)
 
 
-@query("stage_listing", covers="S13")
+STAGED_BYTES_SQL = "sum(length(o_orderkey::varchar || ',' || o_custkey || ',' || cast(cast(o_orderdate as date) as varchar)) + 1)"
+
+
+def _keys_by_status(spark, sf):
+    """Rows whose text in a file is known to the byte."""
+    return table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("order_date"), F.col("o_orderstatus").alias("status"))
+
+
+@query("stage_listing", covers="S13", sql=f"""
+select 'status=' || o_orderstatus as folder, cast({STAGED_BYTES_SQL} as bigint) as size, true as modified_lately from orders group by 1""")
 def stage_listing_q(spark, sf):
+    """``list @stage``: one file per status, with its size and time."""
     area = scratch_path(spark, "stage_listing")
-    land(_orders_rows(spark, sf), f"{area}/stage", FileFormat.csv(), partition_by=["status"])
-    return stage_listing(spark, f"{area}/stage")
+    land(_keys_by_status(spark, sf).coalesce(1), f"{area}/stage", FileFormat.csv(skip_header=False), partition_by=["status"])
+    files = stage_listing(spark, f"{area}/stage").filter(F.col("name").endswith(".csv"))
+    lately = F.col("last_modified") > F.current_timestamp() - F.expr("INTERVAL 1 HOUR")
+    return files.select(F.regexp_extract("name", "/(status=[^/]+)/[^/]+$", 1).alias("folder"), "size", lately.alias("modified_lately"))
 
 
 @query("named_table_append", covers="S22", sql=f"select {ORDERS_COLS_SQL} from orders")
@@ -385,16 +397,15 @@ def copy_history(spark, sf):
             .agg(F.sum("row_count").alias("rows_loaded"), F.sum("error_count").alias("errors")))
 
 
-@query("stage_directory", covers="S13 S14", sql="""
-select 'status=' || o_orderstatus as folder, cast(sum(length(o_orderkey::varchar || ',' || o_custkey || ',' || cast(cast(o_orderdate as date) as varchar)) + 1) as bigint) as bytes,
-       count(*) as rows
+@query("stage_directory", covers="S13 S14", sql=f"""
+select 'status=' || o_orderstatus as folder, cast({STAGED_BYTES_SQL} as bigint) as bytes, count(*) as rows
 from orders where o_orderstatus <> 'F' group by 1""")
 def stage_directory(spark, sf):
     """Stored directory of a stage: files that came are listed, with their sizes, from the next refresh on, and so are files that went; the
     external table reads what the directory lists."""
     area = scratch_path(spark, "stage_directory")
     fmt = FileFormat.csv(skip_header=False)
-    rows = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("order_date"), F.col("o_orderstatus").alias("status"))
+    rows = _keys_by_status(spark, sf)
     directory = StageDirectory(spark, f"{area}/stage", f"{area}/directory")
     land(rows.filter("status <> 'O'"), directory.stage_path, fmt, partition_by=["status"])
     first = directory.refresh()
