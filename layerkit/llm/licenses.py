@@ -8,11 +8,11 @@ pair of the template. ``dice = 2 |A & B| / (|A| + |B|)`` over the distinct word
 1. Pruning. Sharing x pairs gives at most ``2 x / (x + |B|)``, so a match shares at least ``t |B| / (2 - t)`` pairs with the
    template and holds one of any ``|B| - that + 1`` of them. Texts without the longest word of any of
    these pairs are left out, by one look-up of their words in a literal list.
-2. Inverted table: the pairs of the texts that are left are joined with the (fixed, broadcast) table pair -> templates; a
-   text stays a candidate of the templates of which it holds enough distinct pairs.
+2. Inverted table: the pairs of the texts that are left are joined with the (fixed, broadcast) table pair -> templates; only
+   these shared pairs are shuffled. A text stays a candidate of the templates of which it holds enough distinct ones.
 3. Windows. A pair counts in the windows that hold it and not its previous occurrence: these start in one interval. So the
-   numbers of distinct shared and distinct own pairs of all windows are running sums over interval ends, one
-   window function per text and template, linear in the text.
+   number of distinct shared pairs of each window is a running sum over interval ends, linear in the pairs. Where windows share
+   enough, their own distinct pairs are counted in the same way, over that part of the text.
 4. Of matches whose best windows overlap, the one with the better Dice stays (ties: the first template).
 
 SPDX identifiers (``SPDX-License-Identifier: ...``) are a rule of their own, without similarity.
@@ -132,7 +132,7 @@ def marker_words(templates=TEMPLATES, threshold: float = THRESHOLD) -> list[str]
     markers = set()
     for _, text in templates:
         bigrams = template_bigrams(text)
-        longest = sorted((max(b.split(" "), key=lambda w: (len(w), w)) for b in bigrams), key=lambda w: (-len(w), w))
+        longest = sorted((max(b.split(" "), key=lambda w: (len(w), w)) for b in bigrams), key=lambda w: (len(w), w), reverse=True)
         markers.update(longest[:len(bigrams) - needed(len(bigrams), threshold) + 1])
     return sorted(markers)
 
@@ -143,41 +143,53 @@ def words_of(text: Column) -> Column:
     return F.split(plain, " ")
 
 
-def _pairs(df: DataFrame) -> DataFrame:
-    """r1, r2, place, pair: the word pairs of each text."""
-    n = F.size("words") - 1
-    pairs = F.when(n > 0, F.zip_with(F.slice("words", 1, F.greatest(n, F.lit(0))), F.slice("words", 2, F.greatest(n, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b)))
-    return df.select("r1", "r2", F.posexplode(pairs).alias("place", "pair"))
+def _pairs(df: DataFrame, *keys: str) -> DataFrame:
+    """The keys (r1, r2), place and pair: the word pairs of each text."""
+    n = F.greatest(F.size("words") - 1, F.lit(0))
+    pairs = F.zip_with(F.slice("words", 1, n), F.slice("words", 2, n), lambda a, b: F.concat(a, F.lit(" "), b))
+    return df.select(*(keys or ("r1", "r2")), F.posexplode(pairs).alias("place", "pair"))
+
+
+_KEY = ["r1", "r2", "template"]
+
+
+def _distinct_in_windows(rows: DataFrame, name: str) -> DataFrame:
+    """Per text, template and place (``at``) the number of distinct pairs of ``rows`` in the window that starts there. rows: place and pair of
+    occurrences, with the window's length."""
+    before = F.lag("place").over(Window.partitionBy(*_KEY, "pair").orderBy("place"))
+    # an occurrence counts in the windows that hold it and not the one before it
+    start = F.greatest(F.coalesce(F.col("before") + 1, F.lit(0)), F.col("place") - F.col("length") + 2)
+    point = lambda at, change: F.struct(at.cast("long").alias("at"), F.lit(change).alias("change"))
+    ends = rows.withColumn("before", before).select(*_KEY, F.inline(F.array(point(start, 1), point(F.col("place") + 1, -1), point(F.col("place"), 0))))
+    upto = Window.partitionBy(*_KEY).orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return ends.groupBy(*_KEY, "at").agg(F.sum("change").alias("change")).select(*_KEY, "at", F.sum("change").over(upto).alias(name))
 
 
 def matches(texts: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """r1, r2, template, name, place, length, dice: the best window of each text (r1, r2, words) and each template that matches it."""
     spark = texts.sparkSession
     listed = [(k, name, len(template_words(text)), len(template_bigrams(text)), needed(len(template_bigrams(text)), threshold)) for k, (name, text) in enumerate(templates)]
-    sizes = spark.createDataFrame(listed, "template int, name string, length int, pairs int, needed int")
-    inverted = spark.createDataFrame([(k, b) for k, (_, text) in enumerate(templates) for b in template_bigrams(text)], "template int, pair string")
-
-    likely = texts.where(F.arrays_overlap("words", F.array(*map(F.lit, marker_words(templates, threshold))))).dropDuplicates(["r1", "r2"])
-    pairs = written(_pairs(likely).withColumn("before", F.lag("place").over(Window.partitionBy("r1", "r2", "pair").orderBy("place"))), "op9-pairs")
-    # the templates are a fixed list: both tables are small whatever the input
-    hits = pairs.join(F.broadcast(inverted), "pair")
-    enough = hits.groupBy("r1", "r2", "template").agg(F.countDistinct("pair").alias("shared")).join(F.broadcast(sizes), "template").where("shared >= needed")
-    candidates = written(enough.select("r1", "r2", "template", "length", "pairs"), "op9-candidates")
-
-    # a pair counts in the windows that start in (before, place] and not before place - length + 2
-    own = pairs.join(candidates, ["r1", "r2"]).join(F.broadcast(inverted.withColumn("shared", F.lit(1))), ["template", "pair"], "left")
-    start = F.greatest(F.coalesce(F.col("before") + 1, F.lit(0)), F.col("place") - F.col("length") + 2)
-    shared = F.coalesce("shared", F.lit(0))
-    point = lambda at, sign, asked: F.struct(at.cast("long").alias("at"), F.lit(sign).alias("own"), (F.lit(sign) * shared).alias("both"), asked.alias("asked"))
-    ends = own.select("r1", "r2", "template", F.inline(F.array(
-        point(start, 1, F.lit(0)), point(F.col("place") + 1, -1, F.lit(0)),
-        F.struct(F.col("place").cast("long").alias("at"), F.lit(0).alias("own"), F.lit(0).alias("both"), shared.alias("asked")))))
-    at = ends.groupBy("r1", "r2", "template", "at").agg(F.sum("own").alias("own"), F.sum("both").alias("both"), F.max("asked").alias("asked"))
-    upto = Window.partitionBy("r1", "r2", "template").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    windows = at.select("r1", "r2", "template", "at", "asked", F.sum("own").over(upto).alias("own"), F.sum("both").over(upto).alias("both")).where("asked = 1")
-    scored = windows.join(F.broadcast(sizes), "template").withColumn("dice", F.round(2.0 * F.col("both") / (F.col("own") + F.col("pairs")), 6)).where(F.col("dice") >= threshold)
-    best = scored.groupBy("r1", "r2", "template", "name", "length").agg(F.max(F.struct("dice", (-F.col("at")).alias("back"))).alias("best"))
-    return best.select("r1", "r2", "template", "name", (-F.col("best.back")).alias("place"), "length", "best.dice")
+    sizes = F.broadcast(spark.createDataFrame(listed, "template int, name string, length int, pairs int, needed int"))
+    # the templates are a fixed list: these tables are small whatever the input
+    inverted = F.broadcast(spark.createDataFrame([(k, b) for k, (_, text) in enumerate(templates) for b in template_bigrams(text)], "template int, pair string"))
+
+    likely = texts.where(F.arrays_overlap("words", F.array(*map(F.lit, marker_words(templates, threshold)))))
+    hits = written(_pairs(likely).join(inverted, "pair").distinct(), "op9-hits")
+    enough = (hits.groupBy(*_KEY).agg(F.countDistinct("pair").alias("shared")).join(sizes, "template").where("shared >= needed")
+              .select(*_KEY, "length", "needed", "pairs"))
+    hits = hits.join(enough, _KEY)
+    starts = hits.select(*_KEY, "length", "needed", "pairs", F.col("place").cast("long").alias("at")).distinct()
+    starts = written(_distinct_in_windows(hits.select(*_KEY, "place", "pair", "length"), "both").join(starts, [*_KEY, "at"]).where("both >= needed"), "op9-starts")
+
+    # the own pairs are counted only where such windows lie
+    spans = starts.groupBy(*_KEY, "length").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    around = (likely.join(spans, ["r1", "r2"]).select(*_KEY, "length", "first", F.slice("words", (F.col("first") + 1).cast("int"), (F.col("last") - F.col("first") + F.col("length")).cast("int")).alias("words"))
+              .dropDuplicates(_KEY))
+    own = _pairs(around, *_KEY, "length", "first").select(*_KEY, "length", (F.col("place") + F.col("first")).alias("place"), "pair")
+    scored = (_distinct_in_windows(own, "own").join(starts, [*_KEY, "at"]).join(sizes.select("template", "name"), "template")
+              .withColumn("dice", F.round(2.0 * F.col("both") / (F.col("own") + F.col("pairs")), 6)).where(F.col("dice") >= threshold))
+    best = scored.groupBy(*_KEY, "name", "length").agg(F.max(F.struct("dice", (-F.col("at")).alias("back"))).alias("best"))
+    return best.select(*_KEY, "name", (-F.col("best.back")).alias("place"), "length", "best.dice")
 
 
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
