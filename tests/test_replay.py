@@ -174,3 +174,20 @@ def test_history_has_every_batch(spark, tmp_area):
         source.append(spark.createDataFrame([(D(2030, 1, 1), "a", i)], SCH).coalesce(1), batch_id=i)
     rep = consume(change_stream(spark, source.root, schema, max_files_per_trigger=1), lambda d, b: d.count(), f"{tmp_area}/_c")
     assert rep["rows"] == 3 and [h[0] for h in rep["history"] if h[2]] == [0, 1, 2]
+
+
+def test_purge_takes_files_without_rows(spark, tmp_area, local_dir):
+    def deliver(name, *lines):
+        with open(os.path.join(local_dir, name), "w") as f:
+            f.write("".join(line + "\n" for line in lines))
+    copy = FileIngest(spark, local_dir, f"{tmp_area}/t", f"{tmp_area}/_c", FileFormat.csv(), schema=spark.createDataFrame([], "h int").schema, purge=True)
+    deliver("only header [a].csv", "h")
+    copy.run()
+    assert os.listdir(local_dir) == []
+    deliver("full.csv", "h", "1")
+    deliver("header b.csv", "h")
+    copy.run()
+    assert os.listdir(local_dir) == [] and copy.read().count() == 1
+    deliver("full.csv", "h", "2")                    # a loaded name: not loaded again, so it stays
+    copy.run()
+    assert os.listdir(local_dir) == ["full.csv"] and copy.read().count() == 1
