@@ -1,6 +1,8 @@
 import datetime as dt
 import os
 
+from pyspark.sql import functions as F
+
 from layerkit.operators.layout import cluster_by, layout_report
 from layerkit.operators.reporting import RunLog, run_summary_message, topk_recent
 
@@ -68,3 +70,11 @@ def test_layout_report_overlaps_and_depth(spark, tmp_area):
     r = layout_report(spark, f"{tmp_area}/files", "k").first()
     assert (r.total_files, r.constant_files, r.max_depth) == (3, 1, 2)
     assert abs(r.average_overlaps - 2 / 3) < 1e-9      # files 1 and 2 overlap each other
+
+
+def test_layout_files_are_written_by_several_tasks(spark):
+    from .conftest import SF001
+    from layerkit.plans.q_misc import _overlapping_files
+    files = spark.read.parquet(_overlapping_files(spark, SF001)).select("g", F.input_file_name().alias("f")).distinct().collect()
+    assert len({r["g"] for r in files}) == len(files)                    # one file for each group
+    assert len({r["f"].split("/part-")[1][:5] for r in files}) > 1       # not all from one task
