@@ -324,3 +324,15 @@ def test_a_kept_batch_that_was_not_shown_is_shown_once(spark, tmp_area, monkeypa
     for _ in range(2):
         out.refresh(change_stream(spark, path, schema))
         assert rows(out.read(), "pid", "q") == [(1, 1), (2, 2)]
+
+
+def test_shared_value_is_written_by_several_tasks(spark, tmp_area):
+    t = PartitionedTable(spark, tmp_area, "state", F.col("status"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        t.publish(spark.range(4000).select("id", F.lit("O").alias("status")))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert t.manifest().count() > 1
+    assert {(r["lo"][0], r["hi"][0], r["folder_files"]) for r in t.manifest().collect()} == {("O", "O", t.manifest().count())}
+    assert t.read().select("id").distinct().count() == 4000
